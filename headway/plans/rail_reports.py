@@ -1,25 +1,35 @@
-"""Rail network reports over the rail CSV tables (source headers)."""
+"""Rail network reports over the rail CSV tables (source headers).
+
+Where a report takes the first of several rows, it means the first in file
+order if the table was read with it (``feed.with_file_order``), else the
+lowest values.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headway.functions import labels
-from headway.sources.payloads import schedule_trains
+from headway.schemas import SCHEDULE_PAYLOAD
+from headway.sources.feed import FILE_ORDER
+from headway.sources.payloads import parse_payload, schedule_trains
+
+LINE, STATION = "Line Code", "Station Code"
 
-LINE, STATION = F.col("Line Code"), F.col("Station Code")
+
+def _order(df: DataFrame, *values: str) -> Column:
+    return F.col(FILE_ORDER) if FILE_ORDER in df.columns else F.struct(*values)
 
 
 def stations_per_line(lines: DataFrame) -> DataFrame:
     """Heavy-rail lines by number of stations."""
     return (
-        lines.na.drop(subset=["Line Code", "Station Code"])
-        .groupBy(F.trim(LINE).alias("line_code"))
-        .agg(F.countDistinct(STATION).alias("stations"))
+        lines.na.drop(subset=[LINE, STATION])
+        .groupBy(F.trim(F.col(LINE)).alias("line_code"))
+        .agg(F.countDistinct(F.col(STATION)).alias("stations"))
         .select(
             "line_code", labels.line_name(F.col("line_code")).alias("line_name"), "stations"
         )
@@ -30,8 +40,8 @@ def stations_per_line(lines: DataFrame) -> DataFrame:
 def heavy_rail_kpis(lines: DataFrame) -> DataFrame:
     """Lines, stations and the line with the most stations ("N/A" if none)."""
     pairs = (
-        lines.na.drop(subset=["Line Code", "Station Code"])
-        .select(F.trim(LINE).alias("line_code"), STATION.alias("station_code"))
+        lines.na.drop(subset=[LINE, STATION])
+        .select(F.trim(F.col(LINE)).alias("line_code"), F.col(STATION).alias("station_code"))
         .distinct()
     )
     stations = pairs.agg(F.countDistinct("station_code").alias("stations"))
@@ -56,7 +66,7 @@ def network_size(lines: DataFrame) -> DataFrame:
         return F.lit(fallback).cast("bigint")
 
     return lines.agg(
-        distinct("Line Code", 10).alias("lines"), distinct("Station Code", 98).alias("stations")
+        distinct(LINE, 10).alias("lines"), distinct(STATION, 98).alias("stations")
     )
 
 
@@ -68,7 +78,7 @@ def mean_fares(fares: DataFrame) -> DataFrame | None:
     return (
         fares.where("LINE is not null")
         .groupBy(F.col("LINE").alias("line_code"))
-        .agg(F.bround(F.avg(F.col("OCT_ADT_FARE").cast("double")), 2).alias("mean_fare"))
+        .agg((F.rint(F.avg(F.col("OCT_ADT_FARE").cast("double")) * 100) / 100).alias("mean_fare"))
         .withColumn("line_name", labels.line_name(F.col("line_code")))
         .orderBy(F.desc_nulls_last("mean_fare"), "line_code")
     )
@@ -89,7 +99,7 @@ class LightRailColumns:
     def detect(cls, columns: list[str]) -> LightRailColumns:
         """The first fitting header of each kind, in file order."""
 
-        def first(*patterns: tuple[str, ...], without: str = "\0") -> str | None:
+        def first(*patterns: tuple[str, ...], without: str = "\n") -> str | None:
             for column in columns:
                 upper = column.upper()
                 fits = any(all(part in upper for part in parts) for parts in patterns)
@@ -134,11 +144,8 @@ def light_rail_routes(stops: DataFrame, preview: int = 30) -> DataFrame:
 
 
 def light_rail_points(stops: DataFrame) -> DataFrame | None:
-    """One point per stop; None if the file has no coordinates or stop ids.
-
-    A stop's rows have no order across files, so the first by name and
-    coordinates is taken: a minimum, which combines before the shuffle.
-    """
+    """One point per stop, from its first row; None if the file has no
+    coordinates or stop ids. A minimum per stop combines before the shuffle."""
     found = LightRailColumns.detect(stops.columns)
     if not (found.latitude and found.longitude and found.stop_id):
         return None
@@ -148,35 +155,36 @@ def light_rail_points(stops: DataFrame) -> DataFrame | None:
         name.alias("name"),
         F.col(found.latitude).cast("double").alias("latitude"),
         F.col(found.longitude).cast("double").alias("longitude"),
+        *[c for c in stops.columns if c == FILE_ORDER],
     ).na.drop(subset=["latitude", "longitude"])
+    values = ("name", "latitude", "longitude")
     first = located.groupBy("stop_id").agg(
-        F.min(F.struct("name", "latitude", "longitude")).alias("point")
+        F.min_by(F.struct(*values), _order(located, *values)).alias("point")
     )
     return first.select("stop_id", "point.*")
 
 
 def line_picker(lines: DataFrame) -> DataFrame:
     """Sorted line codes with their labels, "Island Line (ISL)"."""
-    codes = lines.where("`Line Code` is not null").select(LINE.alias("line_code")).distinct()
+    codes = lines.where("`Line Code` is not null").select(F.col(LINE).alias("line_code")).distinct()
     label = F.format_string("%s (%s)", labels.line_name(F.col("line_code")), "line_code")
     return codes.select("line_code", label.alias("label")).orderBy("line_code")
 
 
 def station_picker(lines: DataFrame, line: str) -> DataFrame:
-    """Stations of a line, each once, with labels "English Chinese (CODE)".
-
-    The code's first name pair in text order stands for it; the minimum needs
-    one group per station and combines before the shuffle.
-    """
+    """Stations of a line in order of their first row, each once, with labels
+    "English Chinese (CODE)"."""
+    values = ("English Name", "Chinese Name", STATION)
+    order = _order(lines, *values)
     names = (
-        lines.where(LINE == F.lit(line))
-        .groupBy(STATION.alias("station_code"))
-        .agg(F.min(F.struct("English Name", "Chinese Name")).alias("names"))
+        lines.where(F.col(LINE) == F.lit(line))
+        .groupBy(F.col(STATION).alias("station_code"))
+        .agg(F.min_by(F.struct(*values), order).alias("first"), F.min(order).alias("order"))
     )
     label = F.format_string(
-        "%s %s (%s)", F.col("names.English Name"), F.col("names.Chinese Name"), "station_code"
+        "%s %s (%s)", F.col("first.English Name"), F.col("first.Chinese Name"), "station_code"
     )
-    return names.select("station_code", label.alias("label")).orderBy("station_code")
+    return names.orderBy("order", "station_code").select("station_code", label.alias("label"))
 
 
 def next_trains(answers: DataFrame, line: str, station: str, payload: str = "payload") -> DataFrame:
@@ -198,9 +206,6 @@ def next_trains(answers: DataFrame, line: str, station: str, payload: str = "pay
 
 def schedule_status(answers: DataFrame, payload: str = "payload") -> DataFrame:
     """Per answer: time, delay flag, and the error text if it failed."""
-    from headway.schemas import SCHEDULE_PAYLOAD
-    from headway.sources.payloads import parse_payload
-
     answer = parse_payload(answers, SCHEDULE_PAYLOAD, payload)
     ok = F.coalesce(F.col("answer.status") == 1, F.lit(False))
     return answer.select(
@@ -237,19 +242,13 @@ FARE_COLUMNS = {
 
 
 def fare_lookup(fares: DataFrame, origin: str, destination: str) -> DataFrame:
-    """Fares of one trip as text. Where the file repeats a pair, the row that
-    is lowest in its fare texts is taken."""
+    """Fares of one trip as text, from the first row of the pair."""
     pair = fares.where(
         (F.col("SRC_STATION_NAME") == F.lit(origin))
         & (F.col("DEST_STATION_NAME") == F.lit(destination))
     )
-    first = pair.orderBy(*FARE_COLUMNS).limit(1)
+    first = pair.orderBy(_order(pair, *FARE_COLUMNS)).limit(1)
     return first.select(
         *[labels.fare_text(F.col(source)).alias(name) for source, name in FARE_COLUMNS.items()]
     )
 
-
-def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row per key in the given order (its minimum)."""
-    rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

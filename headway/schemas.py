@@ -131,6 +131,6 @@ SCHEDULE_PAYLOAD = _struct(
 
 ETA_PAYLOAD = _struct(
     data=T.ArrayType(
-        _struct(route=S, dir=S, service_type=S, dest_en=S, dest_tc=S, eta_seq=L, eta=S)
+        _struct(route=S, dir=S, service_type=S, dest_en=S, dest_tc=S, eta_seq=S, eta=S)
     )
 )

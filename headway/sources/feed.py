@@ -18,10 +18,13 @@ from headway.schemas import FEED_COLUMNS, RAIL_RENAMES
 log = logging.getLogger(__name__)
 
 # Spark names a blank header "_c<position>"; other writers store "Unnamed: n".
+FILE_ORDER = "file_order"
 _UNNAMED = re.compile(r"^(_c\d+|Unnamed.*|)$")
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession, path: str, multiline: bool = False, file_order: bool = False
+) -> DataFrame:
     """A CSV file or folder with one header row, all columns as text.
 
     A byte-order mark is dropped, headers are trimmed and columns without a
@@ -36,7 +39,20 @@ def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> Da
         .option("multiLine", multiline)
         .csv(path)
     )
-    return clean_headers(raw)
+    return clean_headers(with_file_order(raw) if file_order else raw)
+
+
+def with_file_order(scan: DataFrame) -> DataFrame:
+    """Adds each row's place in its input: file, block, row. Apply it to a
+    file scan directly."""
+    return scan.withColumn(
+        FILE_ORDER,
+        F.struct(
+            "_metadata.file_path",
+            "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("row"),
+        ),
+    )
 
 
 def clean_headers(df: DataFrame) -> DataFrame:
@@ -75,4 +91,5 @@ def rename_rail(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_rail(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A rail file with the raw table's column names."""
     return rename_rail(read_csv_text(spark, path), table)

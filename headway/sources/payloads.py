@@ -23,6 +23,10 @@ def parse_payload(df: DataFrame, schema: T.StructType, payload: str = "payload")
     return df.withColumn("answer", F.from_json(F.col(payload), full, options))
 
 
+def intact_payloads(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
+    return parse_payload(df, schema, payload).where(F.col(f"answer.{_BROKEN}").isNull())
+
+
 def broken_payloads(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
     parsed = parse_payload(df, schema, payload)
     broken = F.col(payload).isNull() | F.col(f"answer.{_BROKEN}").isNotNull()
@@ -37,7 +41,7 @@ def schedule_trains(df: DataFrame, payload: str = "payload") -> DataFrame:
     station's trains are kept.
     """
     asked = {"line", "station"} <= set(df.columns)
-    answers = parse_payload(df, SCHEDULE_PAYLOAD, payload).where("answer.status = 1")
+    answers = intact_payloads(df, SCHEDULE_PAYLOAD, payload).where("answer.status = 1")
     stations = answers.select(
         *[c for c in df.columns if c != payload],
         F.col("answer.curr_time").alias("curr_time"),
@@ -93,7 +97,7 @@ def flatten_eta(
     """Arrival answers (with the request's ``stop_id``) -> bus events; items
     without an arrival time are dropped."""
     clock = F.current_timestamp() if observed_at is None else observed_at
-    items = parse_payload(df, ETA_PAYLOAD, payload).select(
+    items = intact_payloads(df, ETA_PAYLOAD, payload).select(
         *[c for c in df.columns if c != payload], F.inline("answer.data")
     )
     return (
@@ -106,7 +110,7 @@ def flatten_eta(
             "service_type",
             F.col("dest_en").alias("destination_en"),
             F.col("dest_tc").alias("destination_tc"),
-            "eta_seq",
+            F.col("eta_seq").cast("bigint").alias("eta_seq"),
             "eta",
             clock.alias("timestamp"),
         )
