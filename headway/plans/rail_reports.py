@@ -173,11 +173,12 @@ def line_picker(lines: DataFrame) -> DataFrame:
 
 def station_picker(lines: DataFrame, line: str) -> DataFrame:
     """Stations of a line in order of their first row, each once, with labels
-    "English Chinese (CODE)"."""
+    "English Chinese (CODE)". Rows without a station code cannot be looked up
+    and are left out."""
     values = ("English Name", "Chinese Name", STATION)
     order = _order(lines, *values)
     names = (
-        lines.where(F.col(LINE) == F.lit(line))
+        lines.where((F.col(LINE) == F.lit(line)) & F.col(STATION).isNotNull())
         .groupBy(F.col(STATION).alias("station_code"))
         .agg(F.min_by(F.struct(*values), order).alias("first"), F.min(order).alias("order"))
     )

@@ -12,6 +12,8 @@ from headway.schemas import BUS_EVENT, RAIL_EVENT
 from headway.sources.topics import BUS_TOPIC, RAIL_TOPIC
 
 _CORRUPT = "_corrupt"
+# ISO-8601 with microseconds; Spark's own default would cut to milliseconds.
+JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
 EVENT_SCHEMAS: dict[str, T.StructType] = {BUS_TOPIC: BUS_EVENT, RAIL_TOPIC: RAIL_EVENT}
 
 
@@ -24,7 +26,7 @@ def encode(events: DataFrame, topic: str) -> DataFrame:
     return events.select(
         F.lit(topic).alias("topic"),
         F.coalesce(stop.cast("string"), place.cast("string")).cast("binary").alias("key"),
-        F.to_json(F.struct(*names)).cast("binary").alias("value"),
+        F.to_json(F.struct(*names), JSON_TIME).cast("binary").alias("value"),
     )
 
 

@@ -46,8 +46,7 @@ def compare(spark, connection, query, sql: str, sf_dir: str) -> str:
     a, b = normal(ours, df.columns), normal(theirs, names)
     if a == b:
         return ""
-    extra = [r for r in a if r not in set(b)][:3]
-    missing = [r for r in b if r not in set(a)][:3]
+    extra, missing = sorted(set(a) - set(b))[:3], sorted(set(b) - set(a))[:3]
     return f"{len(a)} rows against {len(b)}; only ours {extra}; only SQL {missing}"
 
 
