@@ -47,26 +47,37 @@ class Network:
             return self.stored_route_stop_rollup
         return rollups.route_stop_rollup(self.stop_times, self.trips)
 
+    @cached_property
+    def runs(self) -> DataFrame:
+        return rollups.runs(self.trips)
+
+    def route_groups(self, *group: str) -> DataFrame:
+        """(route_id, group columns), each once, with the number of equal rows."""
+        return (
+            self.routes.where("route_id is not null")
+            .groupBy("route_id", *group)
+            .agg(F.count(F.lit(1)).alias("route_copies"))
+        )
+
     def trips_in_groups(self, group: tuple[str, ...], *measures: str) -> DataFrame:
         """Measures of the trip rollup with the group columns of the trip's
         route, each trip once per group (staging does not promise unique trip
         or route ids).
 
-        The join leaves the rows partitioned by trip, so removing repeats
-        needs no further shuffle.
+        Repeated rows are removed before the join, which then has one row per
+        trip on the left and few on the right. It leaves the rows partitioned
+        by trip, so the final distinct needs no shuffle.
         """
-        named = self.trips.select("trip_id", "route_id").join(
-            self.routes.select("route_id", *group), "route_id"
-        )
+        named = self.runs.join(self.route_groups(*group), "route_id")
         return (
             self.trip_rollup.select("trip_id", *measures)
-            .join(named.drop("route_id"), "trip_id")
+            .join(named.select("trip_id", *group), "trip_id")
             .distinct()
         )
 
     def stops_in_groups(self, *group: str) -> DataFrame:
         """Route/stop rollup rows with the group columns of the route."""
-        return self.route_stop_rollup.join(self.routes.select("route_id", *group), "route_id")
+        return self.route_stop_rollup.join(self.route_groups(*group), "route_id")
 
 
 def _with_stop(net: Network, per_stop: DataFrame) -> DataFrame:
@@ -83,7 +94,10 @@ def stops_ranked(net: Network) -> DataFrame:
     per_stop = (
         net.stops_in_groups("route_type")
         .groupBy("stop_id")
-        .agg(F.sum("visits").alias("visits"), F.min("route_type").alias("route_type"))
+        .agg(
+            F.sum(F.col("visits") * F.col("route_copies")).alias("visits"),
+            F.min("route_type").alias("route_type"),
+        )
     )
     return _with_stop(net, per_stop).select(
         "stop_id",
@@ -100,9 +114,9 @@ def trips_by(net: Network, *group: str) -> DataFrame:
     so a route with very many trips joins as one row."""
     per_route = net.trips.groupBy("route_id").agg(F.count("trip_id").alias("trips"))
     return (
-        per_route.join(net.routes.select("route_id", *group), "route_id")
+        per_route.join(net.route_groups(*group), "route_id")
         .groupBy(*group)
-        .agg(F.sum("trips").alias("total_trips"))
+        .agg(F.sum(F.col("trips") * F.col("route_copies")).alias("total_trips"))
     )
 
 

@@ -20,53 +20,47 @@ from headway.functions import times
 
 
 def trip_rollup(stop_times: DataFrame) -> DataFrame:
-    """trip_id -> first and last valid departure, served hours 0-23 as bits,
-    highest stop sequence, and whether any departure is valid."""
-    valid = F.col("is_valid")
-    hour = F.col("hour")
+    """trip_id -> first and last valid departure (in text order), served hours
+    0-23 as bits, highest stop sequence. NULL where no departure is valid."""
+    given = F.col("departure_time")
     prepared = stop_times.select(
         "trip_id",
         "stop_sequence",
-        F.when(times.is_service_time(F.col("departure_time")), F.col("departure_time")).alias(
-            "departure"
-        ),
-    ).withColumns(
-        {
-            "is_valid": F.col("departure").isNotNull(),
-            "hour": times.hour_of(F.col("departure")),
-        }
-    )
+        F.when(times.is_service_time(given), given).alias("departure"),
+    ).withColumn("hour", times.hour_of(F.col("departure")))
+    bit = F.expr("shiftleft(1L, cast(hour as int))")
     return prepared.groupBy("trip_id").agg(
         F.min("departure").alias("first_departure"),
         F.max("departure").alias("last_departure"),
-        F.bit_or(
-            F.when(
-                valid & hour.between(0, 23), F.expr("shiftleft(1L, cast(hour as int))")
-            )
-        ).alias("hours"),
+        F.bit_or(F.when(F.col("hour").between(0, 23), bit)).alias("hours"),
         F.max("stop_sequence").alias("max_stop_sequence"),
     )
 
 
+def runs(trips: DataFrame) -> DataFrame:
+    """(trip_id, route_id) -> number of equal trip rows. Repeated rows of a
+    trip multiply a number from here on and not the rows of a join."""
+    return (
+        trips.where("trip_id is not null and route_id is not null")
+        .groupBy("trip_id", "route_id")
+        .agg(F.count(F.lit(1)).alias("trip_copies"))
+    )
+
+
 def route_stop_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """(route_id, stop_id) -> stop visits, and visits at a valid time.
 
-    Trips are first counted per (trip, route), so repeated trip rows multiply
-    a number and not the rows. The join is the only one on the big table; AQE
-    splits a hot trip's partition.
+    The join is the only one on the big table; AQE splits a hot trip's
+    partition. The sums combine before the shuffle by route and stop.
     """
-    runs = (
-        trips.where("trip_id is not null and route_id is not null")
-        .groupBy("trip_id", "route_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    timed = times.is_service_time(F.col("departure_time"))
-    visits = stop_times.select("trip_id", "stop_id", F.coalesce(timed, F.lit(False)).alias("timed"))
+    timed = F.coalesce(times.is_service_time(F.col("departure_time")), F.lit(False))
+    copies = F.col("trip_copies")
     return (
-        visits.join(runs, "trip_id")
+        stop_times.select("trip_id", "stop_id", timed.alias("timed"))
+        .join(runs(trips), "trip_id")
         .groupBy("route_id", "stop_id")
         .agg(
-            F.sum("copies").alias("visits"),
-            F.sum(F.when(F.col("timed"), F.col("copies")).otherwise(0)).alias("timed_visits"),
+            F.sum(copies).alias("visits"),
+            F.sum(F.when(F.col("timed"), copies).otherwise(0)).alias("timed_visits"),
         )
     )

@@ -123,12 +123,14 @@ def departures_by_hour_of_mode(net: m.Network, route_type: int | None = None) ->
         .groupBy("trip_id", "hour_of_day")
         .agg(F.count(F.lit(1)).alias("visits"))
     )
-    wanted = of_mode(net.routes, route_type).select("route_id")
-    runs = net.trips.select("trip_id", "route_id").join(wanted, "route_id").select("trip_id")
+    wanted = of_mode(net.route_groups("route_type"), route_type)
+    runs = net.runs.join(wanted, "route_id").select(
+        "trip_id", (F.col("trip_copies") * F.col("route_copies")).alias("copies")
+    )
     return (
         per_trip.join(runs, "trip_id")
         .groupBy("hour_of_day")
-        .agg(F.sum("visits").alias("total_trips"))
+        .agg(F.sum(F.col("visits") * F.col("copies")).alias("total_trips"))
         .orderBy("hour_of_day")
     )
 
