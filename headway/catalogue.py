@@ -199,12 +199,12 @@ def message_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("message_decode")
 def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return codec.decode(samples.messages(spark, sf_dir), RAIL_TOPIC).good
+    return codec.events(codec.decode(samples.messages(spark, sf_dir), RAIL_TOPIC))
 
 
 @_query("message_quarantine")
 def message_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = codec.decode(samples.messages(spark, sf_dir), RAIL_TOPIC).bad
+    bad = codec.bad_messages(codec.decode(samples.messages(spark, sf_dir), RAIL_TOPIC))
     return bad.groupBy(F.col("key").cast("string").alias("key")).agg(
         F.count(F.lit(1)).alias("messages"), F.count("value").alias("with_value")
     )
@@ -228,12 +228,14 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
 def stream_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _ingested(spark, sf_dir)
     counts = None
-    for name in (ingest.RAIL_TABLE, ingest.BUS_TABLE):
-        for table in (name, f"{ingest.BAD_TABLE}_{name}"):
-            rows = spark.read.parquet(f"{root}/{table}").agg(
-                F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("row_count")
+    for table in ingest.TABLES:
+        good = ingest.events_table(spark, root, table).select(F.lit("ok").alias("status"))
+        bad = ingest.bad_messages(spark, root, table).select(F.lit("bad").alias("status"))
+        for rows in (good, bad):
+            one = rows.groupBy(F.lit(table).alias("table_name"), "status").agg(
+                F.count(F.lit(1)).alias("row_count")
             )
-            counts = rows if counts is None else counts.unionAll(rows)
+            counts = one if counts is None else counts.unionAll(one)
     return counts
 
 

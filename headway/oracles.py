@@ -450,12 +450,11 @@ SELECTS: dict[str, str] = {
   union all select concat(line, '-', station), null from rail_events
     where event_id % 80 = 0) group by "key\"""",
     "stream_ingest_counts": """
-  select 'mtr_schedule_raw' table_name, count(*) row_count from rail_events
-  union all select 'bus_eta_raw', count(*) from bus_events
-  union all select 'bad_messages_mtr_schedule_raw',
+  select 'mtr_schedule_raw' table_name, 'ok' status, count(*) row_count from rail_events
+  union all select 'bus_eta_raw', 'ok', count(*) from bus_events
+  union all select 'mtr_schedule_raw', 'bad',
     count(*) filter (where event_id % 50 = 0) + count(*) filter (where event_id % 80 = 0)
-    from rail_events
-  union all select 'bad_messages_bus_eta_raw', 0""",
+    from rail_events""",
     "stream_ingest_rail": f"select {_EVENT_COLUMNS} from rail_events",
     "stream_ingest_bus": "select * from bus_events",
     "live_per_minute": """select date_trunc('minute', "timestamp") as minute, count(*) events

@@ -10,26 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headway.functions.jsontext import BROKEN, with_parsed
 from headway.schemas import BUS_EVENT, ETA_PAYLOAD, RAIL_EVENT, SCHEDULE_PAYLOAD
 
-_BROKEN = "_broken"
 DIRECTIONS = ("UP", "DOWN")
 
 
 def parse_payload(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
-    """Adds ``answer``, whose field ``_broken`` keeps text that did not parse."""
-    full = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
-    return df.withColumn("answer", F.from_json(F.col(payload), full, options))
+    return with_parsed(df, F.col(payload), schema, "answer")
 
 
 def intact_payloads(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
-    return parse_payload(df, schema, payload).where(F.col(f"answer.{_BROKEN}").isNull())
+    return parse_payload(df, schema, payload).where(F.col(f"answer.{BROKEN}").isNull())
 
 
 def broken_payloads(df: DataFrame, schema: T.StructType, payload: str = "payload") -> DataFrame:
     parsed = parse_payload(df, schema, payload)
-    broken = F.col(payload).isNull() | F.col(f"answer.{_BROKEN}").isNotNull()
+    broken = F.col(payload).isNull() | F.col(f"answer.{BROKEN}").isNotNull()
     return parsed.where(broken).drop("answer")
 
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headway.functions.jsontext import BROKEN, with_parsed
 from headway.schemas import BUS_EVENT, RAIL_EVENT
 from headway.sources.topics import BUS_TOPIC, RAIL_TOPIC
 
-_CORRUPT = "_corrupt"
 # ISO-8601 with microseconds; Spark's own default would cut to milliseconds.
 JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
+OK, BAD = "ok", "bad"
 EVENT_SCHEMAS: dict[str, T.StructType] = {BUS_TOPIC: BUS_EVENT, RAIL_TOPIC: RAIL_EVENT}
 
 
@@ -30,24 +29,27 @@ def encode(events: DataFrame, topic: str) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Decoded:
-    good: DataFrame
-    bad: DataFrame
-
+def decode(messages: DataFrame, topic: str) -> DataFrame:
+    """Messages of one topic as event rows, each parsed once.
 
-def decode(messages: DataFrame, topic: str) -> Decoded:
-    """Messages of one topic as event rows. Values that are missing, not
-    UTF-8 or not JSON of the topic's schema go to ``bad`` unchanged."""
+    ``status`` is "ok", or "bad" for values that are missing, not UTF-8 or not
+    JSON of the topic's schema; these keep their ``key`` and ``value`` and
+    have no event columns.
+    """
     schema = EVENT_SCHEMAS[topic]
-    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     text = F.when(F.is_valid_utf8(F.col("value")), F.col("value").cast("string"))
-    parsed = messages.where(F.col("topic") == topic).withColumn(
-        "event", F.from_json(text, full, options)
-    )
-    broken = text.isNull() | F.col("event").isNull() | F.col(f"event.{_CORRUPT}").isNotNull()
-    return Decoded(
-        good=parsed.where(~broken).select(*[F.col(f"event.{n}").alias(n) for n in schema.names]),
-        bad=parsed.where(broken).select("topic", "key", "value"),
+    parsed = with_parsed(messages.where(F.col("topic") == topic), text, schema, "event")
+    bad = F.col("event").isNull() | F.col(f"event.{BROKEN}").isNotNull()
+    return parsed.withColumn("status", F.when(bad, BAD).otherwise(OK)).select(
+        *[F.when(F.col("status") == OK, F.col(f"event.{n}")).alias(n) for n in schema.names],
+        *[F.when(F.col("status") == BAD, F.col(n)).alias(n) for n in ("key", "value")],
+        "status",
     )
+
+
+def events(decoded: DataFrame) -> DataFrame:
+    return decoded.where(F.col("status") == OK).drop("key", "value", "status")
+
+
+def bad_messages(decoded: DataFrame) -> DataFrame:
+    return decoded.where(F.col("status") == BAD).select("key", "value")

@@ -12,52 +12,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from headway.schemas import BUS_EVENT, RAIL_EVENT
 from headway.sources.topics import BUS_TOPIC, RAIL_TOPIC
 from headway.streaming import codec
 
-RAIL_TABLE, BUS_TABLE, BAD_TABLE = "mtr_schedule_raw", "bus_eta_raw", "bad_messages"
+RAIL_TABLE, BUS_TABLE = "mtr_schedule_raw", "bus_eta_raw"
+TABLES = {RAIL_TABLE: RAIL_TOPIC, BUS_TABLE: BUS_TOPIC}
+# Good and bad rows share a read and a parse; the status partition keeps them
+# apart. Rail events are also partitioned by day.
+PARTITIONS = {RAIL_TABLE: ("status", "event_date"), BUS_TABLE: ("status",)}
 
 # A function of the topic, so that with a broker each query subscribes to its
 # topic only and does not read the other.
 Source = Callable[[str], DataFrame]
 
 
-def _start(
-    rows: DataFrame, root: str, name: str, every: str | None, partition: str | None = None
-) -> StreamingQuery:
-    writer = (
-        rows.writeStream.format("parquet")
-        .queryName(name)
-        .outputMode("append")
-        .option("path", f"{root}/{name}")
-        .option("checkpointLocation", f"{root}/_checkpoints/{name}")
-    )
-    if partition is not None:
-        writer = writer.partitionBy(partition)
-    if every is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=every).start()
+def _rows(source: Source, table: str) -> DataFrame:
+    decoded = codec.decode(source(TABLES[table]), TABLES[table])
+    if "event_date" in PARTITIONS[table]:
+        decoded = decoded.withColumn("event_date", F.to_date("timestamp"))
+    return decoded
 
 
 def start(source: Source, root: str, every: str | None = None) -> list[StreamingQuery]:
-    """Starts one query per event table and one per topic for bad messages.
+    """Starts one query per event table.
 
     Without ``every`` the queries store what is there and stop by themselves;
     with it ("1 minute") they run on. ``root`` must be a shared folder.
     """
     root = root.rstrip("/")
-    queries = []
-    for topic, table in ((RAIL_TOPIC, RAIL_TABLE), (BUS_TOPIC, BUS_TABLE)):
-        decoded = codec.decode(source(topic), topic)
-        rows, partition = decoded.good, None
-        if table == RAIL_TABLE:
-            rows, partition = rows.withColumn("event_date", F.to_date("timestamp")), "event_date"
-        queries.append(_start(rows, root, table, every, partition))
-        queries.append(_start(decoded.bad, root, f"{BAD_TABLE}_{table}", every))
-    return queries
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return [
+        _rows(source, table)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy(*PARTITIONS[table])
+        .option("path", f"{root}/{table}")
+        .option("checkpointLocation", f"{root}/_checkpoints/{table}")
+        .trigger(**trigger)
+        .start()
+        for table in TABLES
+    ]
 
 
 def drain(source: Source, root: str) -> None:
@@ -72,13 +69,26 @@ def drain(source: Source, root: str) -> None:
             query.stop()
 
 
-def events_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A stored event table. Spark reads the sink's log, so files of an
+def _stored(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of the sink. Spark reads the sink's log, so files of an
     unfinished batch are not seen."""
-    schema = {RAIL_TABLE: RAIL_EVENT, BUS_TABLE: BUS_EVENT}[table]
-    if table == RAIL_TABLE:
-        schema = type(schema)(list(schema.fields)).add("event_date", "date")
-    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}")
+    fields = [
+        *codec.EVENT_SCHEMAS[TABLES[table]].fields,
+        T.StructField("key", T.BinaryType()),
+        T.StructField("value", T.BinaryType()),
+        T.StructField("status", T.StringType()),
+    ]
+    if "event_date" in PARTITIONS[table]:
+        fields.append(T.StructField("event_date", T.DateType()))
+    return spark.read.schema(T.StructType(fields)).parquet(f"{root.rstrip('/')}/{table}")
+
+
+def events_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return codec.events(_stored(spark, root, table))
+
+
+def bad_messages(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return codec.bad_messages(_stored(spark, root, table))
 
 
 def publish(messages: DataFrame, options: dict[str, str]) -> None:

@@ -46,13 +46,21 @@ def test_decode_round_trip_and_quarantine(spark):
         ("other", good),
     )
     decoded = codec.decode(df, RAIL_TOPIC)
-    assert [tuple(r) for r in decoded.good.collect()] == [EVENT, EVENT]
-    assert decoded.bad.count() == 4
+    assert [tuple(r) for r in codec.events(decoded).collect()] == [EVENT, EVENT]
+    bad = [r.value and bytes(r.value) for r in codec.bad_messages(decoded).collect()]
+    assert sorted(bad, key=str) == sorted([b'{"line": ', b"[1, 2]", b"\xff\xfe", None], key=str)
+
+
+def test_values_are_parsed_once(spark):
+    df = codec.decode(messages(spark, (RAIL_TOPIC, good_value(spark))), RAIL_TOPIC)
+    for used in (df, codec.events(df), codec.bad_messages(df)):
+        plan = used._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
 
 
 def test_utc_offset_is_read(spark):
     value = b'{"line": "ISL", "timestamp": "2024-01-01T10:00:00.123456+00:00"}'
-    row = codec.decode(messages(spark, (RAIL_TOPIC, value)), RAIL_TOPIC).good.first()
+    row = codec.decode(messages(spark, (RAIL_TOPIC, value)), RAIL_TOPIC).first()
     assert row.timestamp == dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
 
 
@@ -71,10 +79,10 @@ def test_restart_adds_nothing_and_new_events_once(spark, tmp_path):
     ingest.drain(source(spark, inbox), root)
     stored = ingest.events_table(spark, root, ingest.RAIL_TABLE)
     assert stored.count() == 2
-    assert stored.first().event_date == dt.date(2024, 1, 2)
+    assert [r.timestamp for r in stored.collect()] == [EVENT[-1]] * 2
+    assert (tmp_path / "tables" / ingest.RAIL_TABLE / "status=ok" / "event_date=2024-01-02").exists()
     assert ingest.events_table(spark, root, ingest.BUS_TABLE).count() == 0
-    bad = spark.read.parquet(f"{root}/{ingest.BAD_TABLE}_{ingest.RAIL_TABLE}")
-    assert bad.count() == 1
+    assert ingest.bad_messages(spark, root, ingest.RAIL_TABLE).count() == 1
 
 
 @pytest.mark.parametrize("mode", ["complete", "update"])
