@@ -59,25 +59,57 @@ class Network:
             .agg(F.count(F.lit(1)).alias("route_copies"))
         )
 
+    def trip_groups(self, *group: str) -> DataFrame:
+        """(trip_id, group columns of its route) with the number of matching
+        trip and route rows.
+
+        Repeated rows are counted first, so that no join multiplies them. That
+        costs a shuffle of trips, which are few next to stop times, and as the
+        join by trip then has a plain shuffle on both sides, AQE can split a
+        hot trip.
+        """
+        copies = F.col("trip_copies") * F.col("route_copies")
+        return self.runs.join(self.route_groups(*group), "route_id").select(
+            "trip_id", *group, copies.alias("copies")
+        )
+
     def trips_in_groups(self, group: tuple[str, ...], *measures: str) -> DataFrame:
         """Measures of the trip rollup with the group columns of the trip's
         route, each trip once per group (staging does not promise unique trip
-        or route ids).
-
-        Repeated rows are removed before the join, which then has one row per
-        trip on the left and few on the right. It leaves the rows partitioned
-        by trip, so the final distinct needs no shuffle.
-        """
-        named = self.runs.join(self.route_groups(*group), "route_id")
+        or route ids). The join leaves the rows partitioned by trip, so the
+        distinct needs no shuffle."""
+        named = self.trip_groups(*group).select("trip_id", *group)
         return (
-            self.trip_rollup.select("trip_id", *measures)
-            .join(named.select("trip_id", *group), "trip_id")
-            .distinct()
+            self.trip_rollup.select("trip_id", *measures).join(named, "trip_id").distinct()
         )
 
-    def stops_in_groups(self, *group: str) -> DataFrame:
-        """Route/stop rollup rows with the group columns of the route."""
-        return self.route_stop_rollup.join(self.route_groups(*group), "route_id")
+    def stops_in_groups(self, group: tuple[str, ...], timed: bool) -> DataFrame:
+        """Distinct (group columns, stop_id); with ``timed`` only of visits at
+        a valid time. Without a stored rollup the pairs come straight from the
+        stop times, one shuffle less than through it."""
+        if self.stored_route_stop_rollup is not None:
+            visits = self.route_stop_rollup.join(self.route_groups(*group), "route_id")
+            kept = visits.where("timed_visits > 0") if timed else visits
+        else:
+            visits = self.stop_times
+            if timed:
+                visits = visits.where(times.is_service_time(F.col("departure_time")))
+            kept = visits.select("trip_id", "stop_id").join(self.trip_groups(*group), "trip_id")
+        return kept.select(*group, "stop_id").distinct()
+
+    def departures_per_stop(self) -> DataFrame:
+        """stop_id -> stop visits and the lowest mode code."""
+        if self.stored_route_stop_rollup is not None:
+            visits = self.route_stop_rollup.join(self.route_groups("route_type"), "route_id")
+            number = F.col("visits") * F.col("route_copies")
+        else:
+            visits = self.stop_times.select("trip_id", "stop_id").join(
+                self.trip_groups("route_type"), "trip_id"
+            )
+            number = F.col("copies")
+        return visits.groupBy("stop_id").agg(
+            F.sum(number).alias("visits"), F.min("route_type").alias("route_type")
+        )
 
 
 def _with_stop(net: Network, per_stop: DataFrame) -> DataFrame:
@@ -91,15 +123,7 @@ def _with_stop(net: Network, per_stop: DataFrame) -> DataFrame:
 def stops_ranked(net: Network) -> DataFrame:
     """Stop -> departures, and one of its modes (the lowest code, so that the
     choice is repeatable)."""
-    per_stop = (
-        net.stops_in_groups("route_type")
-        .groupBy("stop_id")
-        .agg(
-            F.sum(F.col("visits") * F.col("route_copies")).alias("visits"),
-            F.min("route_type").alias("route_type"),
-        )
-    )
-    return _with_stop(net, per_stop).select(
+    return _with_stop(net, net.departures_per_stop()).select(
         "stop_id",
         "stop_name",
         "latitude",
@@ -143,12 +167,8 @@ def route_service_hours(net: Network) -> DataFrame:
         .where("first_departure is not null")
         .select(*ROUTE_GROUP, "first_departure", "last_departure", F.lit(1).alias("trips"))
     )
-    stops = (
-        net.stops_in_groups(*ROUTE_GROUP)
-        .where("timed_visits > 0")
-        .select(*ROUTE_GROUP, "stop_id")
-        .distinct()
-        .select(*ROUTE_GROUP, F.lit(1).alias("stops"))
+    stops = net.stops_in_groups(ROUTE_GROUP, timed=True).select(
+        *ROUTE_GROUP, F.lit(1).alias("stops")
     )
     return (
         trips.unionByName(stops, allowMissingColumns=True)
@@ -181,7 +201,9 @@ def transfer_hubs(
 ) -> DataFrame:
     """Stops with coordinates that at least ``min_routes`` routes serve, with
     the first ``names`` route names in text order."""
-    served = net.stops_in_groups("route_short_name", "route_type")
+    served = net.route_stop_rollup.join(
+        net.route_groups("route_short_name", "route_type"), "route_id"
+    )
     counts = (
         served.groupBy("stop_id")
         .agg(
@@ -240,14 +262,25 @@ def weekday_vs_weekend(net: Network) -> DataFrame:
 
 def route_lengths(net: Network) -> DataFrame:
     """Route -> distinct stops, distinct trips, highest stop sequence."""
+    if net.stored_trip_rollup is None or net.stored_route_stop_rollup is None:
+        # No strings are aggregated here, so Spark's own plan for several
+        # distinct counts stays with hash aggregation; measured, one pass over
+        # the stop times then beats one per rollup.
+        return (
+            net.stop_times.select("trip_id", "stop_id", "stop_sequence")
+            .join(net.trip_groups(*ROUTE_GROUP), "trip_id")
+            .groupBy(*ROUTE_GROUP)
+            .agg(
+                F.countDistinct("stop_id").alias("unique_stops"),
+                F.countDistinct("trip_id").alias("total_trips"),
+                F.max("stop_sequence").alias("max_stop_sequence"),
+            )
+        )
     trips = net.trips_in_groups(ROUTE_GROUP, "max_stop_sequence").select(
         *ROUTE_GROUP, "max_stop_sequence", F.lit(1).alias("trips")
     )
-    stops = (
-        net.stops_in_groups(*ROUTE_GROUP)
-        .select(*ROUTE_GROUP, "stop_id")
-        .distinct()
-        .select(*ROUTE_GROUP, F.lit(1).alias("stops"))
+    stops = net.stops_in_groups(ROUTE_GROUP, timed=False).select(
+        *ROUTE_GROUP, F.lit(1).alias("stops")
     )
     return (
         trips.unionByName(stops, allowMissingColumns=True)

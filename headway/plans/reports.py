@@ -110,27 +110,14 @@ def departures_by_hour(peak_hours: DataFrame) -> DataFrame:
 
 
 def departures_by_hour_of_mode(net: m.Network, route_type: int | None = None) -> DataFrame:
-    """Departures per hour 0-23 of one mode.
-
-    Visits are counted per trip and hour before trips and routes are joined;
-    a hot trip joins as at most 24 rows.
-    """
-    per_trip = (
-        net.stop_times.select(
-            "trip_id", times.valid_hour(F.col("departure_time")).alias("hour_of_day")
-        )
-        .where(F.col("hour_of_day").between(0, 23))
-        .groupBy("trip_id", "hour_of_day")
-        .agg(F.count(F.lit(1)).alias("visits"))
-    )
-    wanted = of_mode(net.route_groups("route_type"), route_type)
-    runs = net.runs.join(wanted, "route_id").select(
-        "trip_id", (F.col("trip_copies") * F.col("route_copies")).alias("copies")
-    )
+    """Departures per hour 0-23 of one mode."""
+    hours = net.stop_times.select(
+        "trip_id", times.valid_hour(F.col("departure_time")).alias("hour_of_day")
+    ).where(F.col("hour_of_day").between(0, 23))
     return (
-        per_trip.join(runs, "trip_id")
+        hours.join(of_mode(net.trip_groups("route_type"), route_type), "trip_id")
         .groupBy("hour_of_day")
-        .agg(F.sum(F.col("visits") * F.col("copies")).alias("total_trips"))
+        .agg(F.sum("copies").alias("total_trips"))
         .orderBy("hour_of_day")
     )
 

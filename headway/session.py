@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Broadcast limits compare with file sizes, and rows are several times
+    # larger in memory than in compressed Parquet.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     "spark.ui.enabled": "false",
 }
 
