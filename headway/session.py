@@ -44,6 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     own; on a cluster a machine-local folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
