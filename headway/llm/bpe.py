@@ -39,11 +39,14 @@ WORDS = (
 )
 PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
 
-#: Words kept per Python worker; the memory of the cache, not its results.
-CACHE_WORDS = 200_000
+#: Words of a cache generation (a Python worker keeps two).
+CACHE_WORDS = 300_000
+#: Longest word, in bytes, that is merged by scanning.
+SCANNED = 48
 #: Words taken from one text at a time.
 BLOCK_WORDS = 100_000
-NEVER = np.int64(1) << 40
+NONE = 1 << 40
+NEVER = np.int64(NONE)
 
 
 def byte_characters() -> dict[str, int]:
@@ -73,6 +76,7 @@ class Vocabulary:
         marks = sorted(self.added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, marks))) if marks else None
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def _read_merges(self, model: dict, size: int) -> None:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -81,7 +85,7 @@ class Vocabulary:
         right = np.array([vocab[b] for _, b in pairs], dtype=np.int64)
         whole = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         rank = np.arange(len(pairs), dtype=np.int64)
-        self.ranks = {(a, b): (r, w) for a, b, r, w in zip(
+        self.merge_of = {a * size + b: (r, w) for a, b, r, w in zip(
             left.tolist(), right.tolist(), rank.tolist(), whole.tolist(), strict=True)}
         # The merge that forms an entry; -1 for single bytes.
         self.formed = np.full(size, -1, dtype=np.int64)
@@ -151,24 +155,45 @@ class Vocabulary:
         return ids
 
     def merge(self, word: bytes) -> list[int]:
-        """Exact merging: lowest rank first, leftmost among equals; a heap of
-        pairs over a linked list, so that long words stay near-linear."""
+        """Exact merging: lowest rank first, leftmost among equals."""
         ids = [self.id_of[word[i : i + 1]] for i in range(len(word))]
-        n, ranks = len(ids), self.ranks
+        if len(ids) > SCANNED:
+            return self._merge_long(ids)
+        find, size, none = self.merge_of.get, self.size, (NONE, -1)
+        found = [find(a * size + b, none) for a, b in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            rank, whole = best
+            if rank == NONE:
+                break
+            i = found.index(best)
+            ids[i : i + 2] = [whole]
+            del found[i]
+            if i:
+                found[i - 1] = find(ids[i - 1] * size + whole, none)
+            if i < len(found):
+                found[i] = find(whole * size + ids[i + 1], none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs over a linked list, so that the time
+        for long words stays near-linear."""
+        n, find, size = len(ids), self.merge_of.get, self.size
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[p][0], i, *p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in ranks]
+        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1)
+                if (m := find(ids[i] * size + ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            _, i, a, b, whole = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = ranks[a, b][1], -1, after[j]
+            ids[i], ids[j], after[i] = whole, -1, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] < n and (p := (ids[k], ids[after[k]])) in ranks:
-                    heapq.heappush(heap, (ranks[p][0], k, *p))
+                if k >= 0 and after[k] < n and (m := find(ids[k] * size + ids[after[k]])):
+                    heapq.heappush(heap, (m[0], k, ids[k], ids[after[k]], m[1]))
         return [i for i in ids if i >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
@@ -210,12 +235,15 @@ class Vocabulary:
             at = mark.end()
 
     def learn(self, words: set[str]) -> None:
-        """Puts the ids of all these words into the cache."""
-        new = list(words.difference(self.cache))
+        """Puts the ids of all these words into the cache. A full cache becomes
+        the older generation, from which words in use come back."""
+        new = words.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list(words)
-        self.cache.update(zip(new, self.encode_words(new), strict=True))
+            self.older, self.cache, new = self.cache, {}, words
+        known = new.intersection(self.older)
+        self.cache.update(zip(known, map(self.older.__getitem__, known)))
+        fresh = list(new.difference(known))
+        self.cache.update(zip(fresh, map(tuple, self.encode_words(fresh)), strict=True))
 
     def _append(self, ids: array, blocks: Iterable[list[str] | int]) -> None:
         find = self.cache.__getitem__
