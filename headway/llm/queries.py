@@ -11,9 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import bpe
+from headway.llm import bpe, simhash
 from headway.llm.frames import table
 
+#: The contract of SimHash near-dedup.
+SHINGLE_WORDS, SIMHASH_BITS = 3, 3
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +38,10 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @register("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+@register("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(
+        table(spark, sf_dir, "documents"), words=SHINGLE_WORDS, distance=SIMHASH_BITS
+    )
