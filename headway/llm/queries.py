@@ -11,11 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import bpe, simhash
+from headway.llm import bpe, repeats, simhash
 from headway.llm.frames import table
 
 #: The contract of SimHash near-dedup.
 SHINGLE_WORDS, SIMHASH_BITS = 3, 3
+#: The contract of exact substring removal.
+REPEAT_BYTES = 200
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +47,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(
         table(spark, sf_dir, "documents"), words=SHINGLE_WORDS, distance=SIMHASH_BITS
     )
+
+
+@register("op5_repeats")
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removals(table(spark, sf_dir, "documents"), length=REPEAT_BYTES)
