@@ -19,10 +19,12 @@ strings are equal, so positions are kept in buckets and buckets are refined:
   offsets, has company is repeated as a whole. Only where runs of one anchor
   bucket differ, at the edges of repeated regions, are single windows refined to
   ``length`` bytes. Of runs already known to be repeated one representative
-  takes part in that.
+  takes part in that. The strings of a bucket's runs are brought together in a
+  task if there are at most ``BUCKET_ROWS``; a larger bucket is counted window
+  by window with partial aggregation, whatever its size.
 
-Buckets are counted with partial aggregation and the counts joined back, so a
-passage in a third of all documents is spread over tasks. Texts are UTF-8
+All other counts are partial aggregations joined back, so a passage in a third
+of all documents is spread over tasks. Texts travel compressed. Texts are UTF-8
 bytes; null is the empty text. Matches never cross texts. Rows that repeat an
 id, null ids included, are texts of their own; equal texts repeat each other.
 """
@@ -34,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ GRAM = 32
 BLOCK = 128
 #: Bytes of one numpy step; work arrays take about 150 times as much.
 STEP = 1 << 18
+#: Most differing runs of an anchor's bucket that one task compares.
+BUCKET_ROWS = 1024
 #: Lower bits of an identifier that give way to the place; more than a step has places.
 PLACE_BITS = 20
 #: Odd multipliers of the two lanes, for the earlier and the later bucket.
@@ -179,6 +184,22 @@ def _row_key(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def packed(text: Column) -> Column:
+    """Texts compressed one by one, for a shuffle; null stays null."""
+
+    @F.arrow_udf("binary")
+    def pack(texts: pa.Array) -> pa.Array:
+        press, raw = zstandard.ZstdCompressor(level=1).compress, texts.cast(pa.large_binary())
+        return pa.array([press(t.as_buffer()) if t.is_valid else None for t in raw], pa.binary())
+
+    return pack(text)
+
+
+def unpacked(text: pa.Scalar) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(text.as_buffer()) if text.is_valid else b""
+    return np.frombuffer(raw, np.uint8)
+
+
 def runs(rows: DataFrame, length: int) -> DataFrame:
     """(id, text_hash, first, last, anchor, whole): runs of windows that share
     their anchor, the anchor's bucket, and the bucket of the run's string."""
@@ -206,43 +227,112 @@ def runs(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
-def windows(rows: DataFrame, length: int) -> DataFrame:
-    """(id, text_hash, first, anchor, string, known): the single windows of the
-    runs listed in the column ``todo``, refined to ``length`` bytes."""
+def contexts(rows: DataFrame, length: int) -> DataFrame:
+    """(id, text_hash, first, anchor, known, company, string): the bytes of the
+    runs listed in the column ``todo``, cut out of the packed texts."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, todo = batch.column(2).cast(pa.large_binary()), batch.column(3)
+            texts, todo = batch.column(2), batch.column(3)
+            strings: list[bytes] = []
             for i in range(len(batch)):
-                data = np.frombuffer(texts[i].as_buffer(), np.uint8)
-                own = todo[i].values
-                first, last, anchor, known = (own.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                order = np.argsort(first, kind="stable")
-                for part in np.array_split(order, len(order) // 1000 + 1):
-                    sizes = last[part] - first[part] + 1
-                    ends = np.cumsum(sizes)
-                    # The runs' strings one after the other.
-                    step = sizes + length - 1
-                    begin = np.cumsum(step) - step
-                    bytes_ = data[np.repeat(first[part] - begin, step) + np.arange(step.sum())]
-                    ids = Buckets(eight_grams(bytes_), 1).at(length)
-                    inside = np.arange(sizes.sum()) - np.repeat(ends - sizes, sizes)
-                    start = np.repeat(first[part], sizes) + inside
-                    at = np.repeat(begin, sizes) + inside
-                    of_row = pa.array(np.full(len(at), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(of_row), batch.column(1).take(of_row),
-                         pa.array(start), pa.array(np.repeat(anchor[part], sizes)),
-                         pa.array(ids[at].view(np.int64)), pa.array(np.repeat(known[part], sizes))],
-                        names=["id", "text_hash", "first", "anchor", "string", "known"],
-                    )
-
-    return rows.select("id", "text_hash", "text", "todo").mapInArrow(
-        find, f"id {kind}, text_hash bigint, first bigint, anchor bigint, string bigint, known boolean"
+                own, data = todo[i].values, unpacked(texts[i]).tobytes()
+                strings += [data[a : b + length] for a, b in zip(own.field(0).to_pylist(), own.field(1).to_pylist())]
+            flat = todo.flatten()
+            of_row = pa.array(np.repeat(np.arange(len(batch)), np.diff(np.asarray(todo.offsets))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of_row), batch.column(1).take(of_row), flat.field(0),
+                 flat.field(2), flat.field(3), flat.field(4), pa.array(strings, pa.binary())],
+                names=["id", "text_hash", "first", "anchor", "known", "company", "string"],
+            )
+
+    return rows.select("id", "text_hash", "packed", "todo").mapInArrow(
+        find, f"id {kind}, text_hash bigint, first bigint, anchor bigint, known boolean, company bigint, string binary"
+    )
+
+
+def _every_window(strings: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, offset, identifier) of the windows of all strings."""
+    raw = strings.cast(pa.large_binary())
+    edges = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+    sizes = np.diff(edges) - length + 1
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    ids = Buckets(eight_grams(data), 1).at(length)
+    return row, offset, ids[np.repeat(edges[:-1] - edges[0], sizes) + offset]
+
+
+def windows(strings: DataFrame, length: int) -> DataFrame:
+    """(id, text_hash, first, anchor, window, known): single windows, refined
+    to ``length`` bytes, one row each."""
+    kind = strings.schema["id"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                row, offset, ids = _every_window(part.column("string"), length)
+                of_row = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(of_row), part.column("text_hash").take(of_row),
+                     pa.array(part.column("first").to_numpy()[row] + offset), part.column("anchor").take(of_row),
+                     pa.array(ids.view(np.int64)), part.column("known").take(of_row)],
+                    names=["id", "text_hash", "first", "anchor", "window", "known"],
+                )
+
+    return strings.mapInArrow(
+        find, f"id {kind}, text_hash bigint, first bigint, anchor bigint, window bigint, known boolean"
     )
 
 
+def compared(strings: DataFrame, length: int) -> DataFrame:
+    """(id, text_hash, first, last): the repeated windows of the runs not known
+    to be repeated; buckets are compared whole, each in one task."""
+    kind = strings.schema["id"].dataType.simpleString()
+
+    def ranges(rows: pa.RecordBatch) -> pa.RecordBatch:
+        row, offset, ids = _every_window(rows.column("string"), length)
+        bucket = _mix(rows.column("anchor").to_numpy().view(np.uint64)[row], ids, 0)
+        order = np.argsort(bucket, kind="stable")
+        ordered = bucket[order]
+        same = ordered[1:] == ordered[:-1]
+        twice = np.zeros(len(bucket), dtype=bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        hit = np.flatnonzero(twice & ~rows.column("known").to_numpy(zero_copy_only=False)[row])
+        new = np.ones(len(hit), dtype=bool)
+        new[1:] = (np.diff(hit) != 1) | (row[hit[1:]] != row[hit[:-1]])
+        begin = hit[new]
+        end = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1] if len(hit) else hit
+        of_row = pa.array(row[begin])
+        start = rows.column("first").to_numpy()[row[begin]]
+        return pa.RecordBatch.from_arrays(
+            [rows.column("id").take(of_row), rows.column("text_hash").take(of_row),
+             pa.array(start + offset[begin]), pa.array(start + offset[end])],
+            names=["id", "text_hash", "first", "last"],
+        )
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # the last bucket may go on in the next batch
+        for batch in batches:
+            rows = batch if kept is None else pa.concat_batches([kept, batch])
+            anchors = rows.column("anchor").to_numpy()
+            cuts = [0, *(np.flatnonzero(anchors[1:] != anchors[:-1]) + 1).tolist()]
+            begin = 0
+            for cut_at in cuts:
+                if cut_at - begin >= BUCKET_ROWS or cut_at == cuts[-1] > begin:
+                    yield ranges(rows.slice(begin, cut_at - begin))
+                    begin = cut_at
+            kept = rows.slice(begin)
+        if kept is not None and len(kept):
+            yield ranges(kept)
+
+    together = strings.repartition("anchor").sortWithinPartitions("anchor")
+    return together.mapInArrow(find, f"id {kind}, text_hash bigint, first bigint, last bigint")
+
+
 def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["id"].eqNullSafe(b["id"]) & (a["text_hash"] == b["text_hash"])
 
@@ -262,29 +352,38 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
         "repeats-live",
     )
     mixed = live.where("mixed")
-    wholes = mixed.groupBy("anchor", "whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(*row)).alias("one")
+    wholes = written(
+        mixed.groupBy("anchor", "whole").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(*row)).alias("one")
+        ),
+        "repeats-wholes",
     )
+    company = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("company"))
     split = written(
-        mixed.join(wholes, ["anchor", "whole"]).select(
-            *row, "anchor", (F.col("n") > 1).alias("known"),
+        mixed.join(wholes.join(company, "anchor"), ["anchor", "whole"]).select(
+            *row, "anchor", (F.col("n") > 1).alias("known"), "company",
             F.col("one").eqNullSafe(F.struct(*row)).alias("stands"),
         ),
         "repeats-split",
     )
     todo = (
         split.where("stands or not known").groupBy("id", "text_hash")
-        .agg(F.collect_set(F.struct("first", "last", "anchor", "known")).alias("todo"))
+        .agg(F.collect_set(F.struct("first", "last", "anchor", "known", "company")).alias("todo"))
     )
-    single = windows(
-        rows.join(todo, _same_row(rows, todo)).select(rows["id"], rows["text_hash"], "text", "todo"), length
+    texts = rows.select("id", "text_hash", packed("text").alias("packed"))
+    strings = written(
+        contexts(texts.join(todo, _same_row(texts, todo)).select(texts["id"], texts["text_hash"], "packed", "todo"),
+                 length),
+        "repeats-strings",
     )
-    single = written(single, "repeats-windows")
-    twice = single.groupBy("anchor", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    hits = single.where("not known").join(twice, ["anchor", "string"]).select(
+    small = compared(strings.where(F.col("company") <= BUCKET_ROWS), length)
+    single = windows(strings.where(F.col("company") > BUCKET_ROWS), length)
+    twice = single.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    large = single.where("not known").join(twice, ["anchor", "window"]).select(
         "id", "text_hash", "first", F.col("first").alias("last")
     )
-    return live.where("not mixed").select(*row).unionAll(split.where("known").select(*row)).unionAll(hits)
+    whole = live.where("not mixed").unionByName(split.where("known"), allowMissingColumns=True)
+    return whole.select(*row).unionAll(small).unionAll(large)
 
 
 def removed_spans(docs: DataFrame, length: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
@@ -308,9 +407,8 @@ def merged(first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray
     return starts[at], stops[np.append(at[1:], len(starts)) - 1] if len(at) else stops
 
 
-def cut(text: pa.Scalar, ranges: pa.Scalar, length: int) -> tuple[bytes, int, int, int]:
+def cut(data: np.ndarray, ranges: pa.Scalar, length: int) -> tuple[bytes, int, int, int]:
     """What is left of a text, its bytes, the bytes removed, the spans removed."""
-    data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.empty(0, np.uint8)
     if not ranges.is_valid:
         return data.tobytes(), len(data), 0, 0
     first, last = (ranges.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -322,11 +420,6 @@ def cut(text: pa.Scalar, ranges: pa.Scalar, length: int) -> tuple[bytes, int, in
     return data[keep].tobytes(), len(data), int((stops - starts).sum()), len(starts)
 
 
-def _with_ranges(docs: DataFrame, length: int, id_column: str, text_column: str) -> DataFrame:
-    rows, ranges = removed_spans(docs, length, id_column, text_column)
-    return rows.join(ranges, _same_row(rows, ranges), "left").select(rows["id"], "text", "ranges")
-
-
 def removals(docs: DataFrame, length: int = 200, id_column: str = "doc_id",
              text_column: str = "text") -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans (maximal removed runs) and
@@ -335,16 +428,18 @@ def removals(docs: DataFrame, length: int = 200, id_column: str = "doc_id",
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ranges = batch.column(1).cast(pa.large_binary()), batch.column(2)
-            out = [cut(texts[i], ranges[i], length) for i in range(len(batch))]
+            texts, ranges = batch.column(1), batch.column(2)
+            out = [cut(unpacked(texts[i]), ranges[i], length) for i in range(len(batch))]
             numbers = [pa.array([o[k] for o in out], pa.int64()) for k in (1, 2, 3)]
             sha = pa.array([hashlib.sha256(o[0]).hexdigest() for o in out], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *numbers, sha], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             )
 
+    rows, ranges = removed_spans(docs, length, id_column, text_column)
+    texts = rows.select("id", "text_hash", packed("text").alias("packed"))
     return (
-        _with_ranges(docs, length, id_column, text_column)
+        texts.join(ranges, _same_row(texts, ranges), "left").select(texts["id"], "packed", "ranges")
         .mapInArrow(digest, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
         .withColumnRenamed("id", id_column)
     )
@@ -370,7 +465,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_column: str = "doc_id"
     def left_over(texts: pa.Array, spans: pa.Array) -> pa.Array:
         raw = texts.cast(pa.large_binary())
         return pa.array(
-            [cut(raw[i], spans[i], length)[0].decode("utf-8", "ignore") for i in range(len(raw))], pa.string()
+            [cut(np.frombuffer(raw[i].as_buffer(), np.uint8), spans[i], length)[0].decode("utf-8", "ignore")
+             if raw[i].is_valid else None for i in range(len(raw))], pa.string()
         )
 
     text = F.when(F.col(own).isNull(), docs[text_column]).otherwise(left_over(docs[text_column], F.col(own)))
