@@ -20,8 +20,8 @@ strings are equal, so positions are kept in buckets and buckets are refined:
   bucket differ, at the edges of repeated regions, are single windows refined to
   ``length`` bytes. Of runs already known to be repeated one representative
   takes part in that. The strings of a bucket's runs are brought together in a
-  task if there are at most ``BUCKET_ROWS``; a larger bucket is counted window
-  by window with partial aggregation, whatever its size.
+  task if at most ``BUCKET_ROWS`` differ; a larger bucket is refined first, in
+  blocks of fewer and fewer windows, until its buckets are small or all alike.
 
 All other counts are partial aggregations joined back, so a passage in a third
 of all documents is spread over tasks. Texts travel compressed. Texts are UTF-8
@@ -50,6 +50,9 @@ BLOCK = 128
 STEP = 1 << 18
 #: Most differing runs of an anchor's bucket that one task compares.
 BUCKET_ROWS = 1024
+#: Windows of a block, in the rounds that refine larger buckets; the last must
+#: be 1, where the strings of a bucket are all alike.
+WIDTHS = (48, 12, 3, 1)
 #: Lower bits of an identifier that give way to the place; more than a step has places.
 PLACE_BITS = 20
 #: Odd multipliers of the two lanes, for the earlier and the later bucket.
@@ -264,26 +267,72 @@ def _every_window(strings: pa.Array, length: int) -> tuple[np.ndarray, np.ndarra
     return row, offset, ids[np.repeat(edges[:-1] - edges[0], sizes) + offset]
 
 
-def windows(strings: DataFrame, length: int) -> DataFrame:
-    """(id, text_hash, first, anchor, window, known): single windows, refined
-    to ``length`` bytes, one row each."""
+def finer(strings: DataFrame, length: int, width: int) -> DataFrame:
+    """The runs cut into blocks of up to ``width`` windows: rows of (id,
+    text_hash, first, last, anchor, whole, known, string).
+
+    Blocks lie at fixed distances from the anchor, so those of different runs
+    line up. All windows of a block contain the same middle; the new bucket,
+    again called ``anchor``, is refined by the middle's identifier, and ``whole``
+    is that of the block's string.
+    """
     kind = strings.schema["id"].dataType.simpleString()
+    places = np.uint64((1 << PLACE_BITS) - 1)
+
+    def blocks(key: int, text: bytes) -> list[tuple[int, int, int, int]]:
+        """(first window, last window, bucket, whole) of the blocks of a run."""
+        grams = eight_grams(np.frombuffer(text, np.uint8))
+        gram, ids = Buckets(grams, 0).at(GRAM)[: length - GRAM + 1], Buckets(grams, 1)
+        place = int(np.argmin((gram & ~places) | (places - np.arange(len(gram), dtype=np.uint64))))
+        low = place - (len(text) - length)
+        number = np.arange(low // width, place // width + 1)
+        first = place - np.minimum(place, (number + 1) * width - 1)
+        last = place - np.maximum(low, number * width)
+        middle = ids.at(length - width + 1)[place - number * width]
+        bucket = _mix(_mix(np.full(len(number), key).view(np.uint64), number.view(np.uint64), 0), middle, 0)
+        whole = ids.spans(first, last - first + length, BLOCK)
+        return list(zip(first.tolist(), last.tolist(), bucket.view(np.int64).tolist(), whole.view(np.int64).tolist()))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.slice(at, 1000)
-                row, offset, ids = _every_window(part.column("string"), length)
-                of_row = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(of_row), part.column("text_hash").take(of_row),
-                     pa.array(part.column("first").to_numpy()[row] + offset), part.column("anchor").take(of_row),
-                     pa.array(ids.view(np.int64)), part.column("known").take(of_row)],
-                    names=["id", "text_hash", "first", "anchor", "window", "known"],
-                )
+            rows, out, text = [], [], []
+            for i, (key, string) in enumerate(zip(batch.column("anchor").to_pylist(), batch.column("string").to_pylist())):
+                for block in blocks(key, string):
+                    rows.append(i)
+                    out.append(block)
+                    text.append(string[block[0] : block[1] + length])
+            of_row = pa.array(rows, pa.int64())
+            first, last, bucket, whole = (np.array([o[k] for o in out], np.int64) for k in range(4))
+            start = batch.column("first").to_numpy()[np.array(rows, np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(of_row), batch.column("text_hash").take(of_row), pa.array(start + first),
+                 pa.array(start + last), pa.array(bucket), pa.array(whole), batch.column("known").take(of_row),
+                 pa.array(text, pa.binary())],
+                names=["id", "text_hash", "first", "last", "anchor", "whole", "known", "string"],
+            )
+
+    return strings.select("id", "text_hash", "first", "anchor", "known", "string").mapInArrow(
+        find, f"id {kind}, text_hash bigint, first bigint, last bigint, anchor bigint, whole bigint, "
+        "known boolean, string binary"
+    )
+
 
-    return strings.mapInArrow(
-        find, f"id {kind}, text_hash bigint, first bigint, anchor bigint, window bigint, known boolean"
+def _settled(rows: DataFrame, carried: list[str]) -> DataFrame:
+    """Runs with their bucket's standing: ``twice`` if their whole string is
+    there again, ``company`` as the number of different strings in the bucket,
+    and ``goes_on`` if finer blocks must be looked at: runs neither repeated
+    as a whole nor alone, and one that stands for those that are."""
+    row = ["id", "text_hash", "first", "last"]
+    wholes = written(
+        rows.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*row)).alias("one")),
+        "repeats-wholes",
+    )
+    company = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("company"))
+    counts = written(wholes.join(company, "anchor").where("n > 1 or company > 1"), "repeats-counts")
+    stands = F.col("one").eqNullSafe(F.struct(*row)) | ((F.col("n") == 1) & ~F.col("known"))
+    return rows.join(counts, ["anchor", "whole"]).select(
+        *row, "anchor", "known", (F.col("n") > 1).alias("twice"), "company",
+        (stands & (F.col("company") > 1)).alias("goes_on"), *carried,
     )
 
 
@@ -342,33 +391,22 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
     row = ["id", "text_hash", "first", "last"]
     every = runs(rows, length)
     # Buckets of anchors; those with company live on.
-    anchors = every.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")
-    )
-    live = written(
-        every.join(anchors.where("n > 1"), "anchor").select(
-            *row, "anchor", "whole", F.expr("low <> high").alias("mixed")
-        ),
-        "repeats-live",
-    )
-    mixed = live.where("mixed")
-    wholes = written(
-        mixed.groupBy("anchor", "whole").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(*row)).alias("one")
-        ),
-        "repeats-wholes",
+    anchors = written(
+        every.groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")
+        ).where("n > 1").select("anchor", F.expr("low <> high").alias("mixed")),
+        "repeats-anchors",
     )
-    company = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("company"))
-    split = written(
-        mixed.join(wholes.join(company, "anchor"), ["anchor", "whole"]).select(
-            *row, "anchor", (F.col("n") > 1).alias("known"), "company",
-            F.col("one").eqNullSafe(F.struct(*row)).alias("stands"),
-        ),
-        "repeats-split",
+    live = written(every.join(anchors, "anchor").select(*row, "anchor", "whole", "mixed"), "repeats-live")
+    found = live.where("not mixed").select(*row)
+
+    settled = written(
+        _settled(live.where("mixed").withColumn("known", F.lit(False)), []), "repeats-settled"
     )
+    found = found.unionAll(settled.where("twice").select(*row))
     todo = (
-        split.where("stands or not known").groupBy("id", "text_hash")
-        .agg(F.collect_set(F.struct("first", "last", "anchor", "known", "company")).alias("todo"))
+        settled.where("goes_on").groupBy("id", "text_hash")
+        .agg(F.collect_set(F.struct("first", "last", "anchor", F.col("twice").alias("known"), "company")).alias("todo"))
     )
     texts = rows.select("id", "text_hash", packed("text").alias("packed"))
     strings = written(
@@ -376,14 +414,18 @@ def repeated_windows(rows: DataFrame, length: int) -> DataFrame:
                  length),
         "repeats-strings",
     )
-    small = compared(strings.where(F.col("company") <= BUCKET_ROWS), length)
-    single = windows(strings.where(F.col("company") > BUCKET_ROWS), length)
-    twice = single.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    large = single.where("not known").join(twice, ["anchor", "window"]).select(
-        "id", "text_hash", "first", F.col("first").alias("last")
-    )
-    whole = live.where("not mixed").unionByName(split.where("known"), allowMissingColumns=True)
-    return whole.select(*row).unionAll(small).unionAll(large)
+    for width in WIDTHS:
+        found = found.unionAll(compared(strings.where(F.col("company") <= BUCKET_ROWS), length))
+        large = strings.where(F.col("company") > BUCKET_ROWS)
+        if large.isEmpty():
+            break
+        blocks = written(finer(large, length, width), "repeats-blocks")
+        settled = written(_settled(blocks, ["string"]), "repeats-settled")
+        found = found.unionAll(settled.where("twice and not known").select(*row))
+        strings = settled.where("goes_on").select(
+            "id", "text_hash", "first", "anchor", (F.col("twice") | F.col("known")).alias("known"), "company", "string"
+        )
+    return found
 
 
 def removed_spans(docs: DataFrame, length: int, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
