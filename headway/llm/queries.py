@@ -11,13 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import bpe, repeats, simhash
+from headway.llm import bpe, decontaminate, quality, repeats, simhash
 from headway.llm.frames import table
 
 #: The contract of SimHash near-dedup.
 SHINGLE_WORDS, SIMHASH_BITS = 3, 3
 #: The contract of exact substring removal.
 REPEAT_BYTES = 200
+#: The contract of the quality score.
+GOOD_SCORE = 0.3
+#: The contract of decontamination.
+WINDOW_WORDS = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +56,47 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_repeats")
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removals(table(spark, sf_dir, "documents"), length=REPEAT_BYTES)
+
+
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=GOOD_SCORE
+    )
+
+
+#: The contract's words and windows in SQL; a word is hit if the window that
+#: starts at most nine words before it occurs in the document there.
+DECONTAMINATION_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+i as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+iw as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') as win
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as p from i where len(w) > 0)),
+lens as (select distinct n from iw),
+dw as (
+  select doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') as win
+  from (select doc_id, w, unnest(range(1, len(w) + 1)) as p from d), lens where p + n - 1 <= len(w)),
+m as (select distinct doc_id, p, iw.n as n, item_id from dw join iw on dw.win = iw.win and dw.n = iw.n),
+hit as (select doc_id, count(distinct pos) as n_hit
+  from (select doc_id, unnest(range(p, p + n)) as pos from m) group by doc_id),
+found as (select doc_id, count(distinct item_id) as n_items,
+  string_agg(distinct item_id, ',' order by item_id) as ids from m group by doc_id)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit on hit.doc_id = d.doc_id left join found on found.doc_id = d.doc_id
+"""
+
+
+@register("op3_decontamination", DECONTAMINATION_SQL)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=WINDOW_WORDS
+    )
+    return found.drop("item_ids")
