@@ -22,7 +22,6 @@ windows of all of them.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headway.llm.frames import free_name, written
@@ -39,17 +38,23 @@ def words(text: Column) -> Column:
 
 
 def tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Stored token arrays: (row, id, n_words, words); ``row`` is a number of
-    its own for each row."""
+    """Stored token arrays: (row, id, text_hash, n_words, words); ``row`` is a
+    number of its own for each row."""
     found = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
-        words(F.col(text_column)).alias("words"),
+        F.xxhash64(text_column).alias("text_hash"), words(F.col(text_column)).alias("words"),
     )
     return written(
-        found.select("row", "id", F.size("words").cast("bigint").alias("n_words"), "words"), "tokens"
+        found.select("row", "id", "text_hash", F.size("words").cast("bigint").alias("n_words"), "words"),
+        "tokens",
     )
 
 
+def _joined_words(stored: DataFrame) -> DataFrame:
+    """(row, joined): words as one text, which is less to shuffle than an array."""
+    return stored.select("row", F.concat_ws(" ", "words").alias("joined"))
+
+
 def items(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> DataFrame:
     """(entry, item_id, words) of test items that have words; an entry is a text
     of an item."""
@@ -139,9 +144,9 @@ def phrase_matches(stored: DataFrame, entries: DataFrame, size: int = 10) -> Dat
     )
     # The stretch of the document that the item would cover; a window that
     # would begin before the document can't match.
-    near = stored.select("row", "words").join(candidates, "row").select(
+    near = _joined_words(stored).join(candidates, "row").select(
         "row", "entry", "shift", "windows",
-        F.slice("words", F.greatest(F.col("shift"), F.lit(0)) + 1,
+        F.slice(F.split("joined", " "), F.greatest(F.col("shift"), F.lit(0)) + 1,
                 F.array_max(F.transform("windows", lambda w: w["start"] + w["length"]))
                 + F.least(F.col("shift"), F.lit(0))).alias("there"),
     )
@@ -172,8 +177,8 @@ def proximity_matches(stored: DataFrame, entries: DataFrame, size: int = 10, slo
     both = first.join(second, ["row", "entry", "w", "shift"])
     item = entries.select("entry", "item_id", F.col("words").alias("item"))
     begin = F.col("shift") + F.col("w.start")
-    around = F.slice("words", F.greatest(begin - slop, F.lit(0)) + 1, F.col("w.length") + 2 * slop)
-    found = stored.select("row", "words").join(both, "row").select(
+    around = F.slice(F.split("joined", " "), F.greatest(begin - slop, F.lit(0)) + 1, F.col("w.length") + 2 * slop)
+    found = _joined_words(stored).join(both, "row").select(
         "row", "entry", begin.alias("position"), "w", around.alias("there")
     )
     wanted = F.slice("item", F.col("w.start") + 1, F.col("w.length"))
@@ -229,11 +234,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_colu
     as they were."""
     stored = tokens(docs, id_column, text_column)
     hit = phrase_matches(stored, items(benchmark, item_column, item_text_column), size)
-    own, key, same = (free_name(docs, n) for n in ("bad_id", "bad_words", "own_words"))
+    own, key = free_name(docs, "bad_id"), free_name(docs, "bad_text")
     bad = stored.join(hit.select("row").distinct(), "row", "left_semi").select(
-        F.col("id").alias(own), F.xxhash64("words").alias(key)
+        F.col("id").alias(own), F.col("text_hash").alias(key)
+    )
+    return docs.join(
+        bad, docs[id_column].eqNullSafe(bad[own]) & (F.xxhash64(docs[text_column]) == bad[key]), "left_anti"
     )
-    marked = docs.withColumn(same, F.xxhash64(words(docs[text_column])))
-    return marked.join(
-        bad, marked[id_column].eqNullSafe(bad[own]) & (marked[same] == bad[key]), "left_anti"
-    ).select(*docs.columns)

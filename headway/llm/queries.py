@@ -10,8 +10,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, quality, repeats, simhash
+from headway.llm import bpe, decontaminate, multiindex, quality, repeats, simhash, tokenfiles
 from headway.llm.frames import table
 
 #: The contract of SimHash near-dedup.
@@ -22,6 +23,8 @@ REPEAT_BYTES = 200
 GOOD_SCORE = 0.3
 #: The contract of decontamination.
 WINDOW_WORDS = 10
+#: The contracts of token files and of the vector search.
+END_ID, QUERY_EVERY, NEIGHBOURS = 2, 20, 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +103,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=WINDOW_WORDS
     )
     return found.drop("item_ids")
+
+
+@register("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=END_ID
+    )
+
+
+@register("op10_neighbours")
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multiindex.nearest(vectors, F.col("vec_id") % QUERY_EVERY == 0, k=NEIGHBOURS)
