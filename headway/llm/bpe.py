@@ -41,6 +41,8 @@ PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE
 
 #: Words of a cache generation (a Python worker keeps two).
 CACHE_WORDS = 300_000
+#: Bytes of text whose words are looked up together.
+PART_BYTES = 1 << 20
 #: Longest word, in bytes, that is merged by scanning.
 SCANNED = 48
 #: Words taken from one text at a time.
@@ -75,8 +77,8 @@ class Vocabulary:
         self.pattern = regex.compile(WORDS)
         marks = sorted(self.added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, marks))) if marks else None
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _read_merges(self, model: dict, size: int) -> None:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -234,44 +236,48 @@ class Vocabulary:
             yield self.added[mark.group()]
             at = mark.end()
 
-    def learn(self, words: set[str]) -> None:
-        """Puts the ids of all these words into the cache. A full cache becomes
-        the older generation, from which words in use come back."""
-        new = words.difference(self.cache)
+    def _learn(self, new: set[str]) -> None:
+        """Puts the ids of words that aren't in the cache into it. A full cache
+        becomes the older generation, from which words in use come back."""
         if len(self.cache) + len(new) > CACHE_WORDS:
-            self.older, self.cache, new = self.cache, {}, words
+            self.older, self.cache = self.cache, {}
         known = new.intersection(self.older)
         self.cache.update(zip(known, map(self.older.__getitem__, known)))
         fresh = list(new.difference(known))
-        self.cache.update(zip(fresh, map(tuple, self.encode_words(fresh)), strict=True))
+        self.cache.update(zip(fresh, (array("i", i).tobytes() for i in self.encode_words(fresh)), strict=True))
 
-    def _append(self, ids: array, blocks: Iterable[list[str] | int]) -> None:
-        find = self.cache.__getitem__
-        for block in blocks:
-            if isinstance(block, int):
-                ids.append(block)
-            else:
-                ids.extend(list(chain.from_iterable(map(find, block))))
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        pieces = list(map(self.cache.get, words))
+        new = [i for i, piece in enumerate(pieces) if piece is None]
+        if new:
+            self._learn({words[i] for i in new})
+            for i in new:
+                pieces[i] = self.cache[words[i]]
+        return pieces
 
     def encode(self, texts: list[str | None]) -> Iterator[array]:
-        """The ids of each text, in order. The new words of all short texts are
-        encoded together, which keeps the numpy steps long; a long text goes
-        block by block."""
+        """The ids of each text, in order. The words of all short texts are
+        looked up together, which keeps the numpy steps for new words long; a
+        long text goes block by block."""
         most = 8 * BLOCK_WORDS
-        blocks = [list(self._word_blocks(t)) if t and len(t) <= most else [] for t in texts]
-        words: set[str] = set()
-        for block in chain.from_iterable(blocks):
-            words.update(block if isinstance(block, list) else ())
-        self.learn(words)
-        for text, own in zip(texts, blocks, strict=True):
+        words: list[str] = []
+        parts: list[list[tuple[int, int] | int]] = []
+        for text in texts:
+            parts.append([])
+            for block in self._word_blocks(text) if text and len(text) <= most else ():
+                if isinstance(block, list):
+                    parts[-1].append((len(words), len(words) + len(block)))
+                    words += block
+                else:
+                    parts[-1].append(block)
+        pieces = self._looked_up(words)
+        for text, own in zip(texts, parts, strict=True):
             ids = array("i")
             if text and len(text) > most:
                 for block in self._word_blocks(text):
-                    self.learn(set(block) if isinstance(block, list) else set())
-                    self._append(ids, [block])
-                self.learn(words)  # which may have made way
-            else:
-                self._append(ids, own)
+                    ids.frombytes(b"".join(self._looked_up(block)) if isinstance(block, list) else array("i", [block]).tobytes())
+            for part in own:
+                ids.frombytes(b"".join(pieces[slice(*part)]) if isinstance(part, tuple) else array("i", [part]).tobytes())
             yield ids
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -288,7 +294,7 @@ def vocabulary(path: str) -> Vocabulary:
 def encoded(path: str, texts: pa.Array) -> Iterator[array]:
     """Ids of an Arrow column of texts, a few megabytes at a time."""
     vocab = vocabulary(path)
-    for part in batch_parts(texts):
+    for part in batch_parts(texts, PART_BYTES):
         yield from vocab.encode(part.to_pylist())
 
 
