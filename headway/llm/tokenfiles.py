@@ -22,11 +22,13 @@ each other in the order of their texts, null ids before all others.
 
 from __future__ import annotations
 
+import json
+import os
 import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,72 +41,123 @@ from headway.session import work_path
 
 #: Ids of a sequence, and sequences of a batch.
 LENGTH, BATCH = 2048, 256
-#: Chunks of text whose ids a Python worker keeps.
-CACHE_CHUNKS = 200_000
+#: Chunks of a cache generation (a Python worker keeps two).
+CACHE_CHUNKS = 700_000
+#: Bytes of text that are encoded together.
+PART_BYTES = 1 << 20
+#: Letters below are letters in every version of Unicode's tables.
+SIMPLE = "\u0530"
 
 
 class Encoder:
-    """Ids of texts by the ``tokenizers`` library.
-
-    White space between words is dropped by vocabularies of the kind this is
-    for, so a text is encoded chunk by chunk between blanks and line ends, and a
-    chunk seen before is looked up. Other vocabularies are encoded text by text.
+    """Ids of texts by the ``tokenizers`` library, as bytes of ``dtype``.
+
+    With vocabularies that drop white space and lower A-Z, a text's ids are
+    those of its chunks between blanks and line ends, one after the other, and
+    chunks seen before are looked up. A new chunk of letters with full stops or
+    commas behind is looked up by its letters; the letters that are new are
+    encoded as one text of words, where each word's last id is one that ends
+    words. Other vocabularies are encoded text by text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.library.encode_special_tokens = special_as_text
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        probe = ["a b\nc", "a", " a", "b\n", "\n", " "]
-        whole, *parts = [e.ids for e in self._batch(probe)]
-        self.by_chunk = whole == [e.ids for e in self._batch(["a", "b", "c"])][0] + sum(
-            (e.ids for e in self._batch(["b", "c"])), []
-        ) and parts[0] == parts[1] and not parts[3] and not parts[4]
-
-    def _batch(self, texts: list[str]):
-        return self.library.encode_batch(texts, add_special_tokens=False)
-
-    def _learn(self, chunks: set[str]) -> None:
-        new = chunks.difference(self.cache)
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        mark = json.loads(self.library.to_str())["model"].get("end_of_word_suffix")
+        self.ends_word = np.zeros(self.size, dtype=bool)
+        if mark:
+            self.ends_word[[i for t, i in self.library.get_vocab().items() if t.endswith(mark)]] = True
+        whole, a, b, c, blank = self._batch(["Ab cd.\nEf,", "ab", "cd", "ef", "  \n"])
+        stop, comma = self._batch([".", ","])
+        self.by_chunk = bool(mark) and whole == a + b + stop + c + comma and not blank
+
+    def _batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words made of letters."""
+        for at in range(0, len(words), 4000):
+            part = words[at : at + 4000]
+            ids = np.array(self._batch([" ".join(part)])[0], dtype=self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part):
+                yield from map(self._bytes, self._batch(part))
+                continue
+            raw, width = ids.tobytes(), self.dtype.itemsize
+            begin = 0
+            for end in (ends * width).tolist():
+                yield raw[begin:end]
+                begin = end
+
+    def _learn(self, new: set[str]) -> None:
+        """Puts the ids of chunks that aren't in the cache into it. A full cache
+        becomes the older generation, from which chunks in use come back."""
         if len(self.cache) + len(new) > CACHE_CHUNKS:
-            self.older, self.cache, new = self.cache, {}, chunks
+            self.older, self.cache = self.cache, {}
         known = new.intersection(self.older)
         self.cache.update(zip(known, map(self.older.__getitem__, known)))
-        fresh = list(new.difference(known))
-        for at in range(0, len(fresh), 5000):
-            part = fresh[at : at + 5000]
-            self.cache.update(zip(part, (tuple(e.ids) for e in self._batch(part))))
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        split: list[tuple[str, str, str]] = []
+        other, words = [], {}
+        for chunk in new.difference(known):
+            letters = chunk.rstrip(".,")
+            if letters.isalpha() and letters[-1] < SIMPLE and letters.lower().isalpha():
+                word = letters.lower() if letters.isascii() else letters
+                split.append((chunk, word, chunk[len(letters) :]))
+                words[word] = None
+            else:
+                other.append(chunk)
+        find = self.cache.get
+        tails = list({t for _, _, t in split} - {""})
+        behind = {"": b""} | dict(zip(tails, map(self._bytes, self._batch(tails)), strict=True))
+        fresh = [w for w in words if find(w) is None]
+        self.cache.update(zip(fresh, self._encode_words(fresh), strict=True))
+        self.cache.update([(chunk, find(word) + behind[tail]) for chunk, word, tail in split])
+        self.cache.update(zip(other, map(self._bytes, self._batch(other)), strict=True))
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         if not self.by_chunk:
             for text in texts:
-                yield np.array(self._batch([text or ""])[0].ids, dtype=np.uint32)
+                yield self._bytes(self._batch([text or ""])[0])
             return
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self._learn(set(chain.from_iterable(split)))
-        find = self.cache.__getitem__
-        for chunks in split:
-            yield np.array(list(chain.from_iterable(map(find, chunks))), dtype=np.uint32)
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """Loaded once per Python worker."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def encoded(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
-    for part in batch_parts(texts):
-        yield from encoder(path).encode(part.to_pylist())
+        chunks: list[str] = []
+        ends = [0]
+        for text in texts:
+            if text:
+                chunks += text.replace("\n", " ").split(" ")
+            ends.append(len(chunks))
+        pieces = list(map(self.cache.get, chunks))
+        new = [i for i, piece in enumerate(pieces) if piece is None]
+        if new:
+            self._learn({chunks[i] for i in new})
+            for i in new:
+                pieces[i] = self.cache[chunks[i]]
+        for begin, end in zip(ends, ends[1:]):
+            yield b"".join(pieces[begin:end])
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
+    """Loaded once per Python worker; Spark already runs a task on every core."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return Encoder(path, special_as_text)
+
+
+def encoded(path: str, texts: pa.Array, special_as_text: bool = False) -> Iterator[np.ndarray]:
+    own = encoder(path, special_as_text)
+    for part in batch_parts(texts, PART_BYTES):
+        for ids in own.encode(part.to_pylist()):
+            yield np.frombuffer(ids, own.dtype)
 
 
 def token_ids(text: Column, path: str) -> Column:
@@ -114,13 +167,13 @@ def token_ids(text: Column, path: str) -> Column:
     def ids(texts: pa.Array) -> pa.Array:
         rows = list(encoded(path, texts))
         ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-        flat = np.concatenate([*rows, np.empty(0, np.uint32)]).astype(np.int32)
+        flat = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     return ids(text)
 
 
-def _open(uri: str):
+def open_uri(uri: str):
     """(file system, path) of a URI or a plain path."""
     from pyarrow import fs
 
@@ -178,7 +231,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, parts: int | Non
 
         part = TaskContext.get().partitionId()
         wide = pa.uint16() if max(encoder(path).size, end_id + 1) <= 1 << 16 else pa.uint32()
-        files, root = _open(folder)
+        files, root = open_uri(folder)
         names = [posixpath.join(root, f"part-{part:05d}.{k}.arrow") for k in ("ids", "docs")]
         tries = [f"{n}.{uuid.uuid4().hex}" for n in names]
         end, documents, total, docs_writer = np.array([end_id], np.uint32), 0, 0, None
@@ -216,7 +269,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, parts: int | Non
              "ids": pa.array([total], pa.int64())}
         )
 
-    files, root = _open(folder)
+    files, root = open_uri(folder)
     files.create_dir(root, recursive=True)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     count = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -241,7 +294,7 @@ def documents(spark: SparkSession, parts: DataFrame, folder: str, id_type: str =
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _open(folder)
+        files, root = open_uri(folder)
         for batch in batches:
             for row in batch.to_pylist():
                 ids = IdStream(files, posixpath.join(root, row["ids_file"]))
