@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import bpe, decontaminate, multiindex, quality, repeats, simhash, tokenfiles
+from headway.llm import (
+    bpe, decontaminate, langid, multiindex, paragraphs, quality, repeats, simhash, tokencount, tokenfiles,
+)
 from headway.llm.frames import table
 
 #: The contract of SimHash near-dedup.
@@ -25,6 +27,8 @@ GOOD_SCORE = 0.3
 WINDOW_WORDS = 10
 #: The contracts of token files and of the vector search.
 END_ID, QUERY_EVERY, NEIGHBOURS = 2, 20, 20
+#: The end-of-text id of word_bpe_49k.json.
+END_OF_TEXT = 49407
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +120,21 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return multiindex.nearest(vectors, F.col("vec_id") % QUERY_EVERY == 0, k=NEIGHBOURS)
+
+
+@register("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@register("op4_paragraphs")
+def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.report(table(spark, sf_dir, "documents"))
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The separator is the vocabulary's own end-of-text id."""
+    return tokencount.counts_of_texts(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=END_OF_TEXT
+    )
