@@ -42,7 +42,7 @@ from headway.session import work_path
 #: Ids of a sequence, and sequences of a batch.
 LENGTH, BATCH = 2048, 256
 #: Chunks of a cache generation (a Python worker keeps two).
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 800_000
 #: Bytes of text that are encoded together.
 PART_BYTES = 1 << 20
 #: Letters below are letters in every version of Unicode's tables.
@@ -110,9 +110,12 @@ class Encoder:
         split: list[tuple[str, str, str]] = []
         other, words = [], {}
         for chunk in new.difference(known):
-            letters = chunk.rstrip(".,")
-            if letters.isalpha() and letters[-1] < SIMPLE and letters.lower().isalpha():
-                word = letters.lower() if letters.isascii() else letters
+            word = letters = chunk.rstrip(".,")
+            if letters.isascii():
+                simple, word = letters.isalpha(), letters.lower()
+            else:
+                simple = letters.isalpha() and letters[-1] < SIMPLE and letters.lower().isalpha()
+            if simple:
                 split.append((chunk, word, chunk[len(letters) :]))
                 words[word] = None
             else:
@@ -134,6 +137,10 @@ class Encoder:
         ends = [0]
         for text in texts:
             if text:
+                # Lower case is what the vocabulary makes of A-Z, but for marks
+                # of special tokens.
+                if text.isascii() and "<|" not in text:
+                    text = text.lower()
                 chunks += text.replace("\n", " ").split(" ")
             ends.append(len(chunks))
         pieces = list(map(self.cache.get, chunks))
