@@ -505,11 +505,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_column: str = "doc_id"
 
     @F.arrow_udf("string")
     def left_over(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        raw = texts.cast(pa.large_binary())
-        return pa.array(
-            [cut(np.frombuffer(raw[i].as_buffer(), np.uint8), spans[i], length)[0].decode("utf-8", "ignore")
-             if raw[i].is_valid else None for i in range(len(raw))], pa.string()
-        )
+        parts = []
+        for at in range(0, len(texts), 250):
+            raw, own_spans = texts.slice(at, 250).cast(pa.large_binary()), spans.slice(at, 250)
+            parts.append(pa.array(
+                [cut(np.frombuffer(t.as_buffer(), np.uint8), r, length)[0].decode("utf-8", "ignore")
+                 if t.is_valid else None for t, r in zip(raw, own_spans)], pa.string()
+            ))
+        return pa.concat_arrays(parts or [pa.array([], pa.string())])
 
     text = F.when(F.col(own).isNull(), docs[text_column]).otherwise(left_over(docs[text_column], F.col(own)))
     return joined.select(*[text.alias(c) if c == text_column else docs[c] for c in docs.columns])
