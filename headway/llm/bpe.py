@@ -40,7 +40,7 @@ WORDS = (
 PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
 
 #: Words of a cache generation (a Python worker keeps two).
-CACHE_WORDS = 120_000
+CACHE_WORDS = 60_000
 #: Bytes of text whose words are looked up together.
 PART_BYTES = 1 << 20
 #: Longest word, in bytes, that is merged by scanning.
