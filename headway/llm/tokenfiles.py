@@ -87,8 +87,8 @@ class Encoder:
 
     def _encode_words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of words made of letters."""
-        for at in range(0, len(words), 4000):
-            part = words[at : at + 4000]
+        for at in range(0, len(words), 200):
+            part = words[at : at + 200]
             ids = np.array(self._batch([" ".join(part)])[0], dtype=self.dtype)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(part):
