@@ -189,7 +189,7 @@ def identify(pages: DataFrame, texts: DataFrame, settings: Settings = Settings()
         "language-evidence",
     )
     every = evidence.groupBy().agg(
-        F.array(*[(F.sum(F.col("by_text")[i]) + 1) / (F.count(F.lit(1)) + size) for i in range(size)]).alias("p")
+        F.array(*[(F.coalesce(F.sum(F.col("by_text")[i]), F.lit(0.0)) + 1) / (F.count(F.lit(1)) + size) for i in range(size)]).alias("p")
     ).first()["p"]
     overall = F.array(*[F.lit(float(p)) for p in every])
 

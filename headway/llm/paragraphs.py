@@ -21,7 +21,8 @@ components goes unverified.
 Words are runs of characters other than ASCII white space, A-Z lowered. A
 paragraph of fewer words than a shingle is one shingle of its whole. Null and
 empty texts have no paragraphs. Rows that repeat an id are documents of their
-own; of equal ids the smaller text hash comes first, null ids come last.
+own; of equal ids the smaller text hash comes first, null ids come last. Rows
+equal in id and text are one occurrence and share their fate.
 """
 
 from __future__ import annotations
