@@ -60,14 +60,13 @@ def clean_headers(df: DataFrame) -> DataFrame:
     return trimmed.drop(*[name for name in trimmed.columns if _UNNAMED.match(name)])
 
 
-def with_columns_of(df: DataFrame, wanted: tuple[str, ...]) -> DataFrame:
-    """Exactly the wanted columns; those the file lacks are NULL text."""
-    return df.select(
-        *[
-            F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)
-            for name in wanted
-        ]
-    )
+def with_columns_of(df: DataFrame, wanted: tuple[str, ...], source: str = "the file") -> DataFrame:
+    """Exactly the wanted columns, found without regard to case. A missing one
+    is an error: as NULL, a key would silently drop every row later."""
+    found = {name.lower(): name for name in df.columns}
+    if missing := [name for name in wanted if name.lower() not in found]:
+        raise ValueError(f"{source} lacks the columns {', '.join(missing)}")
+    return df.select(*[F.col(f"`{found[name.lower()]}`").alias(name) for name in wanted])
 
 
 def read_feed(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -77,7 +76,7 @@ def read_feed(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     for member, columns in FEED_COLUMNS.items():
         path = f"{directory.rstrip('/')}/{member}.txt"
         try:
-            members[member] = with_columns_of(read_csv_text(spark, path), columns)
+            members[member] = with_columns_of(read_csv_text(spark, path), columns, path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -107,7 +107,7 @@ def flatten_eta(
             "service_type",
             F.col("dest_en").alias("destination_en"),
             F.col("dest_tc").alias("destination_tc"),
-            F.col("eta_seq").cast("bigint").alias("eta_seq"),
+            F.col("eta_seq").try_cast("bigint").alias("eta_seq"),
             "eta",
             clock.alias("timestamp"),
         )

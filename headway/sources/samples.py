@@ -155,10 +155,12 @@ def rail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rail_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as a stream over the events file."""
+    """The same events as a stream over the events table, a file or a folder
+    of part files; an error where there is none."""
+    table(spark, sf_dir, "events")
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
     return as_rail_events(
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     )
 
 
