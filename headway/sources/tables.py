@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,34 @@ def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def _replace(spark: SparkSession, fresh: str, target: str) -> None:
+    """Puts a finished folder in the place of another."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    new, now, old = path(fresh), path(target), path(f"{fresh}.old")
+    files = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(now)
+    if had and not files.rename(now, old):
+        raise OSError(f"{target} can't be moved")
+    if not files.rename(new, now):
+        if had:
+            files.rename(old, now)
+        raise OSError(f"{fresh} can't be moved to {target}")
+    if had:
+        files.delete(old, True)
+
+
 def save(df: DataFrame, root: str, name: str) -> int:
-    """Replaces the table and returns its row count, counted during the write."""
+    """Replaces the table and returns its row count, counted during the write.
+
+    The rows are written beside the table and take its place when complete, so
+    a write that fails leaves the old table as it was.
+    """
     written = Observation(f"{name}_rows")
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+    target = f"{root.rstrip('/')}/{name}"
+    fresh = f"{root.rstrip('/')}/_new-{name}-{uuid.uuid4().hex}"
+    counted.write.parquet(fresh)
+    _replace(df.sparkSession, fresh, target)
     return written.get["rows"]
 
 
