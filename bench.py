@@ -61,6 +61,7 @@ def stored_queries(spark, root):
             reports.hourly_frequency(mart("mart_service_frequency"), hours)
         ),
         "stored_underserved_stops": lambda: reports.underserved_stops(ranked),
+        "stored_hourly_by_type": lambda: reports.departures_by_hour_of_mode(net, catalogue.BUS),
         "stored_zone_coverage": lambda: reports.zone_coverage(ranked),
     }
 

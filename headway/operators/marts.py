@@ -27,19 +27,21 @@ LONGEST_KEPT = 20
 class Network:
     """Staging tables of one feed; stored rollups replace computed ones."""
 
-    stop_times: DataFrame
-    trips: DataFrame
-    routes: DataFrame
-    stops: DataFrame
+    stop_times: DataFrame | None = None
+    trips: DataFrame | None = None
+    routes: DataFrame | None = None
+    stops: DataFrame | None = None
     calendar: DataFrame | None = None
-    stored_trip_rollup: DataFrame | None = None
+    stored_route_trips: DataFrame | None = None
     stored_route_stop_rollup: DataFrame | None = None
+    stored_route_hours: DataFrame | None = None
 
     @cached_property
-    def trip_rollup(self) -> DataFrame:
-        if self.stored_trip_rollup is not None:
-            return self.stored_trip_rollup
-        return rollups.trip_rollup(self.stop_times)
+    def route_trips(self) -> DataFrame:
+        """The trip rollup with the routes of the trips."""
+        if self.stored_route_trips is not None:
+            return self.stored_route_trips
+        return rollups.with_routes(rollups.trip_rollup(self.stop_times), self.trips)
 
     @cached_property
     def route_stop_rollup(self) -> DataFrame:
@@ -76,12 +78,15 @@ class Network:
     def trips_in_groups(self, group: tuple[str, ...], *measures: str) -> DataFrame:
         """Measures of the trip rollup with the group columns of the trip's
         route, each trip once per group (staging does not promise unique trip
-        or route ids). The join leaves the rows partitioned by trip, so the
-        distinct needs no shuffle."""
-        named = self.trip_groups(*group).select("trip_id", *group)
-        return (
-            self.trip_rollup.select("trip_id", *measures).join(named, "trip_id").distinct()
-        )
+        or route ids). Without stored rollups the rows are joined by trip last,
+        which leaves them partitioned for the distinct."""
+        if self.stored_route_trips is None:
+            named = self.trip_groups(*group).select("trip_id", *group)
+            rows = rollups.trip_rollup(self.stop_times).select("trip_id", *measures)
+            return rows.join(named, "trip_id").distinct()
+        named = self.route_groups(*group).drop("route_copies")
+        rows = self.route_trips.select("trip_id", "route_id", *measures)
+        return rows.join(named, "route_id").drop("route_id").distinct()
 
     def stops_in_groups(self, group: tuple[str, ...], timed: bool) -> DataFrame:
         """Distinct (group columns, stop_id); with ``timed`` only of visits at
@@ -185,15 +190,15 @@ def route_service_hours(net: Network) -> DataFrame:
 def service_frequency(net: Network) -> DataFrame:
     """(route short name, mode, hour 0-23) -> trips that depart in that hour."""
     group = ("route_short_name", "route_type")
-    per_hour = (
-        net.trips_in_groups(group, "hours")
-        .where("hours is not null")
-        .select(*group, "hours", F.explode(F.expr("sequence(0L, 23L)")).alias("hour_of_day"))
-        .where("bit_get(hours, cast(hour_of_day as int)) = 1")
-    )
-    return per_hour.groupBy(*group, "hour_of_day").agg(
-        F.count(F.lit(1)).alias("trips_per_hour")
+    served = net.trips_in_groups(group, "hours").where("hours is not null")
+    counts = served.groupBy(*group).agg(
+        *[F.sum(F.expr(f"bit_get(hours, {h})").cast("bigint")).alias(f"h{h}") for h in range(24)]
     )
+    per_hour = F.array(*[
+        F.struct(F.lit(h).cast("bigint").alias("hour_of_day"), F.col(f"h{h}").alias("trips_per_hour"))
+        for h in range(24)
+    ])
+    return counts.select(*group, F.inline(per_hour)).where("trips_per_hour > 0")
 
 
 def transfer_hubs(
@@ -262,7 +267,7 @@ def weekday_vs_weekend(net: Network) -> DataFrame:
 
 def route_lengths(net: Network) -> DataFrame:
     """Route -> distinct stops, distinct trips, highest stop sequence."""
-    if net.stored_trip_rollup is None or net.stored_route_stop_rollup is None:
+    if net.stored_route_trips is None or net.stored_route_stop_rollup is None:
         # No strings are aggregated here, so Spark's own plan for several
         # distinct counts stays with hash aggregation; measured, one pass over
         # the stop times then beats one per rollup.
@@ -346,6 +351,21 @@ def trip_trajectories(net: Network) -> DataFrame:
     )
 
 
+# The staging tables each mart is made of.
+_STOP_TIMED = ("stg_stop_times", "stg_trips", "stg_routes")
+NEEDS = {
+    "mart_stops_ranked": (*_STOP_TIMED, "stg_stops"),
+    "mart_trips_per_route": ("stg_trips", "stg_routes"),
+    "mart_peak_hour_analysis": ("stg_stop_times",),
+    "mart_route_service_hours": _STOP_TIMED,
+    "mart_service_frequency": _STOP_TIMED,
+    "mart_transfer_hubs": (*_STOP_TIMED, "stg_stops"),
+    "mart_weekday_vs_weekend": ("stg_trips", "stg_calendar"),
+    "mart_longest_routes": _STOP_TIMED,
+    "mart_early_night_routes": _STOP_TIMED,
+    "mart_trip_trajectories": (*_STOP_TIMED, "stg_stops"),
+}
+
 MARTS = {
     "mart_stops_ranked": stops_ranked,
     "mart_trips_per_route": trips_per_route,

@@ -1,14 +1,15 @@
-"""Two small tables that all stop-time marts are built from.
+"""Small tables that all stop-time marts are built from.
 
 ``stop_times`` is the one table that is really big. Rather than join it to
 trips and routes in every mart and count distinct keys over the joined rows
 (Spark would copy each row once per distinct count), it is reduced at once:
 
-* ``trip_rollup``: one row per trip; combines on the map side, so a feed file
-  sorted by trip shrinks before its shuffle and a hot trip is no problem.
-* ``route_stop_rollup``: one row per route and stop; one shuffle of
-  (trip, stop), then partial sums. Its size is bounded by the network, not by
-  the timetable.
+* ``trip_rollup``: one row per trip; combines on the map side, so stop times in
+  trip order, as feeds and the stored staging table have them, shrink before
+  their shuffle, and a hot trip is no problem. ``with_routes`` adds the routes.
+* ``visit_rollup``: one row per route, stop and hour; one shuffle of (trip,
+  stop, hour), then partial sums. Its size is bounded by the network, not by
+  the timetable. Visits per route and stop, or per route and hour, come from it.
 """
 
 from __future__ import annotations
@@ -47,12 +48,55 @@ def runs(trips: DataFrame) -> DataFrame:
     )
 
 
-def route_stop_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
-    """(route_id, stop_id) -> stop visits, and visits at a valid time.
+def with_routes(trip_rows: DataFrame, trips: DataFrame) -> DataFrame:
+    """The trip rollup per (trip_id, route_id), with the number of equal trip
+    rows. Trips without stop times or route are left out."""
+    return trip_rows.join(runs(trips), "trip_id")
+
+
+def visit_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """(route_id, stop_id, hour 0-23 or NULL, timed) -> stop visits. ``timed``
+    tells whether the departure is a valid time; its hour may be above 23.
 
     The join is the only one on the big table; AQE splits a hot trip's
-    partition. The sums combine before the shuffle by route and stop.
+    partition. The sums combine before the shuffle by the keys.
     """
+    departure = F.col("departure_time")
+    timed = F.coalesce(times.is_service_time(departure), F.lit(False))
+    hour = times.valid_hour(departure)
+    return (
+        stop_times.select(
+            "trip_id",
+            "stop_id",
+            F.when(hour.between(0, 23), hour).alias("hour_of_day"),
+            timed.alias("timed"),
+        )
+        .join(runs(trips), "trip_id")
+        .groupBy("route_id", "stop_id", "hour_of_day", "timed")
+        .agg(F.sum("trip_copies").alias("visits"))
+    )
+
+
+def route_stops_of(visits: DataFrame) -> DataFrame:
+    """``route_stop_rollup`` from a stored ``visit_rollup``."""
+    return visits.groupBy("route_id", "stop_id").agg(
+        F.sum("visits").alias("visits"),
+        F.sum(F.when(F.col("timed"), F.col("visits")).otherwise(0)).alias("timed_visits"),
+    )
+
+
+def route_hours_of(visits: DataFrame) -> DataFrame:
+    """(route_id, hour 0-23) -> stop visits."""
+    return (
+        visits.where("hour_of_day is not null")
+        .groupBy("route_id", "hour_of_day")
+        .agg(F.sum("visits").alias("visits"))
+    )
+
+
+def route_stop_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """(route_id, stop_id) -> stop visits, and visits at a valid time, straight
+    from the stop times, with one join as in ``visit_rollup``."""
     timed = F.coalesce(times.is_service_time(F.col("departure_time")), F.lit(False))
     copies = F.col("trip_copies")
     return (

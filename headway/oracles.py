@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from headway.schemas import STAGING
+
 _LINES = "list_value('TML','TCL','KTL','TWL','ISL','EAL','AEL','SIL','TKL','DRL')"
 _DEPARTURE = """case when l_partkey % 97 = 0 then null else
   concat(lpad(cast((o_custkey % 12) * 2 + l_linenumber % 4 as varchar), 2, '0'), ':',
@@ -24,6 +26,7 @@ _WEEKDAY = _day("1-URGENT", "2-HIGH")
 _WEEKEND = _day("1-URGENT", "3-MEDIUM")
 _MODE = """case route_type when 0 then 'Tram' when 1 then 'MTR' when 3 then 'Bus'
   when 4 then 'Ferry' else 'Unknown' end"""
+# Line codes and the names shown for them.
 _LINE_NAMES = {
     "AEL": "Airport Express",
     "TCL": "Tung Chung Line",
@@ -159,6 +162,17 @@ VIEWS: dict[str, str] = {
   count(*) filter (where regexp_matches(departure_time, '^\d+:\d{2}:\d{2}$')) timed_visits
   from stg_stop_times st join stg_trips t on st.trip_id = t.trip_id
   group by route_id, stop_id""",
+    "route_trips": """select trip_id, route_id, count(*) trip_copies from stg_trips
+  where trip_id in (select trip_id from stg_stop_times) group by trip_id, route_id""",
+    "hours_of_visits": r"""select route_id, stop_id,
+  coalesce(regexp_matches(departure_time, '^\d+:\d{2}:\d{2}$'), false) timed,
+  case when timed and cast(split_part(departure_time, ':', 1) as bigint) between 0 and 23
+       then cast(split_part(departure_time, ':', 1) as bigint) end hour_of_day
+  from stg_stop_times st join stg_trips t on st.trip_id = t.trip_id""",
+    "visit_rollup": """select route_id, stop_id, hour_of_day, timed, count(*) visits
+  from hours_of_visits group by route_id, stop_id, hour_of_day, timed""",
+    "route_hours": """select route_id, hour_of_day, count(*) visits from hours_of_visits
+  where hour_of_day is not null group by route_id, hour_of_day""",
     "points": f"""select *, {_MODE} transport_type from
   (select stop_id, stop_name, latitude, longitude, total_departures,
           coalesce(route_type, 3) route_type
@@ -277,8 +291,10 @@ _SAVED_COUNTS = {
     "stg_trips": "stg_trips",
     "stg_stop_times": "stg_stop_times",
     "stg_calendar": "stg_calendar",
-    "trip_rollup": "trip_rollup",
+    "route_trips": "route_trips",
+    "visit_rollup": "visit_rollup",
     "route_stop_rollup": "route_stop_rollup",
+    "route_hours": "route_hours",
     "mart_stops_ranked": "stops_ranked",
     "mart_trips_per_route": "trips_per_route",
     "mart_peak_hour_analysis": "peak_hours",
@@ -411,9 +427,12 @@ SELECTS: dict[str, str] = {
     "eta_flatten": """select event_type, stop_id, route, direction, service_type,
   destination_en, destination_tc, cast(1 as bigint) eta_seq, eta, "timestamp"
   from bus_events""",
-    "broken_answers": """select "timestamp" observed_at from answers where broken""",
+    "broken_answers": """select "timestamp" observed_at, arrival_time curr_time,
+  concat(line, '-', station) line_station from answers where broken""",
     "next_trains": """select direction, cast(n as varchar) seq, destination, platform,
-  arrival_time, minutes_away from trains where line = 'KTL' and station = 'S2'""",
+  arrival_time, minutes_away from trains where line = 'KTL' and station = 'S2'
+  and "timestamp" = (select max("timestamp") from answers
+    where not broken and line = 'KTL' and station = 'S2')""",
     "schedule_status": """select ok, ok and is_delayed is_delayed,
   case when not ok and not broken and event_id % 22 = 0 then 'refused'
        when not ok then 'Unknown error' end as error,
@@ -458,9 +477,7 @@ SELECTS: dict[str, str] = {
     "stream_ingest_rail": f"select {_EVENT_COLUMNS} from rail_events",
     "stream_ingest_bus": "select * from bus_events",
     "live_per_minute": """select date_trunc('minute', "timestamp") as minute, count(*) events
-  from rail_events group by 1
-  having date_trunc('minute', "timestamp") + interval 1 minute
-    <= (select max("timestamp") from rail_events) - interval 10 minute""",
+  from rail_events group by 1""",
     "live_per_line": f"""select line, count(*) events,
   count(*) filter (where is_delayed) delays, {_short_line_name('line')} line_name
   from rail_events group by line""",
@@ -472,7 +489,12 @@ SELECTS: dict[str, str] = {
   count(distinct station) stations_tracked,
   count(*) filter (where is_delayed) delayed_events, max("timestamp") last_updated
   from rail_events""",
-    "feed_files": "select * from stg_stop_times",
+    "feed_files": " union all ".join(
+        f"select '{table}' table_name, concat_ws('|', "
+        + ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in schema.names)
+        + f") row_values from {table}"
+        for table, schema in STAGING.items()
+    ),
     "stored_tables": " union all ".join(
         f"select '{table}' table_name, count(*) row_count from {view}"
         for table, view in _SAVED_COUNTS.items()
@@ -481,6 +503,24 @@ SELECTS: dict[str, str] = {
   count(*) events from rail_events
   where "timestamp" >= timestamp '2024-01-10 06:00:00'
     and "timestamp" < timestamp '2024-02-10 06:00:00' group by 1, 2""",
+    "loaded_bus_stops": """select route_id, route_name_en, direction,
+  stop_sequence as "STOP_SEQUENCE", station_id, station_name_en as "STATION_NAMEE",
+  cast(lat as varchar) latitude, cast(lon as varchar) longitude from light_rail""",
+    "stored_route_stop_rollup": "select * from route_stop_rollup",
+}
+# Stored tables and loaded files give what the plain queries give.
+SELECTS |= {
+    f"stored_{mart.removeprefix('mart_')}": SELECTS[view]
+    for mart, view in _SAVED_COUNTS.items()
+    if mart.startswith("mart_")
+}
+SELECTS["stored_hourly_by_type"] = SELECTS["hourly_by_type"]
+SELECTS |= {
+    f"loaded_{report.removeprefix('rail_')}": SELECTS[report]
+    for report in (
+        "rail_stations_per_line rail_network_size station_picker rail_mean_fares fare_lookup"
+        " light_rail_points"
+    ).split()
 }
 
 

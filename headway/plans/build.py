@@ -1,21 +1,38 @@
 """The daily batch: raw feed -> staging -> rollups -> marts, as stored tables.
 
-Marts read the stored staging tables and rollups, so the stop times are
+Marts read the stored staging tables and rollups. Stop times are stored in
+trip order, so the trip rollup shrinks them before its shuffle; they are
 scanned four times in all: for two rollups, the hour counts and the
 trajectories.
+
+A feed may lack a member. Its staging table, and the rollups and marts that
+need it, are then left as the last complete run stored them, rather than built
+from tables of different runs; ``build_log`` tells which run wrote a table.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.operators import marts, rollups, staging
 from headway.operators.marts import Network
 from headway.sources import feed, tables
 
-# Stored layouts: lookups by these keys skip files by their statistics.
-STAGING_CLUSTERS = {"stg_trips": ("route_id",), "stg_stop_times": ("stop_id", "trip_id")}
-TRAJECTORY_ORDER = ("trip_id", "stop_sequence", "departure_time")
+log = logging.getLogger(__name__)
+
+# Stored layouts: lookups by these keys skip files by their statistics. Trip
+# and sequence are not a key, so the time breaks ties; a hot trip spans several
+# ranges.
+TRIP_ORDER = ("trip_id", "stop_sequence", "departure_time")
+STAGING_CLUSTERS = {"stg_trips": ("route_id", "trip_id"), "stg_stop_times": TRIP_ORDER}
+ROLLUP_NEEDS = ("stg_stop_times", "stg_trips")
+ROLLUPS = ("route_trips", "visit_rollup", "route_stop_rollup", "route_hours")
+BUILD_LOG = "build_log"
+BUILD_LOG_SCHEMA = "table_name string, run string, row_count bigint"
 
 
 def build_staging(
@@ -29,62 +46,103 @@ def build_staging(
     return rows
 
 
-def stored_network(spark: SparkSession, root: str, with_rollups: bool = True) -> Network:
+def stored_network(
+    spark: SparkSession,
+    root: str,
+    with_rollups: bool = True,
+    staged: tuple[str, ...] = tuple(staging.BUILDERS),
+) -> Network:
+    """The stored tables as inputs of marts; ``staged`` names the staging
+    tables to use, by default all."""
+
+    def stored(name: str, there: bool) -> DataFrame | None:
+        return tables.load(spark, root, name) if there else None
+
+    with_rollups = with_rollups and set(ROLLUP_NEEDS) <= set(staged)
     return Network(
-        stop_times=tables.load(spark, root, "stg_stop_times"),
-        trips=tables.load(spark, root, "stg_trips"),
-        routes=tables.load(spark, root, "stg_routes"),
-        stops=tables.load(spark, root, "stg_stops"),
-        calendar=tables.load(spark, root, "stg_calendar"),
-        stored_trip_rollup=tables.load(spark, root, "trip_rollup") if with_rollups else None,
-        stored_route_stop_rollup=(
-            tables.load(spark, root, "route_stop_rollup") if with_rollups else None
-        ),
+        **{name.removeprefix("stg_"): stored(name, name in staged) for name in staging.BUILDERS},
+        stored_route_trips=stored("route_trips", with_rollups),
+        stored_route_stop_rollup=stored("route_stop_rollup", with_rollups),
+        stored_route_hours=stored("route_hours", with_rollups),
     )
 
 
 def build_rollups(spark: SparkSession, root: str) -> dict[str, int]:
-    net = stored_network(spark, root, with_rollups=False)
-    return {
-        "trip_rollup": tables.save(rollups.trip_rollup(net.stop_times), root, "trip_rollup"),
-        "route_stop_rollup": tables.save(
-            rollups.route_stop_rollup(net.stop_times, net.trips), root, "route_stop_rollup"
-        ),
-    }
+    """One shuffle of the stop times for the visits; the tables per route and
+    stop, and per route and hour, come from these."""
+    net = stored_network(spark, root, with_rollups=False, staged=ROLLUP_NEEDS)
+    rows = {"route_trips": tables.save(net.route_trips, root, "route_trips")}
+    visits = rollups.visit_rollup(net.stop_times, net.trips)
+    rows["visit_rollup"] = tables.save(visits, root, "visit_rollup")
+    visits = tables.load(spark, root, "visit_rollup")
+    for name, of in (
+        ("route_stop_rollup", rollups.route_stops_of),
+        ("route_hours", rollups.route_hours_of),
+    ):
+        rows[name] = tables.save(of(visits), root, name)
+    return rows
 
 
-def build_marts(spark: SparkSession, root: str) -> dict[str, int]:
-    net = stored_network(spark, root)
+def build_marts(
+    spark: SparkSession, root: str, staged: tuple[str, ...] = tuple(staging.BUILDERS)
+) -> dict[str, int]:
+    """Replaces the marts that need no other staging tables than these."""
+    net = stored_network(spark, root, staged=staged)
     rows = {}
     for name, mart in marts.MARTS.items():
+        if missing := set(marts.NEEDS[name]) - set(staged):
+            log.warning("%s is not built, %s missing", name, ", ".join(sorted(missing)))
+            continue
         df = mart(net)
         if name == "mart_trip_trajectories":
-            # Trip and sequence are not a key, so the time breaks ties; a hot
-            # trip spans several ranges.
-            df = tables.clustered(df, *TRAJECTORY_ORDER)
+            df = tables.clustered(df, *TRIP_ORDER)
         rows[name] = tables.save(df, root, name)
     return rows
 
 
+def _log_run(spark: SparkSession, root: str, rows: dict[str, int]) -> None:
+    """Notes which run wrote which table; a row per table, so it stays small."""
+    run = uuid.uuid4().hex
+    entries = spark.createDataFrame([(name, run, n) for name, n in rows.items()], BUILD_LOG_SCHEMA)
+    if tables.exists(spark, root, BUILD_LOG):
+        older = tables.load(spark, root, BUILD_LOG).where(~F.col("table_name").isin(list(rows)))
+        entries = older.unionByName(entries)
+    tables.save(entries.coalesce(1), root, BUILD_LOG)
+
+
 def build_all(
     spark: SparkSession, raw: dict[str, DataFrame], root: str, strict: bool = True
 ) -> dict[str, int]:
-    """All tables of a feed under ``root``; returns row counts per table."""
-    return (
-        build_staging(spark, raw, root, strict)
-        | build_rollups(spark, root)
-        | build_marts(spark, root)
-    )
+    """All tables of a feed under ``root``, as far as its members allow;
+    returns row counts per table written."""
+    rows = build_staging(spark, raw, root, strict)
+    staged = tuple(rows)
+    if set(ROLLUP_NEEDS) <= set(staged):
+        rows |= build_rollups(spark, root)
+    rows |= build_marts(spark, root, staged)
+    _log_run(spark, root, rows)
+    return rows
 
 
-def load_rail(spark: SparkSession, files: dict[str, str], root: str) -> dict[str, int]:
+def load_rail(
+    spark: SparkSession,
+    files: dict[str, str],
+    root: str,
+    multiline: bool = False,
+    file_order: bool = True,
+) -> dict[str, int]:
     """Lands each rail file as normalised CSV and replaces its raw table from
-    there; returns row counts. ``files`` maps raw table names to paths."""
+    there; returns row counts. ``files`` maps raw table names to paths.
+
+    Raw tables keep each row's place in the source file, which reports need to
+    find first rows. A landed part file is read as one split, as a quoted line
+    break must not end a row.
+    """
     rows = {}
     for name, path in files.items():
         landed = f"{root.rstrip('/')}/landed/{name}"
-        tables.save_csv(feed.read_rail(spark, path, name), landed)
-        rows[name] = tables.save(feed.read_csv_text(spark, landed), root, name)
+        tables.save_csv(feed.read_rail(spark, path, name, multiline, file_order), landed)
+        rows[name] = tables.save(feed.read_csv_text(spark, landed, multiline=True), root, name)
     return rows
 
 

@@ -6,23 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions import labels
+from headway.streaming import live
 
 
 def stream_kpis(events: DataFrame) -> DataFrame:
     """One row over all events. They are first counted per (line, station), a
     small table, so counting two distinct columns copies no event rows."""
-    pairs = events.groupBy("line", "station").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_if("is_delayed").alias("delays"),
-        F.max("timestamp").alias("last_updated"),
-    )
-    return pairs.agg(
-        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
-        F.countDistinct("line").alias("lines_tracked"),
-        F.countDistinct("station").alias("stations_tracked"),
-        F.coalesce(F.sum("delays"), F.lit(0)).alias("delayed_events"),
-        F.max("last_updated").alias("last_updated"),
-    )
+    return live.kpis(live.stations(events))
 
 
 def events_per_line(events: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
-"""Rail network reports over the rail CSV tables (source headers).
+"""Rail network reports over the rail files or the raw tables loaded from them.
+
+Reports name columns by the source headers; raw tables get these back first.
 
 Where a report takes the first of several rows, it means the first in file
 order if the table was read with it (``feed.with_file_order``), else the
@@ -14,12 +16,15 @@ from pyspark.sql import functions as F
 
 from headway.functions import labels
 from headway.schemas import SCHEDULE_PAYLOAD
-from headway.sources.feed import FILE_ORDER
-from headway.sources.payloads import parse_payload, schedule_trains
+from headway.sources.feed import FILE_ORDER, source_headers
+from headway.sources.payloads import intact_payloads, parse_payload, schedule_trains
 
 LINE, STATION = "Line Code", "Station Code"
 
 
+LINES, FARES, STOPS = "mtr_lines_stations", "mtr_fares", "mtr_light_rail_stops"
+
+
 def _order(df: DataFrame, *values: str) -> Column:
     return F.col(FILE_ORDER) if FILE_ORDER in df.columns else F.struct(*values)
 
@@ -27,7 +32,8 @@ def _order(df: DataFrame, *values: str) -> Column:
 def stations_per_line(lines: DataFrame) -> DataFrame:
     """Heavy-rail lines by number of stations."""
     return (
-        lines.na.drop(subset=[LINE, STATION])
+        source_headers(lines, LINES)
+        .na.drop(subset=[LINE, STATION])
         .groupBy(F.trim(F.col(LINE)).alias("line_code"))
         .agg(F.countDistinct(F.col(STATION)).alias("stations"))
         .select(
@@ -40,7 +46,8 @@ def stations_per_line(lines: DataFrame) -> DataFrame:
 def heavy_rail_kpis(lines: DataFrame) -> DataFrame:
     """Lines, stations and the line with the most stations ("N/A" if none)."""
     pairs = (
-        lines.na.drop(subset=[LINE, STATION])
+        source_headers(lines, LINES)
+        .na.drop(subset=[LINE, STATION])
         .select(F.trim(F.col(LINE)).alias("line_code"), F.col(STATION).alias("station_code"))
         .distinct()
     )
@@ -59,6 +66,7 @@ def heavy_rail_kpis(lines: DataFrame) -> DataFrame:
 def network_size(lines: DataFrame) -> DataFrame:
     """Distinct line and station codes as they stand in the file; 10 lines and
     98 stations (fixed values) where the column is missing."""
+    lines = source_headers(lines, LINES)
 
     def distinct(column: str, fallback: int) -> Column:
         if column in lines.columns:
@@ -70,11 +78,14 @@ def network_size(lines: DataFrame) -> DataFrame:
     )
 
 
-def mean_fares(fares: DataFrame) -> DataFrame | None:
-    """Mean adult card fare per line, two decimals (half to even). None if the
-    file lacks a column that is needed."""
+def mean_fares(fares: DataFrame) -> DataFrame:
+    """Mean adult card fare per line, two decimals (half to even). No rows if
+    the file lacks a column that is needed."""
+    fares = source_headers(fares, FARES)
     if not {"LINE", "OCT_ADT_FARE"} <= set(fares.columns):
-        return None
+        return fares.sparkSession.createDataFrame(
+            [], "line_code string, mean_fare double, line_name string"
+        )
     return (
         fares.where("LINE is not null")
         .groupBy(F.col("LINE").alias("line_code"))
@@ -120,6 +131,7 @@ class LightRailColumns:
 
 def light_rail_kpis(stops: DataFrame) -> DataFrame:
     """Routes and stops; ``stop_records`` stands in where there is no stop id."""
+    stops = source_headers(stops, STOPS)
     found = LightRailColumns.detect(stops.columns)
     none = F.lit(None).cast("bigint")
     routes = F.countDistinct(F.trim(F.col(found.route))) if found.route else none
@@ -131,10 +143,14 @@ def light_rail_kpis(stops: DataFrame) -> DataFrame:
 
 
 def light_rail_routes(stops: DataFrame, preview: int = 30) -> DataFrame:
-    """Stops per route; without the columns for it, the first rows as they are."""
+    """Stops per route; without the columns for it, the first rows as they are,
+    in file order or else by their values."""
+    given, stops = stops, source_headers(stops, STOPS)
     found = LightRailColumns.detect(stops.columns)
     if not (found.route and found.stop_id):
-        return stops.limit(preview)
+        shown = [c for c in given.columns if c != FILE_ORDER]
+        order = [FILE_ORDER] if FILE_ORDER in given.columns else shown
+        return given.orderBy(*[F.col(f"`{c}`") for c in order]).limit(preview).drop(FILE_ORDER)
     return (
         stops.where(F.col(found.route).isNotNull())
         .groupBy(F.col(found.route).alias("route"))
@@ -143,12 +159,15 @@ def light_rail_routes(stops: DataFrame, preview: int = 30) -> DataFrame:
     )
 
 
-def light_rail_points(stops: DataFrame) -> DataFrame | None:
-    """One point per stop, from its first row; None if the file has no
+def light_rail_points(stops: DataFrame) -> DataFrame:
+    """One point per stop, from its first row; no rows if the file has no
     coordinates or stop ids. A minimum per stop combines before the shuffle."""
+    stops = source_headers(stops, STOPS)
     found = LightRailColumns.detect(stops.columns)
     if not (found.latitude and found.longitude and found.stop_id):
-        return None
+        return stops.sparkSession.createDataFrame(
+            [], "stop_id string, name string, latitude double, longitude double"
+        )
     name = F.col(found.station) if found.station else F.lit(None).cast("string")
     located = stops.select(
         F.col(found.stop_id).alias("stop_id"),
@@ -166,6 +185,7 @@ def light_rail_points(stops: DataFrame) -> DataFrame | None:
 
 def line_picker(lines: DataFrame) -> DataFrame:
     """Sorted line codes with their labels, "Island Line (ISL)"."""
+    lines = source_headers(lines, LINES)
     codes = lines.where("`Line Code` is not null").select(F.col(LINE).alias("line_code")).distinct()
     label = F.format_string("%s (%s)", labels.line_name(F.col("line_code")), "line_code")
     return codes.select("line_code", label.alias("label")).orderBy("line_code")
@@ -175,6 +195,7 @@ def station_picker(lines: DataFrame, line: str) -> DataFrame:
     """Stations of a line in order of their first row, each once, with labels
     "English Chinese (CODE)". Rows without a station code cannot be looked up
     and are left out."""
+    lines = source_headers(lines, LINES)
     values = ("English Name", "Chinese Name", STATION)
     order = _order(lines, *values)
     names = (
@@ -189,8 +210,23 @@ def station_picker(lines: DataFrame, line: str) -> DataFrame:
 
 
 def next_trains(answers: DataFrame, line: str, station: str, payload: str = "payload") -> DataFrame:
-    """Valid trains per direction at a station, from schedule answers."""
-    kept = answers.drop("line", "station")
+    """Valid trains per direction at a station, from its newest answer: the
+    one observed last (``observed_at``) where that is known, then the one with
+    the newest ``curr_time``. A refused answer counts and has no trains;
+    answers equal in age are all shown."""
+    if {"line", "station"} <= set(answers.columns):
+        asked = (F.col("line") == F.lit(line)) & (F.col("station") == F.lit(station))
+    else:
+        asked = F.map_contains_key("answer.data", F.lit(f"{line}-{station}"))
+    observed = [c for c in answers.columns if c == "observed_at"]
+    own = (
+        intact_payloads(answers, SCHEDULE_PAYLOAD, payload)
+        .where(asked)
+        .withColumn("age", F.struct(*observed, "answer.curr_time"))
+    )
+    newest = own.agg(F.max("age").alias("age"))
+    current = own.where(F.col("age").eqNullSafe(newest.scalar()))
+    kept = current.select(*[c for c in answers.columns if c not in ("line", "station")])
     return (
         schedule_trains(kept, payload)
         .where((F.col("line") == F.lit(line)) & (F.col("station") == F.lit(station)))
@@ -219,7 +255,8 @@ def schedule_status(answers: DataFrame, payload: str = "payload") -> DataFrame:
 
 def fare_origins(fares: DataFrame) -> DataFrame:
     return (
-        fares.where("SRC_STATION_NAME is not null")
+        source_headers(fares, FARES)
+        .where("SRC_STATION_NAME is not null")
         .select(F.col("SRC_STATION_NAME").alias("station"))
         .distinct()
         .orderBy("station")
@@ -244,6 +281,7 @@ FARE_COLUMNS = {
 
 def fare_lookup(fares: DataFrame, origin: str, destination: str) -> DataFrame:
     """Fares of one trip as text, from the first row of the pair."""
+    fares = source_headers(fares, FARES)
     pair = fares.where(
         (F.col("SRC_STATION_NAME") == F.lit(origin))
         & (F.col("DEST_STATION_NAME") == F.lit(destination))

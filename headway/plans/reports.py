@@ -110,7 +110,16 @@ def departures_by_hour(peak_hours: DataFrame) -> DataFrame:
 
 
 def departures_by_hour_of_mode(net: m.Network, route_type: int | None = None) -> DataFrame:
-    """Departures per hour 0-23 of one mode."""
+    """Departures per hour 0-23 of one mode; from the stored visits per route
+    and hour if there are any."""
+    if net.stored_route_hours is not None:
+        modes = of_mode(net.route_groups("route_type"), route_type)
+        return (
+            net.stored_route_hours.join(modes, "route_id")
+            .groupBy("hour_of_day")
+            .agg(F.sum(F.col("visits") * F.col("route_copies")).alias("total_trips"))
+            .orderBy("hour_of_day")
+        )
     hours = net.stop_times.select(
         "trip_id", times.valid_hour(F.col("departure_time")).alias("hour_of_day")
     ).where(F.col("hour_of_day").between(0, 23))

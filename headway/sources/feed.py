@@ -43,14 +43,16 @@ def read_csv_text(
 
 
 def with_file_order(scan: DataFrame) -> DataFrame:
-    """Adds each row's place in its input: file, block, row. Apply it to a
-    file scan directly."""
+    """Adds each row's place in its input: file, block, row, as text whose
+    order is theirs, so that it survives a CSV file. Apply it to a file scan
+    directly."""
     return scan.withColumn(
         FILE_ORDER,
-        F.struct(
-            "_metadata.file_path",
-            "_metadata.file_block_start",
-            F.monotonically_increasing_id().alias("row"),
+        F.format_string(
+            "%s|%020d|%020d",
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id(),
         ),
     )
 
@@ -89,6 +91,19 @@ def rename_rail(df: DataFrame, table: str) -> DataFrame:
     return df.withColumnsRenamed(RAIL_RENAMES[table])
 
 
-def read_rail(spark: SparkSession, path: str, table: str) -> DataFrame:
+def source_headers(df: DataFrame, table: str) -> DataFrame:
+    """The other way round: reports name columns as the source files do and
+    accept a raw table as well. Headers that are there already stay."""
+    back = {raw: header for header, raw in RAIL_RENAMES[table].items() if header not in df.columns}
+    return df.withColumnsRenamed({raw: back[raw] for raw in df.columns if raw in back})
+
+
+def read_rail(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    multiline: bool = False,
+    file_order: bool = False,
+) -> DataFrame:
     """A rail file with the raw table's column names."""
-    return rename_rail(read_csv_text(spark, path), table)
+    return rename_rail(read_csv_text(spark, path, multiline, file_order), table)

@@ -2,8 +2,8 @@
 
 Lets every operator run over ordinary warehouse tables: customers act as
 routes, orders as trips, line items as stop times, suppliers as stops and
-click events as rail events. All of it is plain projection, so the derived
-tables grow with their sources.
+click events as rail events. All of it is projection, but for stop times, which
+join line items to orders; the derived tables grow with their sources.
 """
 
 from __future__ import annotations

@@ -12,6 +12,11 @@ def load(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def exists(spark: SparkSession, root: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def _replace(spark: SparkSession, fresh: str, target: str) -> None:
     """Puts a finished folder in the place of another."""
     path = spark._jvm.org.apache.hadoop.fs.Path
@@ -63,25 +68,41 @@ def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None:
 
 
 def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` is for bounded (top-k) results only."""
+    """CSV with a header; the old files stay until the new ones are complete.
+    ``single_file`` is for bounded (top-k) results only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    fresh = f"{folder}/_new-{name}-{uuid.uuid4().hex}"
+    (
+        out.write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(fresh)
+    )
+    _replace(df.sparkSession, fresh, path)
+
 
+# Events loaded in batches; the stream's own table has a file log that would
+# hide them (``ingest.rail_events`` reads both).
+LOADED_EVENTS = "mtr_schedule_loaded"
 
-def save_rail_events(df: DataFrame, root: str, name: str = "mtr_schedule_raw") -> None:
-    """Event table partitioned by day and clustered by line and station.
 
-    Range partitioning on day, line, station and time spreads a hot line (or
-    a single day) over many tasks; files still hold one day each.
+def save_rail_events(
+    df: DataFrame, root: str, load: str = "all", name: str = LOADED_EVENTS
+) -> None:
+    """Event table partitioned by load and day, clustered by line and station.
+
+    Storing a load again replaces its rows, other loads stay. Range
+    partitioning on day, line, station and time spreads a hot line (or a single
+    day) over many tasks; files still hold one day each.
     """
     days = df.withColumn("event_date", F.to_date("timestamp"))
     keys = ("event_date", "line", "station", "timestamp")
-    (
-        clustered(days, *keys)
-        .write.mode("append")
-        .partitionBy("event_date")
-        .parquet(f"{root.rstrip('/')}/{name}")
-    )
+    table = f"{root.rstrip('/')}/{name}"
+    fresh, target = f"{table}/_new-{uuid.uuid4().hex}", f"{table}/load={load}"
+    clustered(days, *keys).write.partitionBy("event_date").parquet(fresh)
+    _replace(df.sparkSession, fresh, target)
 
 
 def between(events: DataFrame, start: str, end: str) -> DataFrame:

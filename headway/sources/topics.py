@@ -33,11 +33,14 @@ def read_topics(
     options: dict[str, str],
     topics: tuple[str, ...] = (BUS_TOPIC, RAIL_TOPIC),
     starting: str = "latest",
+    batch_offsets: int = 10_000_000,
 ) -> DataFrame:
-    """A stream of (topic, key, value). Needs Spark's Kafka package."""
+    """A stream of (topic, key, value). Needs Spark's Kafka package.
+    ``batch_offsets`` bounds the messages of a batch; a backlog takes several."""
     return (
         spark.readStream.format("kafka")
         .options(**options)
+        .option("maxOffsetsPerTrigger", batch_offsets)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting)
         .load()
@@ -45,7 +48,11 @@ def read_topics(
     )
 
 
-def read_message_files(spark: SparkSession, path: str) -> DataFrame:
+def read_message_files(spark: SparkSession, path: str, batch_files: int = 1000) -> DataFrame:
     """The same stream from Parquet files of (topic, key, value), for replays
-    and tests."""
-    return spark.readStream.schema("topic string, key binary, value binary").parquet(path)
+    and tests; ``batch_files`` bounds the files of a batch."""
+    return (
+        spark.readStream.schema("topic string, key binary, value binary")
+        .option("maxFilesPerTrigger", batch_files)
+        .parquet(path)
+    )

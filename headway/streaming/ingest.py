@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from headway.sources import tables
 from headway.sources.topics import BUS_TOPIC, RAIL_TOPIC
 from headway.streaming import codec
 
@@ -29,23 +30,30 @@ PARTITIONS = {RAIL_TABLE: ("status", "event_date"), BUS_TABLE: ("status",)}
 Source = Callable[[str], DataFrame]
 
 
-def _rows(source: Source, table: str) -> DataFrame:
+def _rows(source: Source, table: str, files: int) -> DataFrame:
+    """Decoded messages, shuffled so that a batch writes at most ``files``
+    files into each partition of the table, however many tasks read it."""
     decoded = codec.decode(source(TABLES[table]), TABLES[table])
     if "event_date" in PARTITIONS[table]:
         decoded = decoded.withColumn("event_date", F.to_date("timestamp"))
-    return decoded
+    part = F.pmod(F.xxhash64("key", "value"), F.lit(files))
+    return decoded.repartition(*PARTITIONS[table], part)
 
 
-def start(source: Source, root: str, every: str | None = None) -> list[StreamingQuery]:
+def start(
+    source: Source, root: str, every: str | None = None, files: int = 4
+) -> list[StreamingQuery]:
     """Starts one query per event table.
 
     Without ``every`` the queries store what is there and stop by themselves;
     with it ("1 minute") they run on. ``root`` must be a shared folder.
+    ``files`` bounds the files of a batch in each partition; raise it with the
+    size of batches, which the source options of ``topics`` bound.
     """
     root = root.rstrip("/")
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return [
-        _rows(source, table)
+        _rows(source, table, files)
         .writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*PARTITIONS[table])
@@ -87,6 +95,24 @@ def events_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return codec.events(_stored(spark, root, table))
 
 
+def rail_events(spark: SparkSession, root: str) -> DataFrame:
+    """All rail events under a root: streamed ones and those that
+    ``tables.save_rail_events`` loaded. The two are separate tables, as the
+    file log of the stream hides files it did not write."""
+    streamed = events_table(spark, root, RAIL_TABLE).drop("event_date")
+    if not tables.exists(spark, root, tables.LOADED_EVENTS):
+        return streamed
+    schema = T.StructType(
+        [
+            *codec.EVENT_SCHEMAS[RAIL_TOPIC].fields,
+            T.StructField("load", T.StringType()),
+            T.StructField("event_date", T.DateType()),
+        ]
+    )
+    loaded = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{tables.LOADED_EVENTS}")
+    return streamed.unionByName(loaded.select(*streamed.columns))
+
+
 def bad_messages(spark: SparkSession, root: str, table: str) -> DataFrame:
     return codec.bad_messages(_stored(spark, root, table))
 

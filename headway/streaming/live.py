@@ -1,18 +1,33 @@
 """Aggregates over a running event stream.
 
-All group on few keys or on time windows, so state stays small; the per-minute
-count drops its state by watermark. They also run on batch tables, with equal
-results.
+``store`` appends the events to a table; reports over that table are complete
+and exact at any time, late events included. The functions below are the same
+counts as streaming state, for sinks that take updates; all group on few keys
+or on minutes, so their state stays small. They also run on batch tables, with
+equal results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions import labels
 
-LATENESS = "10 minutes"
+
+def store(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Appends a stream of events to the Parquet table at ``path``, each once.
+    Without ``every`` it stores what is there and stops."""
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return (
+        events.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
 def events_per_line(events: DataFrame) -> DataFrame:
@@ -28,12 +43,14 @@ def direction_split(events: DataFrame) -> DataFrame:
     return events.groupBy("direction").agg(F.count(F.lit(1)).alias("events"))
 
 
-def events_per_minute(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """For any output mode; append mode holds back windows that are still
-    within the lateness."""
+def events_per_minute(events: DataFrame, lateness: str | None = None) -> DataFrame:
+    """For update or complete mode. All minutes stay in the state, half a
+    million a year, so late events count. With a ``lateness`` ("10 minutes")
+    the state is dropped after it, later events are lost, and append mode,
+    which then works too, holds back minutes that can still change."""
+    kept = events if lateness is None else events.withWatermark("timestamp", lateness)
     return (
-        events.withWatermark("timestamp", lateness)
-        .groupBy(F.window("timestamp", "1 minute"))
+        kept.groupBy(F.window("timestamp", "1 minute"))
         .agg(F.count(F.lit(1)).alias("events"))
         .select(F.col("window.start").alias("minute"), "events")
     )
@@ -50,14 +67,22 @@ def top_destinations(events: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def kpis(events: DataFrame, error: float = 0.01) -> DataFrame:
-    """For complete mode. A stream cannot count distinct values exactly, so
-    lines and stations are estimated; ``event_reports.stream_kpis`` gives the
-    exact numbers on the stored table."""
-    return events.agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.approx_count_distinct("line", error).alias("lines_tracked"),
-        F.approx_count_distinct("station", error).alias("stations_tracked"),
-        F.count_if("is_delayed").alias("delayed_events"),
+def stations(events: DataFrame) -> DataFrame:
+    """State of ``kpis``: one row per line and station. For update or complete
+    mode; a stream cannot count distinct values exactly in one step."""
+    return events.groupBy("line", "station").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if("is_delayed").alias("delays"),
         F.max("timestamp").alias("last_updated"),
     )
+
+
+def kpis(pairs: DataFrame) -> DataFrame:
+    """Totals and exact distinct counts from the rows of ``stations``."""
+    return pairs.agg(
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
+        F.countDistinct("line").alias("lines_tracked"),
+        F.countDistinct("station").alias("stations_tracked"),
+        F.coalesce(F.sum("delays"), F.lit(0)).alias("delayed_events"),
+        F.max("last_updated").alias("last_updated"),
+    )

@@ -168,7 +168,7 @@ def test_stored_rollups_replace_computed_ones(spark):
         net.trips,
         net.routes,
         net.stops,
-        stored_trip_rollup=net.trip_rollup,
+        stored_route_trips=net.route_trips,
         stored_route_stop_rollup=net.route_stop_rollup,
     )
     for mart in (

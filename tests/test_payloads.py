@@ -99,3 +99,31 @@ def test_eta_rows(spark):
     assert rows == [
         ("bus_eta", "B1", "1A", "O", "1", "Pier", "碼頭", 1, "2024-05-01T10:05:00+08:00", NOW)
     ]
+
+
+def test_next_trains_come_from_the_newest_answer(spark):
+    def trains(time, *seqs):
+        return answer({"TML-HUH": {"UP": [train(seq=s) for s in seqs]}}, curr_time=time)
+
+    polls = frame(
+        spark,
+        trains("2024-05-01 10:00:00", "1", "2"),
+        trains("2024-05-01 10:01:00", "3"),
+        answer({"TML-KSR": {"UP": [train(seq="9")]}}, curr_time="2024-05-01 10:02:00"),
+    )
+    assert [r.seq for r in rail_reports.next_trains(polls, "TML", "HUH").collect()] == ["3"]
+    later = polls.withColumn("observed_at", F.lit("2024-05-01 10:03:00")).unionByName(
+        frame(spark, trains("2024-05-01 09:00:00")).withColumn("observed_at", F.lit("2024-05-02"))
+    )
+    assert rail_reports.next_trains(later, "TML", "HUH").count() == 0
+    asked = polls.withColumns({"line": F.lit("TML"), "station": F.lit("HUH")})
+    asked = asked.where("payload not like '%KSR%'")
+    assert [r.seq for r in rail_reports.next_trains(asked, "TML", "HUH").collect()] == ["3"]
+
+
+def test_a_bad_sequence_number_costs_one_field(spark):
+    items = [{"route": "1A", "eta_seq": s, "eta": "t"} for s in ("", "2")]
+    df = spark.createDataFrame([("B1", json.dumps({"data": items}))], "stop_id string, payload string")
+    rows = payloads.flatten_eta(df).collect()
+    assert [r.eta_seq for r in rows] == [None, 2]
+    assert all(r.timestamp is not None for r in rows)

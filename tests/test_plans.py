@@ -7,8 +7,10 @@ import re
 import pytest
 
 from headway import catalogue
-from headway.operators import rollups
-from headway.plans import build, event_reports
+from pyspark.sql import functions as F
+
+from headway.operators import marts, rollups
+from headway.plans import build, event_reports, reports
 from headway.sources import samples, tables
 
 SMALL_SKEW = {
@@ -103,3 +105,35 @@ def test_hub_names_are_limited_before_the_shuffle(spark, sf_dir):
     df = catalogue.QUERIES["transfer_hubs"](spark, sf_dir)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"WindowGroupLimit.*Partial", text)
+
+
+def test_stored_order_shrinks_the_trip_rollup(spark, tmp_path):
+    """From the stored staging table the map side sends about a row per trip."""
+    stop_times = spark.range(60000).selectExpr(
+        "concat('t', id % 2000) trip_id", "concat('s', id % 997) stop_id",
+        "cast(id div 2000 as bigint) stop_sequence", "'07:00:00' arrival_time",
+        "'07:00:00' departure_time",
+    )
+    root = str(tmp_path)
+    tables.save(
+        stop_times.repartitionByRange(16, *build.TRIP_ORDER).sortWithinPartitions(*build.TRIP_ORDER),
+        root, "stg_stop_times",
+    )
+    stored = tables.load(spark, root, "stg_stop_times")
+    sent = stored.select("trip_id", F.spark_partition_id().alias("p")).distinct().count()
+    assert sent < 2 * 2000
+    assert build.STAGING_CLUSTERS["stg_stop_times"] == build.TRIP_ORDER
+
+
+def test_stored_marts_do_not_read_trips_or_stop_times(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    build.build_staging(spark, samples.raw_feed(spark, sf_dir), root)
+    build.build_rollups(spark, root)
+    net = build.stored_network(spark, root)
+    results = [
+        marts.route_service_hours(net), marts.service_frequency(net), marts.longest_routes(net),
+        marts.early_night_routes(net), reports.departures_by_hour_of_mode(net, 3),
+    ]
+    for df in results:
+        text = optimized(df) + "".join(df.inputFiles())
+        assert "stg_stop_times" not in text and "stg_trips" not in text

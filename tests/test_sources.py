@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from headway import schemas
 from headway.operators import staging
-from headway.plans import build
+from headway.plans import build, rail_reports
 from headway.sources import feed, tables, topics
 from headway.session import work_path
 
@@ -117,7 +117,7 @@ def test_rail_load_lands_csv_and_counts_rows(spark, tmp_path):
     assert build.load_rail(spark, {"mtr_fares": str(tmp_path / "in.csv")}, root) == {"mtr_fares": 2}
     # A second load replaces the table.
     build.load_rail(spark, {"mtr_fares": str(tmp_path / "in.csv")}, root)
-    assert {tuple(r) for r in tables.load(spark, root, "mtr_fares").collect()} == {
+    assert {tuple(r) for r in tables.load(spark, root, "mtr_fares").drop(feed.FILE_ORDER).collect()} == {
         ("ISL", "001", 'a "b", c'),
         ("TWL", "002", None),
     }
@@ -183,7 +183,8 @@ def test_rail_event_days_prune_partitions(spark, tmp_path):
         "timestampadd(minute, cast(id * 10 as int), timestamp '2024-01-01') timestamp",
     )
     tables.save_rail_events(events, str(tmp_path))
-    stored = tables.load(spark, str(tmp_path), "mtr_schedule_raw")
+    tables.save_rail_events(events, str(tmp_path))
+    stored = tables.load(spark, str(tmp_path), tables.LOADED_EVENTS)
     part = tables.between(stored, "2024-01-03", "2024-01-04")
     assert part.count() == 144
     plan = part._jdf.queryExecution().executedPlan().toString()
@@ -203,3 +204,84 @@ def test_work_paths_follow_the_session_setting(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     a, b = work_path(spark, "x"), work_path(spark, "x")
     assert a != b and a.startswith(folder) and b.startswith(folder)
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    root = str(tmp_path)
+    tables.save(spark.range(3), root, "t")
+    broken = spark.createDataFrame([("x",)], "id string").select(F.col("id").cast("bigint"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.save(broken, root, "t")
+    assert tables.load(spark, root, "t").count() == 3
+    tables.save_csv(spark.range(3), f"{root}/c")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.save_csv(broken, f"{root}/c")
+    assert feed.read_csv_text(spark, f"{root}/c").count() == 3
+
+
+def test_csv_of_a_report_is_one_file_and_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", 1), ("b", 2)], "k string, v bigint").repartition(4)
+    tables.save_csv(df, str(tmp_path / "top"), single_file=True)
+    assert len(list((tmp_path / "top").glob("part-*.csv"))) == 1
+    back = feed.read_csv_text(spark, str(tmp_path / "top"))
+    assert {tuple(r) for r in back.collect()} == {(" a ", "1"), ("b", "2")}
+
+
+def test_feed_columns_are_found_in_any_case_and_must_be_there(spark, tmp_path):
+    write(tmp_path / "trips.txt", "TRIP_ID,Route_Id,service_id\na,b,c\n")
+    assert [tuple(r) for r in feed.read_feed(spark, str(tmp_path))["trips"].collect()] == [
+        ("a", "b", "c")
+    ]
+    write(tmp_path / "trips.txt", "tripid,route_id,service_id\na,b,c\n")
+    with pytest.raises(ValueError, match="trips.txt lacks the columns trip_id"):
+        feed.read_feed(spark, str(tmp_path))
+
+
+def test_a_feed_without_calendar_builds_the_other_marts(spark, feed_dir, tmp_path, caplog):
+    root = str(tmp_path / "out")
+    build.build_from_files(spark, str(feed_dir), root)
+    first = {r.table_name: r.run for r in tables.load(spark, root, "build_log").collect()}
+    assert len(set(first.values())) == 1
+    raw = feed.read_feed(spark, str(feed_dir))
+    del raw["calendar"]
+    with caplog.at_level(logging.WARNING):
+        rows = build.build_all(spark, raw, root)
+    marts_built = [name for name in rows if name.startswith("mart_")]
+    assert len(marts_built) == 9 and "mart_weekday_vs_weekend" not in rows
+    assert "mart_weekday_vs_weekend is not built, stg_calendar missing" in caplog.text
+    second = {r.table_name: r.run for r in tables.load(spark, root, "build_log").collect()}
+    assert {n for n in second if second[n] == first[n]} == {
+        "stg_calendar", "mart_weekday_vs_weekend"
+    }
+    fresh = str(tmp_path / "fresh")
+    del raw["stop_times"]
+    assert set(build.build_all(spark, raw, fresh)) == {
+        "stg_routes", "stg_stops", "stg_trips", "mart_trips_per_route"
+    }
+
+
+def test_loaded_rail_tables_keep_file_order_and_line_breaks(spark, tmp_path):
+    write(
+        tmp_path / "l.csv",
+        "\ufeffLine Code,Station Code,English Name,Chinese Name,\n"
+        'ISL,KET,"Kennedy\nTown",堅,\nISL,HKU,HKU,香,\nISL,KET,Again,再,\n',
+    )
+    root = str(tmp_path / "raw")
+    rows = build.load_rail(
+        spark, {"mtr_lines_stations": str(tmp_path / "l.csv")}, root, multiline=True
+    )
+    assert rows == {"mtr_lines_stations": 3}
+    lines = tables.load(spark, root, "mtr_lines_stations")
+    assert [tuple(r) for r in rail_reports.station_picker(lines, "ISL").collect()] == [
+        ("KET", "Kennedy\nTown 堅 (KET)"), ("HKU", "HKU 香 (HKU)")
+    ]
+    assert rail_reports.network_size(lines).first()[:] == (1, 2)
+
+
+def test_preview_is_in_file_order_without_the_helper_column(spark, tmp_path):
+    names = [f"row{i:05d}" for i in range(3000, 0, -1)]
+    write(tmp_path / "f.csv", "name\n" + "\n".join(names) + "\n")
+    df = feed.read_csv_text(spark, str(tmp_path / "f.csv"), file_order=True)
+    shown = rail_reports.light_rail_routes(df)
+    assert shown.columns == ["name"]
+    assert [r.name for r in shown.collect()] == names[:30]

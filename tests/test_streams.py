@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.plans import event_reports
 from headway.schemas import RAIL_EVENT
-from headway.sources import samples
+from headway.sources import samples, tables
 from headway.sources.topics import BUS_TOPIC, RAIL_TOPIC, read_message_files
 from headway.streaming import codec, ingest, live
 
@@ -101,3 +101,43 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path, report, mode):
     query.awaitTermination()
     batch = getattr(event_reports, report)(samples.rail_events(spark, sf_dir))
     assert {tuple(r) for r in spark.table(view).collect()} == {tuple(r) for r in batch.collect()}
+
+
+def test_live_table_counts_late_events(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path)
+    late = (*EVENT[:-1], EVENT[-1] - dt.timedelta(minutes=25))
+    for events in ([EVENT, EVENT], [late, (*EVENT[:2], "HKU", *EVENT[3:])]):
+        spark.createDataFrame(events, RAIL_EVENT).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(RAIL_EVENT).parquet(inbox)
+        live.store(stream, f"{root}/events", f"{root}/checkpoint").awaitTermination()
+    stored = spark.read.schema(RAIL_EVENT).parquet(f"{root}/events")
+    minutes = {r.minute: r.events for r in live.events_per_minute(stored).collect()}
+    assert minutes == {dt.datetime(2024, 1, 2, 3, 4): 3, dt.datetime(2024, 1, 2, 2, 39): 1}
+    kpis = live.kpis(live.stations(stored)).first()
+    assert (kpis.total_events, kpis.lines_tracked, kpis.stations_tracked) == (4, 1, 2)
+
+
+def test_streamed_and_loaded_events_are_all_read(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
+    messages(spark, (RAIL_TOPIC, good_value(spark))).write.parquet(inbox)
+    ingest.drain(source(spark, inbox), root)
+    assert ingest.rail_events(spark, root).count() == 1
+    batch = spark.createDataFrame([EVENT, EVENT], RAIL_EVENT)
+    for _ in range(2):
+        tables.save_rail_events(batch, root)
+        assert ingest.rail_events(spark, root).count() == 3
+    tables.save_rail_events(batch.limit(1), root, load="other")
+    assert ingest.rail_events(spark, root).count() == 4
+    assert {tuple(r) for r in ingest.rail_events(spark, root).collect()} == {EVENT}
+
+
+def test_a_batch_writes_few_files(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
+    events = spark.range(1000).selectExpr(
+        "'mtr_schedule' event_type", "'ISL' line", "cast(id as string) station",
+        "timestampadd(second, cast(id as int), timestamp '2024-01-02') timestamp",
+    )
+    codec.encode(events, RAIL_TOPIC).repartition(32).write.parquet(inbox)
+    ingest.drain(source(spark, inbox), root)
+    assert ingest.events_table(spark, root, ingest.RAIL_TABLE).count() == 1000
+    assert len(list((tmp_path / "tables" / ingest.RAIL_TABLE).rglob("part-*.parquet"))) <= 4
