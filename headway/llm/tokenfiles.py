@@ -27,6 +27,7 @@ import os
 import posixpath
 import uuid
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headway.llm.bpe import byte_characters
 from headway.llm.frames import batch_parts, written
 from headway.session import work_path
 
@@ -47,6 +49,11 @@ CACHE_CHUNKS = 800_000
 PART_BYTES = 1 << 20
 #: Letters below are letters in every version of Unicode's tables.
 SIMPLE = "\u0530"
+#: Letters below are composed as they stand; only the dotted I has a lower case
+#: of two characters.
+LATIN, DOTTED = "\u0180", "\u0130"
+#: Marks that end a chunk; they are encoded apart from the letters before.
+MARKS = ".,!?;:$%&#*+-=/@^_|~"
 
 
 class Encoder:
@@ -54,10 +61,11 @@ class Encoder:
 
     With vocabularies that drop white space and lower A-Z, a text's ids are
     those of its chunks between blanks and line ends, one after the other, and
-    chunks seen before are looked up. A new chunk of letters with full stops or
-    commas behind is looked up by its letters; the letters that are new are
-    encoded as one text of words, where each word's last id is one that ends
-    words. Other vocabularies are encoded text by text.
+    chunks seen before are looked up. A new chunk of letters with marks behind
+    is looked up by its letters; the letters that are new are encoded as one
+    text of words, where each word's last id is one that ends words. Words of
+    Latin letters are lowered and spelt as bytes here, so that the library need
+    only run its model on them. Other vocabularies are encoded text by text.
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
@@ -78,6 +86,32 @@ class Encoder:
         whole, a, b, c, blank = self._batch(["Ab cd.\nEf,", "ab", "cd", "ef", "  \n"])
         stop, comma = self._batch([".", ","])
         self.by_chunk = bool(mark) and whole == a + b + stop + c + comma and not blank
+        whole, *parts = self._batch(["ab" + MARKS, "ab", MARKS])
+        self.marks = MARKS if whole == sum(parts, []) else ".,"
+        self._make_plain()
+
+    def _make_plain(self) -> None:
+        """The model alone, for words that are lowered and spelt as bytes."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        plain = Tokenizer(self.library.model)
+        plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        char_of = {b: c for c, b in byte_characters().items()} | {32: " "}
+        self.spelling = "".join(map(char_of.__getitem__, range(256)))
+        self.plain = plain
+        letters = "".join(c for c in map(chr, range(65, ord(LATIN))) if c.isalpha() and c != DOTTED)
+        words = [letters[i : i + n] for n in (1, 2, 7) for i in range(0, len(letters), n)]
+        if self.by_chunk and self._plain_ids(" ".join(words)) != self._batch([" ".join(words)])[0]:
+            self.plain = None
+
+    def _plain_ids(self, text: str) -> list[int]:
+        """Ids of words of letters with a blank between."""
+        if self.plain is None or not text.isascii() and (max(text) >= LATIN or DOTTED in text):
+            return self._batch([text])[0]
+        spelt = text.lower()
+        if not spelt.isascii():
+            spelt = charmap_decode(spelt.encode(), "strict", self.spelling)[0]
+        return self.plain.encode_batch_fast([spelt], add_special_tokens=False)[0].ids
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -89,7 +123,7 @@ class Encoder:
         """Ids of words made of letters."""
         for at in range(0, len(words), 200):
             part = words[at : at + 200]
-            ids = np.array(self._batch([" ".join(part)])[0], dtype=self.dtype)
+            ids = np.array(self._plain_ids(" ".join(part)), dtype=self.dtype)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(part):
                 yield from map(self._bytes, self._batch(part))
@@ -107,25 +141,30 @@ class Encoder:
             self.older, self.cache = self.cache, {}
         known = new.intersection(self.older)
         self.cache.update(zip(known, map(self.older.__getitem__, known)))
-        split: list[tuple[str, str, str]] = []
-        other, words = [], {}
+        # Lists side by side, as the garbage collector would visit tuples.
+        split: list[str] = []
+        word_of: list[str] = []
+        tail_of: list[str] = []
+        other: list[str] = []
         for chunk in new.difference(known):
-            word = letters = chunk.rstrip(".,")
+            word = letters = chunk.rstrip(self.marks)
             if letters.isascii():
                 simple, word = letters.isalpha(), letters.lower()
             else:
                 simple = letters.isalpha() and letters[-1] < SIMPLE and letters.lower().isalpha()
             if simple:
-                split.append((chunk, word, chunk[len(letters) :]))
-                words[word] = None
+                split.append(chunk)
+                word_of.append(word)
+                tail_of.append(chunk[len(letters) :])
             else:
                 other.append(chunk)
         find = self.cache.get
-        tails = list({t for _, _, t in split} - {""})
+        tails = list(set(tail_of) - {""})
         behind = {"": b""} | dict(zip(tails, map(self._bytes, self._batch(tails)), strict=True))
-        fresh = [w for w in words if find(w) is None]
+        fresh = [w for w in dict.fromkeys(word_of) if find(w) is None]
         self.cache.update(zip(fresh, self._encode_words(fresh), strict=True))
-        self.cache.update([(chunk, find(word) + behind[tail]) for chunk, word, tail in split])
+        found = [find(w) + behind[t] for w, t in zip(word_of, tail_of)]
+        self.cache.update(zip(split, found, strict=True))
         self.cache.update(zip(other, map(self._bytes, self._batch(other)), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -237,7 +276,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, parts: int | Non
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        wide = pa.uint16() if max(encoder(path).size, end_id + 1) <= 1 << 16 else pa.uint32()
+        wide = pa.uint16() if max(encoder(path, False).size, end_id + 1) <= 1 << 16 else pa.uint32()
         files, root = open_uri(folder)
         names = [posixpath.join(root, f"part-{part:05d}.{k}.arrow") for k in ("ids", "docs")]
         tries = [f"{n}.{uuid.uuid4().hex}" for n in names]

@@ -527,3 +527,19 @@ def test_pipeline_stages(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] for r in before.collect()}
     assert all(r["ids"] == plain_ids(library, texts[r["doc_id"]]) for r in last.collect())
     assert isinstance(last.schema["ids"].dataType, T.ArrayType)
+
+
+def test_word_encoder_equals_the_library_on_odd_texts():
+    """Marks behind letters, letters of all sorts, special tokens, accents."""
+    import random
+
+    import numpy as np
+
+    own = tokenfiles.encoder(f"{queries.TOKENIZERS}/word_bpe_49k.json", False)
+    assert own.by_chunk and own.plain is not None
+    letters = random.Random(1)
+    signs = "abcXYZéÉßñÑİıŁ́'.,!?;:$%&#*+-=/@^_|~<>()[]5 \n\t"
+    texts = ["".join(letters.choices(signs, k=letters.randint(0, 24))) for _ in range(3000)]
+    texts += ["Über ÀÉ İstanbul ǅ ŉ ß, Straße!! Ɓ Ə ﬁ ΑΒΓ Жук, ñ;;; µm ſs ǰ Ⅷ K", "a<|endoftext|>b x|> y<|"]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(ids, own.dtype).tolist() == own._batch([text])[0], text
