@@ -531,11 +531,7 @@ def test_pipeline_stages(spark, sf_dir):
 
 def test_word_encoder_equals_the_library_on_odd_texts():
     """Marks behind letters, letters of all sorts, special tokens, accents."""
-    import random
-
-    import numpy as np
-
-    own = tokenfiles.encoder(f"{queries.TOKENIZERS}/word_bpe_49k.json", False)
+    own = tokenfiles.encoder(WORDS, False)
     assert own.by_chunk and own.plain is not None
     letters = random.Random(1)
     signs = "abcXYZéÉßñÑİıŁ́'.,!?;:$%&#*+-=/@^_|~<>()[]5 \n\t"
