@@ -12,6 +12,7 @@ MODE_LABELS = {0: "Tram", 1: "MTR", 3: "Bus", 4: "Ferry"}
 UNKNOWN_MODE = "Unknown"
 DEFAULT_MODE = 3  # a stop without a mode counts as a bus stop
 
+# Line codes and the names shown for them.
 LINE_NAMES = {
     "AEL": "Airport Express",
     "TCL": "Tung Chung Line",
@@ -25,6 +26,7 @@ LINE_NAMES = {
     "DRL": "Disneyland Resort Line",
 }
 
+# The same lines' short names.
 SHORT_LINE_NAMES = {
     "AEL": "Airport Express",
     "TCL": "Tung Chung",

@@ -39,6 +39,19 @@ _LINE_NAMES = {
     "TKL": "Tseung Kwan O Line",
     "DRL": "Disneyland Resort Line",
 }
+# The same lines' short names.
+_SHORT_LINE_NAMES = {
+    "AEL": "Airport Express",
+    "TCL": "Tung Chung",
+    "TML": "Tuen Ma",
+    "KTL": "Kwun Tong",
+    "TWL": "Tsuen Wan",
+    "ISL": "Island",
+    "EAL": "East Rail",
+    "SIL": "South Island",
+    "TKL": "Tseung Kwan O",
+    "DRL": "Disneyland",
+}
 
 
 def _line_name(column: str) -> str:
@@ -47,11 +60,7 @@ def _line_name(column: str) -> str:
 
 
 def _short_line_name(column: str) -> str:
-    short = {
-        code: name.removesuffix(" Line").removesuffix(" Resort")
-        for code, name in _LINE_NAMES.items()
-    }
-    cases = " ".join(f"when '{code}' then '{name}'" for code, name in short.items())
+    cases = " ".join(f"when '{code}' then '{name}'" for code, name in _SHORT_LINE_NAMES.items())
     return f"(case {column} {cases} else {column} end)"
 
 
