@@ -1,8 +1,8 @@
 """Near-duplicate paragraphs by MinHash banding and exact Jaccard.
 
-A text's paragraphs are its lines. Each paragraph of ``min_words`` words or more
-is a set of word shingles, with one minimum for each of ``bands`` x ``rows``
-hash functions; paragraphs with all minima of a band equal collide. For a
+A text's paragraphs are its lines of ``min_words`` words or more; equal ones are
+found by their words' hash. Each paragraph of ``size`` words or more is a set of
+word shingles, with one minimum for each of ``bands`` x ``rows`` hash functions; paragraphs with all minima of a band equal collide. For a
 similarity of 0.8 the chance of colliding in none of 12 bands of 4 is
 (1 - 0.8 ** 4) ** 12 = 0.2 %, see ``recall``.
 
@@ -19,7 +19,8 @@ bucket and nothing but links leaves a task. No collision between different
 components goes unverified.
 
 Words are runs of characters other than ASCII white space, A-Z lowered. A
-paragraph of fewer words than a shingle is one shingle of its whole. Null and
+paragraph of fewer words than a shingle is one shingle of its whole, so only an
+equal one is similar to it. Null and
 empty texts have no paragraphs. Rows that repeat an id are documents of their
 own; of equal ids the smaller text hash comes first, null ids come last. Rows
 equal in id and text are one occurrence and share their fate.
@@ -52,7 +53,7 @@ def recall(similarity: float, bands: int, rows: int) -> float:
 
 def shingles(words: list[bytes], size: int) -> np.ndarray:
     """Distinct shingle hashes, ascending."""
-    if len(words) <= size:
+    if len(words) < size:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words))], dtype=np.uint64)
     one = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=">u8").astype(np.uint64)
     n = len(one) - size + 1
@@ -134,8 +135,9 @@ def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def signatures(docs: DataFrame, min_words: int, size: int, bands: int, rows: int) -> DataFrame:
-    """(paragraph, keys): band keys of the paragraphs long enough, at least one
-    row for each."""
+    """(paragraph, keys): band keys of the paragraphs long enough and of at least
+    one whole shingle, at least one row for each."""
+    least = max(min_words, size)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def ready(held: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -151,7 +153,7 @@ def signatures(docs: DataFrame, min_words: int, size: int, bands: int, rows: int
             total = 0
             for _, text in _texts(batch, 0):
                 for _, _, words in paragraph_words(text):
-                    if len(words) >= min_words and (content := _content(words)) not in held:
+                    if len(words) >= least and (content := _content(words)) not in held:
                         held[content] = shingles(words, size)
                         total += len(words)
                         if total > 1 << 18:

@@ -21,6 +21,8 @@ from headway.llm.frames import table
 SHINGLE_WORDS, SIMHASH_BITS = 3, 3
 #: The contract of exact substring removal.
 REPEAT_BYTES = 200
+#: Fewest words of a paragraph that is compared: all but blank lines.
+PARAGRAPH_WORDS = 1
 #: The contract of the quality score.
 GOOD_SCORE = 0.3
 #: The contract of decontamination.
@@ -129,7 +131,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_paragraphs")
 def op4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.report(table(spark, sf_dir, "documents"))
+    return paragraphs.report(table(spark, sf_dir, "documents"), min_words=PARAGRAPH_WORDS)
 
 
 @register("op7_token_counts")

@@ -20,7 +20,7 @@ from headway.llm import (  # noqa: E402
     bpe, components, decontaminate, langid, multiindex, paragraphs, quality, repeats, simhash, tokencount,
     tokenfiles,
 )
-from headway.llm.queries import TOKENIZERS  # noqa: E402
+from headway.llm.queries import QUERIES, TOKENIZERS  # noqa: E402
 
 BYTES, WORDS = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/word_bpe_49k.json"
 # Columns whose names the operators use themselves, in other letters' case too.
@@ -505,6 +505,28 @@ def test_paragraphs_equal_brute_force(spark, monkeypatch, most, empty):
     assert paragraphs.report(empty).collect() == []
 
 
+def paragraph_query(spark, tmp_path, texts):
+    """The registered query's rows by id, with its own settings."""
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    return {r["doc_id"]: r for r in QUERIES["op4_paragraphs"](spark, str(tmp_path)).collect()}
+
+
+def test_short_paragraphs_are_compared(spark, tmp_path):
+    """Equal lines of any length, and near copies of short ones; a passage laid
+    out in short lines."""
+    licence = " ".join(f"l{i}" for i in range(12))
+    near = [f"n{i}" for i in range(19)]
+    passage = "\n".join(" ".join(f"p{k}x{i}" for i in range(6)) for k in range(10))
+    texts = [(i, f"{licence}\nown{i} words{i}\nof.\n \n" + "a " * (5 + i)) for i in range(9)]
+    texts += [(20, " ".join(near)), (21, " ".join([*near, "more"])), (22, "first\n" + passage), (23, passage + "\nlast")]
+    got = paragraph_query(spark, tmp_path, texts)
+    # The licence, "of." and the runs of one word, whose shingles are all the same.
+    assert [(got[i]["n_repeated"], got[i]["n_removed"]) for i in range(9)] == [(3, 3 * (i > 0)) for i in range(9)]
+    assert [got[i]["n_removed"] for i in (20, 21, 22, 23)] == [0, 1, 0, 10]
+    assert got[23]["removed"] == list(range(10))
+
+
 def test_recall_of_the_bands():
     assert paragraphs.recall(0.8, 12, 4) > 0.995
 
