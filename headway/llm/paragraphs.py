@@ -18,6 +18,15 @@ still hold several components are compared across these, in blocks of at most
 bucket and nothing but links leaves a task. No collision between different
 components goes unverified.
 
+Passages that stand inside otherwise different lines are sought in what stays,
+whatever the lines: of each ``ANCHOR_SPAN`` neighbouring places the one with the
+smallest hash of its words is an anchor, and the ``PASSAGE_WORDS`` words from an
+anchor on are a window. Equal windows are a class, of which the first occurrence
+stays and the words of the others are cut out of their lines. Copies of a passage
+share the anchors inside it, so one of ``PASSAGE_WORDS + ANCHOR_SPAN - 1`` words
+or more is always found, but for at most ``ANCHOR_SPAN - 1`` words at either end.
+A window that overlaps the first of its class stays.
+
 Words are runs of characters other than ASCII white space, A-Z lowered. A
 paragraph of fewer words than a shingle is one shingle of its whole, so only an
 equal one is similar to it. Null and
@@ -29,6 +38,7 @@ equal in id and text are one occurrence and share their fate.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +52,10 @@ from headway.llm.frames import batch_parts, free_name, written
 
 #: Most paragraphs of a block when a bucket is compared across components.
 BLOCK_ROWS = 512
+#: Words of a window, and the places of which one is an anchor.
+PASSAGE_WORDS, ANCHOR_SPAN = 20, 12
+#: Words whose hash makes a place an anchor.
+ANCHOR_WORDS = 3
 #: Odd multiplier that spreads hash values.
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,11 +65,15 @@ def recall(similarity: float, bands: int, rows: int) -> float:
     return 1 - (1 - similarity**rows) ** bands
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=">u8").astype(np.uint64)
+
+
 def shingles(words: list[bytes], size: int) -> np.ndarray:
     """Distinct shingle hashes, ascending."""
     if len(words) < size:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words))], dtype=np.uint64)
-    one = np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=">u8").astype(np.uint64)
+    one = word_hashes(words)
     n = len(one) - size + 1
     out = one[:n].copy()
     for k in range(1, size):
@@ -302,49 +320,136 @@ def repeated(docs: DataFrame, min_words: int = 20, size: int = 5, similarity: fl
     )
 
 
-def _by_row(own: DataFrame, marked: DataFrame) -> DataFrame:
-    asked = marked.groupBy("id", "text_hash").agg(
-        F.collect_set(F.struct("place", "class", "stays")).alias("marks")
+def windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the windows of a text's words; hashes as signed numbers."""
+    if len(words) < PASSAGE_WORDS:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    one = word_hashes(words)
+    n = len(one) - ANCHOR_WORDS + 1
+    near = one[:n].copy()
+    for k in range(1, ANCHOR_WORDS):
+        near = (near ^ (near >> np.uint64(31))) * SPREAD + one[k : k + n]
+    near = (near ^ (near >> np.uint64(29))) * SPREAD
+    spans = np.lib.stride_tricks.sliding_window_view(near, ANCHOR_SPAN)
+    at = np.unique(spans.argmin(axis=1) + np.arange(len(spans)))
+    at = at[at <= len(one) - PASSAGE_WORDS]
+    out = one[at]
+    for k in range(1, PASSAGE_WORDS):
+        out = (out ^ (out >> np.uint64(31))) * SPREAD + one[at + k]
+    return at, (out ^ (out >> np.uint64(29))).view(np.int64)
+
+
+def passages(own: DataFrame, marked: DataFrame) -> DataFrame:
+    """(id, text_hash, at, passage, stays): the windows that stand more than once
+    in the texts without their removed lines; ``at`` counts the words left."""
+    kind = own.schema["id"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, place, content = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for i, text in _texts(batch, 2):
+                gone = batch.column(3)[i].as_py()
+                at, hashes = windows((_without(text, set(gone)) if gone else text).lower().split())
+                row.append(np.full(len(at), i))
+                place.append(at)
+                content.append(hashes)
+            of_row = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of_row), batch.column(1).take(of_row),
+                 pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(content))],
+                names=["id", "text_hash", "at", "passage"],
+            )
+
+    gone = marked.where("not stays").groupBy("id", "text_hash").agg(F.collect_set("place").alias("removed"))
+    rows = _with_row(own, gone, ["removed"]).select("id", "text_hash", "text", "removed")
+    found = written(rows.mapInArrow(find, f"id {kind}, text_hash bigint, at int, passage bigint"), "paragraph-windows")
+    several = found.groupBy("passage").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("passage")
+    again = written(found.join(several, "passage"), "paragraph-repeats")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "at")
+    # Rows equal in id and text are one occurrence.
+    heads = again.groupBy("passage").agg(F.min(first).alias("head"), F.max(first).alias("last")).where(
+        ~F.col("head").eqNullSafe(F.col("last"))
     )
+    same = F.col("head.id").eqNullSafe(F.col("id")) & (F.col("head.text_hash") == F.col("text_hash"))
+    return written(again.join(heads, "passage").select(
+        "id", "text_hash", "at", "passage", (same & (F.col("at") - F.col("head.at") < PASSAGE_WORDS)).alias("stays")
+    ), "paragraph-passages")
+
+
+def _with_row(own: DataFrame, asked: DataFrame, names: list[str]) -> DataFrame:
     return own.join(
         asked, own["id"].eqNullSafe(asked["id"]) & (own["text_hash"] == asked["text_hash"]), "left"
-    ).select(own["id"], own["text_hash"], "text", "marks")
+    ).select(own["id"], own["text_hash"], "text", *names)
+
+
+def _marks(marked: DataFrame, spans: DataFrame) -> DataFrame:
+    """(id, text_hash, marks, spans): of lines and of windows, a row for each text
+    that has some."""
+    mark, span = F.struct("place", "class", "stays"), F.struct("at", "passage", "stays")
+    both = marked.select("id", "text_hash", mark.alias("mark")).unionByName(
+        spans.select("id", "text_hash", span.alias("span")), allowMissingColumns=True
+    )
+    return both.groupBy("id", "text_hash").agg(
+        F.collect_set("mark").alias("marks"), F.collect_set("span").alias("spans")
+    )
 
 
-def _removed() -> Column:
-    return F.transform(F.filter("marks", lambda m: ~m["stays"]), lambda m: m["place"])
+def _gone(marks: str, name: str) -> Column:
+    """Places of the lines or windows that don't stay, ascending."""
+    places = F.array_sort(F.transform(F.filter(marks, lambda m: ~m["stays"]), lambda m: m[name]))
+    return F.coalesce(places, F.array().cast("array<int>"))
 
 
 def _without(text: bytes, places: set[int]) -> bytes:
     return b"\n".join(line for place, line, _ in paragraph_words(text) if place not in places)
 
 
-def kept_text(text: Column, places: Column) -> Column:
-    """The text without the lines at ``places``; null stays null."""
+def _cut(text: bytes, starts: list[int]) -> bytes:
+    """The text without the windows at ``starts``, ascending, and the white space
+    inside them."""
+    bounds = [m.span() for m in re.finditer(rb"\S+", text)]
+    out, kept = [], 0
+    for at in starts:
+        out.append(text[kept : max(kept, bounds[at][0])])
+        kept = bounds[at + PASSAGE_WORDS - 1][1]
+    return b"".join([*out, text[kept:]])
+
+
+def _left(text: str | None, places: list[int] | None, starts: list[int] | None) -> bytes:
+    data = (text or "").encode()
+    data = _without(data, set(places)) if places else data
+    return _cut(data, starts) if starts else data
+
+
+def kept_text(text: Column, places: Column, starts: Column) -> Column:
+    """The text without the lines at ``places`` and then without the windows at
+    ``starts``; null stays null."""
 
     @F.arrow_udf("string")
-    def of(texts: pa.Array, removed: pa.Array) -> pa.Array:
-        out = []
-        for t, r in zip(texts.to_pylist(), removed.to_pylist()):
-            out.append(_without(t.encode(), set(r)).decode() if t is not None and r else t)
-        return pa.array(out, pa.string())
+    def of(texts: pa.Array, removed: pa.Array, cut: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), removed.to_pylist(), cut.to_pylist())
+        return pa.array([_left(t, r, c).decode() if t is not None and (r or c) else t for t, r, c in rows], pa.string())
 
-    return of(text, places)
+    return of(text, places, starts)
 
 
 def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """Per row: id, n_paragraphs (lines), n_repeated (those of a class with more
-    than one occurrence), n_removed, classes (ascending), removed (places) and
-    kept_sha256 of the text without the removed lines."""
+    than one occurrence), n_removed, classes (ascending, of lines and of windows),
+    removed (places), kept_sha256 of the text without the removed lines and the
+    words cut, n_passages (windows of a class in the lines that stay) and n_cut
+    (words cut out of these)."""
     own, marked = repeated(docs, id_column=id_column, text_column=text_column, **settings)
-    rows = _by_row(own, marked)
-    none = F.array().cast("array<int>")
-    places = F.coalesce(F.array_sort(_removed()), none)
+    marked = written(marked, "paragraph-marks")
+    rows = _with_row(own, _marks(marked, passages(own, marked)), ["marks", "spans"])
+    places, starts = _gone("marks", "place"), _gone("spans", "at")
+    found = F.concat(F.transform("marks", lambda m: m["class"]), F.transform("spans", lambda m: m["passage"]))
+    covered = F.flatten(F.transform(starts, lambda at: F.sequence(at, at + PASSAGE_WORDS - 1)))
 
     @F.arrow_udf("string")
-    def digest(texts: pa.Array, removed: pa.Array) -> pa.Array:
-        pairs = zip(texts.to_pylist(), removed.to_pylist())
-        return pa.array([hashlib.sha256(_without((t or "").encode(), set(r))).hexdigest() for t, r in pairs], pa.string())
+    def digest(texts: pa.Array, removed: pa.Array, cut: pa.Array) -> pa.Array:
+        parts = zip(texts.to_pylist(), removed.to_pylist(), cut.to_pylist())
+        return pa.array([hashlib.sha256(_left(*p)).hexdigest() for p in parts], pa.string())
 
     text = F.coalesce("text", F.lit(""))
     return rows.select(
@@ -352,22 +457,25 @@ def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         F.when(text == "", 0).otherwise(F.size(F.split(text, "\n"))).cast("bigint").alias("n_paragraphs"),
         F.coalesce(F.size("marks"), F.lit(0)).cast("bigint").alias("n_repeated"),
         F.size(places).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_sort(F.array_distinct(F.transform("marks", lambda m: m["class"]))),
-                   F.array().cast("array<bigint>")).alias("classes"),
-        places.alias("removed"), digest("text", places).alias("kept_sha256"),
+        F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<bigint>")).alias("classes"),
+        places.alias("removed"), digest("text", places, starts).alias("kept_sha256"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_passages"),
+        F.size(F.array_distinct(covered)).cast("bigint").alias("n_cut"),
     )
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
-    """The rows with removed paragraphs gone from their text, other columns as
-    they were."""
-    _, marked = repeated(docs, id_column=id_column, text_column=text_column, **settings)
-    key, other, places = (free_name(docs, n) for n in ("row_id", "row_text", "removed"))
-    asked = marked.where("not stays").groupBy("id", "text_hash").agg(F.collect_set("place").alias(places)).select(
-        F.col("id").alias(key), F.col("text_hash").alias(other), places
+    """The rows with removed paragraphs and cut passages gone from their text,
+    other columns as they were."""
+    own, marked = repeated(docs, id_column=id_column, text_column=text_column, **settings)
+    marked = written(marked, "paragraph-marks")
+    key, other, places, starts = (free_name(docs, n) for n in ("row_id", "row_text", "removed", "cut"))
+    asked = _marks(marked.where("not stays"), passages(own, marked).where("not stays")).select(
+        F.col("id").alias(key), F.col("text_hash").alias(other),
+        _gone("marks", "place").alias(places), _gone("spans", "at").alias(starts),
     )
     joined = docs.join(
         asked, docs[id_column].eqNullSafe(asked[key]) & (F.xxhash64(docs[text_column]) == asked[other]), "left"
     )
-    text = kept_text(docs[text_column], F.col(places)).alias(text_column)
+    text = kept_text(docs[text_column], F.col(places), F.col(starts)).alias(text_column)
     return joined.select(*[text if c == text_column else docs[c] for c in docs.columns])

@@ -527,6 +527,34 @@ def test_short_paragraphs_are_compared(spark, tmp_path):
     assert got[23]["removed"] == list(range(10))
 
 
+def test_passages_inside_different_lines(spark, tmp_path):
+    """Copies of 50 to 200 words between words of their own, in lines of any
+    layout, are found but for a few words at their ends; nothing else is lost."""
+    draw = random.Random(4)
+    shared = {k: [f"p{k}x{draw.randrange(1000)}" for _ in range(draw.choice([50, 51, 69, 86, 200]))] for k in range(20)}
+    texts = [(100, None), (101, "z " * 300), (102, "a b c " * 100)]
+    for i in range(40):
+        parts = [f"o{i}x{k}" for k in range(90)]
+        parts[45:45] = shared[i % 20] if i < 35 else [f"q{i}x{k}" for k in range(60)]
+        texts.append((i, "".join(w + ("\n" if i % 3 == 0 and k % 11 == 10 else " ") for k, w in enumerate(parts))))
+    texts.append((7, texts[3 + 7][1]))
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = paragraph_query(spark, tmp_path, texts)
+    left = {r["doc_id"]: r["text"] for r in paragraphs.remove_repeats(frame, min_words=1).collect()}
+    given = dict(texts)
+    for i, row in got.items():
+        assert row["kept_sha256"] == hashlib.sha256((left[i] or "").encode()).hexdigest()
+        assert row["n_removed"] == 0
+        if i < 100:
+            size, copy = len(shared[i % 20]), 20 <= i < 35
+            assert size - 22 <= row["n_cut"] <= size if copy else row["n_cut"] == 0
+            assert (row["n_passages"] > 0) == (i < 15 or copy) == bool(row["classes"])
+            assert [w for w in given[i].split() if w[0] != "p"] == [w for w in left[i].split() if w[0] != "p"]
+    # The first of a text's own copies stays whole.
+    assert left[101].split() == ["z"] * len(left[101].split()) and 20 <= len(left[101].split()) < 60
+    assert 20 <= len(left[102].split()) < 60 and left[100] is None
+
+
 def test_recall_of_the_bands():
     assert paragraphs.recall(0.8, 12, 4) > 0.995
 
