@@ -555,6 +555,29 @@ def test_passages_inside_different_lines(spark, tmp_path):
     assert 20 <= len(left[102].split()) < 60 and left[100] is None
 
 
+def test_recall_of_the_query(spark, tmp_path):
+    """The registered query on independent pairs of similarity 0.8 and up, of 5
+    to 120 words, against a plain version without a minimum of words."""
+    draw = random.Random(12)
+    texts = []
+    for i in range(3000):
+        words = [f"w{i}x{k}" for k in range(draw.choice([5, 9, 15, 19, 20, 40, 60, 120]))]
+        other = list(words)
+        for _ in range(draw.randrange(3)):
+            other[draw.randrange(len(other))] = f"e{draw.randrange(10**9)}"
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*other, "end"] if draw.random() < 0.3 else other))]
+    alike = []
+    for i in range(3000):
+        found, root = plain_paragraph_classes(texts[2 * i : 2 * i + 2], 1, 5, 0.8)
+        alike.append(len(set(root.values())) == 1)
+    got = paragraph_query(spark, tmp_path, texts)
+    linked = [got[2 * i]["n_repeated"] == got[2 * i + 1]["n_repeated"] == 1 for i in range(3000)]
+    assert not any(y and not x for x, y in zip(alike, linked))
+    # Equal texts need no bands.
+    different = [y for i, (x, y) in enumerate(zip(alike, linked)) if x and texts[2 * i][1] != texts[2 * i + 1][1]]
+    assert len(different) > 300 and sum(different) >= 0.99 * len(different)
+
+
 def test_recall_of_the_bands():
     assert paragraphs.recall(0.8, 12, 4) > 0.995
 
