@@ -37,12 +37,12 @@ BLANKS = b" \t\n\r\x0b\x0c"
 SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 #: Bytes of one numpy step.
 STEP = 1 << 18
-#: Bytes of a word that count; n-grams cover the rest of longer ones.
+#: Places whose powers are stored; those of longer words are products.
 WORD_BYTES = 64
 
 _IS_BLANK = np.zeros(256, dtype=bool)
 _IS_BLANK[list(BLANKS)] = True
-_POWERS = np.append(np.cumprod(np.full(WORD_BYTES, 0x100000001B3, dtype=np.uint64)), np.uint64(0))
+_POWERS = np.cumprod(np.full(WORD_BYTES, 0x100000001B3, dtype=np.uint64))
 
 
 @dataclass(frozen=True)
@@ -74,7 +74,11 @@ def features(data: np.ndarray, cuts: np.ndarray, bits: int) -> tuple[np.ndarray,
     if len(starts):
         lead = np.zeros(starts[0], dtype=np.int64)
         place = np.arange(n) - np.append(lead, np.repeat(starts, np.diff(np.append(starts, n))))
-        weight = _POWERS[np.minimum(place, WORD_BYTES)]
+        weight = _POWERS[place % WORD_BYTES]
+        far = np.flatnonzero(place >= WORD_BYTES)
+        if len(far):
+            blocks = place[far] // WORD_BYTES
+            weight[far] *= np.cumprod(np.full(blocks.max(), _POWERS[-1]))[blocks - 1]
         sums = np.add.reduceat(np.where(blank, np.uint64(0), data * weight), starts)
         out.append((sums * np.uint64(SPREAD[0]) >> shift, starts))
         # Pairs of words: the difference, so a word that follows itself has one

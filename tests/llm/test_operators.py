@@ -296,6 +296,21 @@ def test_quality_learns_and_scores_alike(spark, sf_dir, empty):
     assert quality.keep_good(odd, marks.where("false")).columns == odd.columns
 
 
+def test_every_byte_of_a_word_counts():
+    """Words and pairs that differ behind the first 64 bytes have other buckets."""
+
+    def words(text):
+        data = np.frombuffer(f" {text} ".encode(), np.uint8)
+        found = quality.features(data, np.array([0]), 16)[0]
+        return [set(found[(found >> 16) == kind].tolist()) for kind in (0, 3)]
+
+    for size in (63, 64, 65, 128, 1000, 5000):
+        one, other = words("x" * size + "a y"), words("x" * size + "b y")
+        assert one[0] != other[0] and one[1] != other[1], size
+    plain = sum(c * pow(0x100000001B3, k + 1, 1 << 64) for k, c in enumerate(b"ab" * 500)) % (1 << 64)
+    assert words("ab" * 500)[0] == {plain * quality.SPREAD[0] % (1 << 64) >> 48}
+
+
 def test_quality_scores_follow_the_features():
     texts = pa.array(["One two two.", None, "", "é\t\n é", "x" * 1000])
     model = quality.Model(np.random.default_rng(0).normal(size=(4 << 16, 4)), np.array([[0, 0, 0, 0], [1, 2, 3, 4.0]]),
