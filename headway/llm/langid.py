@@ -15,7 +15,8 @@ host's prior leaves the page itself out, so no page confirms itself. Neighbourin
 n-grams say much the same, so the text's log-likelihood counts with
 ``Settings.text_weight`` and, beyond ``most_grams`` n-grams, no more.
 
-Texts are the markup without tags, scripts and styles. A page without an
+Texts are the markup, the title included, without tags (and what their
+attributes say), scripts, styles and comments. A page without an
 address has no host, one without markup no declaration; missing evidence says
 nothing. Null and empty pages are judged by the rest. Rows that repeat a page id
 are pages of their own. Without labelled texts there are no languages, and
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.frames import batch_parts, written
 
-HIDDEN = re.compile(r"<(script|style|head)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 TAG = re.compile(r"<[^>]*>")
 GRAM_MULTIPLIER = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Bytes of one numpy step.

@@ -461,6 +461,16 @@ def test_language_evidence(spark, sf_dir):
     assert {r["lang"] for r in langid.identify(odd, texts.where("false")).collect()} == {None}
 
 
+def test_titles_are_text(spark):
+    head = "<head><title>{}</title><style>le chien {{}}</style><!-- le chat --><script>le chien</script></head>"
+    assert langid.visible("<html>" + head.format("A &amp; B") + "<body></body></html>").split() == ["A", "&", "B"]
+    texts = spark.createDataFrame([(1, "en", "the cat and the dog " * 30), (2, "fr", "le chat et le chien " * 30)],
+                                  "doc_id int, lang string, text string")
+    pages = spark.createDataFrame([(1, None, head.format("the dog and the cat")), (2, None, head.format("et le chat"))],
+                                  "page_id int, url string, html string")
+    assert {r["page_id"]: r["text_lang"] for r in langid.identify(pages, texts).collect()} == {1: "en", 2: "fr"}
+
+
 def test_host_priors_decide_pages_without_text(spark):
     texts = spark.createDataFrame([(1, "en", "the cat and the dog " * 30), (2, "fr", "le chat et le chien " * 30)],
                                   "doc_id int, lang string, text string")
