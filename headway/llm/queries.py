@@ -9,11 +9,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import (
-    bpe, decontaminate, langid, multiindex, paragraphs, quality, repeats, simhash, tokencount, tokenfiles,
+    bpe, decontaminate, langid, multiindex, paragraphs, periodic, quality, repeats, simhash, subspaces, tokencount,
+    tokenfiles, variants,
 )
 from headway.llm.frames import table
 
@@ -29,6 +30,9 @@ GOOD_SCORE = 0.3
 WINDOW_WORDS = 10
 #: The contracts of token files and of the vector search.
 END_ID, QUERY_EVERY, NEIGHBOURS = 2, 20, 20
+#: The contracts of runs, spelling variants and the vector join.
+RUN_WORDS, RUN_PERIODS, LETTER_DROP, VARIANT_RATIO, NEAR_COSINE = 24, 3, 199, 5, 0.9
+WORD_LENGTH, WORD_COUNT = 6, 5
 #: The end-of-text id of word_bpe_49k.json.
 END_OF_TEXT = 49407
 
@@ -140,3 +144,41 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.counts_of_texts(
         table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=END_OF_TEXT
     )
+
+
+def _said_again() -> Column:
+    """The contract's texts: in a tenth of the documents the words from some place on
+    are the first few of them, over and over."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("bigint")
+
+    def again(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("bigint"), n - 1)
+        place = F.transform(places, lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.transform(place, lambda i: F.get(words, i.cast("int"))), " "))
+
+    # Within an array, the words are taken once and not for every place.
+    split = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return F.when(h % 10 == 0, F.transform(F.array(split), again)[0]).otherwise(F.col("text"))
+
+
+@register("op11_periodic")
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.report(docs, _said_again(), least=RUN_WORDS, exponent=RUN_PERIODS)
+
+
+@register("op12_variants")
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(
+        table(spark, sf_dir, "documents"), min_length=WORD_LENGTH, min_count=WORD_COUNT, ratio=VARIANT_RATIO,
+        altered=variants.letter_dropper(LETTER_DROP),
+    )
+
+
+@register("op13_subspaces")
+def op13_subspaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspaces.near_duplicates(table(spark, sf_dir, "embeddings"), least=NEAR_COSINE)
