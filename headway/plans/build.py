@@ -5,6 +5,9 @@ trip order, so the trip rollup shrinks them before its shuffle; they are
 scanned four times in all: for two rollups, the hour counts and the
 trajectories.
 
+All tables of a build are committed together (``sources.snapshots``): readers
+see them as the last build left them until the whole new build is there.
+
 A feed may lack a member. Its staging table, and the rollups and marts that
 need it, are then left as the last complete run stored them, rather than built
 from tables of different runs; ``build_log`` tells which run wrote a table.
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from headway.operators import marts, rollups, staging
 from headway.operators.marts import Network
 from headway.sources import feed, tables
+from headway.sources.snapshots import Snapshot
 
 log = logging.getLogger(__name__)
 
@@ -35,28 +39,31 @@ BUILD_LOG = "build_log"
 BUILD_LOG_SCHEMA = "table_name string, run string, row_count bigint"
 
 
+def _staging(tables_at: Snapshot, raw: dict[str, DataFrame], strict: bool) -> dict[str, int]:
+    rows = {}
+    for name, df in staging.stage(raw, strict).items():
+        keys = STAGING_CLUSTERS.get(name)
+        rows[name] = tables_at.save(tables.clustered(df, *keys) if keys else df, name)
+    return rows
+
+
 def build_staging(
     spark: SparkSession, raw: dict[str, DataFrame], root: str, strict: bool = True
 ) -> dict[str, int]:
     """Replaces the staging tables; returns row counts."""
-    rows = {}
-    for name, df in staging.stage(raw, strict).items():
-        keys = STAGING_CLUSTERS.get(name)
-        rows[name] = tables.save(tables.clustered(df, *keys) if keys else df, root, name)
+    tables_at = Snapshot(spark, root)
+    rows = _staging(tables_at, raw, strict)
+    tables_at.commit()
     return rows
 
 
-def stored_network(
-    spark: SparkSession,
-    root: str,
+def _network(
+    tables_at: Snapshot,
     with_rollups: bool = True,
     staged: tuple[str, ...] = tuple(staging.BUILDERS),
 ) -> Network:
-    """The stored tables as inputs of marts; ``staged`` names the staging
-    tables to use, by default all."""
-
     def stored(name: str, there: bool) -> DataFrame | None:
-        return tables.load(spark, root, name) if there else None
+        return tables_at.load(name) if there else None
 
     with_rollups = with_rollups and set(ROLLUP_NEEDS) <= set(staged)
     return Network(
@@ -67,27 +74,42 @@ def stored_network(
     )
 
 
-def build_rollups(spark: SparkSession, root: str) -> dict[str, int]:
-    """One shuffle of the stop times for the visits; the tables per route and
-    stop, and per route and hour, come from these."""
-    net = stored_network(spark, root, with_rollups=False, staged=ROLLUP_NEEDS)
-    rows = {"route_trips": tables.save(net.route_trips, root, "route_trips")}
+def stored_network(
+    spark: SparkSession,
+    root: str,
+    with_rollups: bool = True,
+    staged: tuple[str, ...] = tuple(staging.BUILDERS),
+) -> Network:
+    """The stored tables as inputs of marts, all of one state; ``staged`` names
+    the staging tables to use, by default all."""
+    return _network(Snapshot(spark, root), with_rollups, staged)
+
+
+def _rollups(tables_at: Snapshot) -> dict[str, int]:
+    net = _network(tables_at, with_rollups=False, staged=ROLLUP_NEEDS)
+    rows = {"route_trips": tables_at.save(net.route_trips, "route_trips")}
     visits = rollups.visit_rollup(net.stop_times, net.trips)
-    rows["visit_rollup"] = tables.save(visits, root, "visit_rollup")
-    visits = tables.load(spark, root, "visit_rollup")
+    rows["visit_rollup"] = tables_at.save(visits, "visit_rollup")
+    visits = tables_at.load("visit_rollup")
     for name, of in (
         ("route_stop_rollup", rollups.route_stops_of),
         ("route_hours", rollups.route_hours_of),
     ):
-        rows[name] = tables.save(of(visits), root, name)
+        rows[name] = tables_at.save(of(visits), name)
     return rows
 
 
-def build_marts(
-    spark: SparkSession, root: str, staged: tuple[str, ...] = tuple(staging.BUILDERS)
-) -> dict[str, int]:
-    """Replaces the marts that need no other staging tables than these."""
-    net = stored_network(spark, root, staged=staged)
+def build_rollups(spark: SparkSession, root: str) -> dict[str, int]:
+    """One shuffle of the stop times for the visits; the tables per route and
+    stop, and per route and hour, come from these."""
+    tables_at = Snapshot(spark, root)
+    rows = _rollups(tables_at)
+    tables_at.commit()
+    return rows
+
+
+def _marts(tables_at: Snapshot, staged: tuple[str, ...]) -> dict[str, int]:
+    net = _network(tables_at, staged=staged)
     rows = {}
     for name, mart in marts.MARTS.items():
         if missing := set(marts.NEEDS[name]) - set(staged):
@@ -96,31 +118,45 @@ def build_marts(
         df = mart(net)
         if name == "mart_trip_trajectories":
             df = tables.clustered(df, *TRIP_ORDER)
-        rows[name] = tables.save(df, root, name)
+        rows[name] = tables_at.save(df, name)
+    return rows
+
+
+def build_marts(
+    spark: SparkSession, root: str, staged: tuple[str, ...] = tuple(staging.BUILDERS)
+) -> dict[str, int]:
+    """Replaces the marts that need no other staging tables than these."""
+    tables_at = Snapshot(spark, root)
+    rows = _marts(tables_at, staged)
+    tables_at.commit()
     return rows
 
 
-def _log_run(spark: SparkSession, root: str, rows: dict[str, int]) -> None:
+def _log_run(tables_at: Snapshot, rows: dict[str, int]) -> None:
     """Notes which run wrote which table; a row per table, so it stays small."""
     run = uuid.uuid4().hex
-    entries = spark.createDataFrame([(name, run, n) for name, n in rows.items()], BUILD_LOG_SCHEMA)
-    if tables.exists(spark, root, BUILD_LOG):
-        older = tables.load(spark, root, BUILD_LOG).where(~F.col("table_name").isin(list(rows)))
+    entries = tables_at.spark.createDataFrame(
+        [(name, run, n) for name, n in rows.items()], BUILD_LOG_SCHEMA
+    )
+    if tables_at.exists(BUILD_LOG):
+        older = tables_at.load(BUILD_LOG).where(~F.col("table_name").isin(list(rows)))
         entries = older.unionByName(entries)
-    tables.save(entries.coalesce(1), root, BUILD_LOG)
+    tables_at.save(entries.coalesce(1), BUILD_LOG)
 
 
 def build_all(
     spark: SparkSession, raw: dict[str, DataFrame], root: str, strict: bool = True
 ) -> dict[str, int]:
-    """All tables of a feed under ``root``, as far as its members allow;
-    returns row counts per table written."""
-    rows = build_staging(spark, raw, root, strict)
+    """All tables of a feed under ``root``, as far as its members allow, shown
+    at once when the last is written; returns row counts per table written."""
+    tables_at = Snapshot(spark, root)
+    rows = _staging(tables_at, raw, strict)
     staged = tuple(rows)
     if set(ROLLUP_NEEDS) <= set(staged):
-        rows |= build_rollups(spark, root)
-    rows |= build_marts(spark, root, staged)
-    _log_run(spark, root, rows)
+        rows |= _rollups(tables_at)
+    rows |= _marts(tables_at, staged)
+    _log_run(tables_at, rows)
+    tables_at.commit()
     return rows
 
 

@@ -1,20 +1,21 @@
-"""Stored tables: load, truncate-and-reload, layouts."""
+"""Stored tables: load, truncate-and-reload, layouts, CSV export."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.sources.snapshots import Snapshot
+
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    return Snapshot(spark, root).load(name)
 
 
 def exists(spark: SparkSession, root: str, name: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return Snapshot(spark, root).exists(name)
 
 
 def _replace(spark: SparkSession, fresh: str, target: str) -> None:
@@ -34,18 +35,13 @@ def _replace(spark: SparkSession, fresh: str, target: str) -> None:
 
 
 def save(df: DataFrame, root: str, name: str) -> int:
-    """Replaces the table and returns its row count, counted during the write.
-
-    The rows are written beside the table and take its place when complete, so
-    a write that fails leaves the old table as it was.
-    """
-    written = Observation(f"{name}_rows")
-    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    target = f"{root.rstrip('/')}/{name}"
-    fresh = f"{root.rstrip('/')}/_new-{name}-{uuid.uuid4().hex}"
-    counted.write.parquet(fresh)
-    _replace(df.sparkSession, fresh, target)
-    return written.get["rows"]
+    """Replaces the table at once and returns its row count, counted during the
+    write. A write that fails leaves the old table as it was, and readers
+    of the old rows go on reading them."""
+    snapshot = Snapshot(df.sparkSession, root)
+    rows = snapshot.save(df, name)
+    snapshot.commit()
+    return rows
 
 
 def clustered(df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -99,10 +95,9 @@ def save_rail_events(
     """
     days = df.withColumn("event_date", F.to_date("timestamp"))
     keys = ("event_date", "line", "station", "timestamp")
-    table = f"{root.rstrip('/')}/{name}"
-    fresh, target = f"{table}/_new-{uuid.uuid4().hex}", f"{table}/load={load}"
-    clustered(days, *keys).write.partitionBy("event_date").parquet(fresh)
-    _replace(df.sparkSession, fresh, target)
+    snapshot = Snapshot(df.sparkSession, root)
+    snapshot.save(clustered(days, *keys), f"{name}/load={load}", by=("event_date",))
+    snapshot.commit()
 
 
 def between(events: DataFrame, start: str, end: str) -> DataFrame:

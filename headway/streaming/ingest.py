@@ -102,14 +102,7 @@ def rail_events(spark: SparkSession, root: str) -> DataFrame:
     streamed = events_table(spark, root, RAIL_TABLE).drop("event_date")
     if not tables.exists(spark, root, tables.LOADED_EVENTS):
         return streamed
-    schema = T.StructType(
-        [
-            *codec.EVENT_SCHEMAS[RAIL_TOPIC].fields,
-            T.StructField("load", T.StringType()),
-            T.StructField("event_date", T.DateType()),
-        ]
-    )
-    loaded = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{tables.LOADED_EVENTS}")
+    loaded = tables.load(spark, root, tables.LOADED_EVENTS)
     return streamed.unionByName(loaded.select(*streamed.columns))
 
 
