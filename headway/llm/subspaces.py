@@ -40,9 +40,9 @@ from headway.llm.frames import written
 #: Blocks of the rotated components.
 BLOCKS = 4
 #: Vectors that place the cuts at most; vectors of a box aimed at; boxes of a block at most.
-SAMPLE, BOX_ROWS, MOST_BOXES = 8_192, 8_192, 4_096
+SAMPLE, BOX_ROWS, MOST_BOXES = 8_192, 32_768, 4_096
 #: Home vectors, and visitors, that one task holds.
-HOME_PART, VISIT_PART = 8_192, 32_768
+HOME_PART, VISIT_PART = 32_768, 32_768
 #: Distances of one numpy step, and pairs verified at once.
 DISTANCES, VERIFIED = 1 << 22, 1 << 14
 #: Different vector lengths in one table at most.
@@ -255,21 +255,22 @@ def joined(nodes: DataFrame, dimension: int, least: float, blocks: int) -> DataF
         parts[row["block"]][:, row["box"]] = -(-row["homes"] // HOME_PART), -(-row["visits"] // VISIT_PART)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Home vectors go, as the left side, to each task of their part; as the right side,
-        to the parts before theirs. Visitors go to every part of the box."""
+        """Tasks of a box are (first, second), first being a part of its home vectors. Where
+        both are the same, that part meets itself and the visitors' first part; else
+        second is a later part of the home vectors or, behind these, of the visitors."""
         for batch in batches:
             for rows, turned in slices(batch, dimension, split):
                 for b in of_block:
                     row, box, home = places(split.of(turned, b), bounds[b], split.budgets[b])
                     homes, visits = parts[b][:, box]
                     own = rows.column(0).to_numpy()[row] * 0x9E3779B1 >> 7
-                    part = np.where(home, own % np.maximum(homes, 1), homes + own % np.maximum(visits, 1))
-                    # Tasks (first, second) of a box: first <= second, second a part of homes or visitors.
-                    times = np.where(home, homes + visits, homes)
+                    part = own % np.maximum(np.where(home, homes, visits), 1)
+                    times = np.where(home, homes + np.maximum(visits - 1, 0), homes)
                     k = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    row, box, home, part = (np.repeat(c, times) for c in (row, box, home, part))
+                    row, box, home, part, homes = (np.repeat(c, times) for c in (row, box, home, part, homes))
                     left = home & (k >= part)
-                    first, second = np.where(left, part, k), np.where(left, k, part)
+                    first = np.where(left, part, k)
+                    second = np.where(left, k, np.where(home, part, np.where(part > 0, homes + part - 1, k)))
                     taken = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(row), b, dtype=np.int32)), pa.array(box.astype(np.int32)),
@@ -280,11 +281,13 @@ def joined(nodes: DataFrame, dimension: int, least: float, blocks: int) -> DataF
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         block, _, first, second = (k.as_py() for k in key)
-        left = rows.filter(rows.column("left"))
-        right = None if first == second else rows.filter(pc.invert(rows.column("left")))
-        if not left.num_rows or right is not None and not right.num_rows:
-            return pa.schema([(c, pa.int64()) for c in ("node", "other", "links")]).empty_table()
-        return compared(left, right, dimension, split, block, least)
+        left, right = rows.filter(rows.column("left")), rows.filter(pc.invert(rows.column("left")))
+        found = [pa.schema([(c, pa.int64()) for c in ("node", "other", "links")]).empty_table()]
+        if left.num_rows and first == second:
+            found.append(compared(left, None, dimension, split, block, least))
+        if left.num_rows and right.num_rows:
+            found.append(compared(left, right, dimension, split, block, least))
+        return pa.concat_tables(found)
 
     rows = nodes.mapInArrow(
         dealt,
