@@ -9,18 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas
-from headway.operators import marts, rollups, staging
+from headway.operators import marts, rejects, rollups, staging
 from headway.plans import build, event_reports, rail_reports, reports
 from headway.session import work_path
 from headway.sources import feed, payloads, samples, tables
 from headway.sources.topics import RAIL_TOPIC, read_message_files
-from headway.streaming import codec, ingest, live
+from headway.sources.snapshots import Snapshot
+from headway.streaming import codec, ingest, live, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BUS, FERRY, TRAM = 3, 4, 0
 HUB_ROUTES_HIGH = 500
+STATE_BATCHES = 3
 
 
 def _query(name: str) -> Callable[[Query], Query]:
@@ -274,6 +276,32 @@ _live("live_directions", live.direction_split)
 _live("live_top_destinations", live.top_destinations)
 _live("live_kpis", lambda events: live.kpis(live.stations(events)))
 
+
+
+def _state(name: str, result: Callable[[Snapshot], DataFrame]) -> None:
+    """A report over counts that several batches of a stream have added to."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_path(spark, name)
+        events = samples.rail_events(spark, sf_dir)
+        events.repartition(STATE_BATCHES).write.parquet(f"{root}/inbox")
+        stream = (
+            spark.readStream.schema(events.schema)
+            .option("maxFilesPerTrigger", 1)
+            .parquet(f"{root}/inbox")
+        )
+        state.keep(stream, f"{root}/counts").awaitTermination()
+        return result(Snapshot(spark, f"{root}/counts"))
+
+    QUERIES[name] = run
+
+
+_state("state_per_minute", state.events_per_minute)
+_state("state_per_line", state.events_per_line)
+_state("state_directions", state.direction_split)
+_state("state_top_destinations", state.top_destinations)
+_state("state_kpis", state.kpis)
+
 # Files and stored tables.
 
 
@@ -334,6 +362,60 @@ _stored("stored_route_stop_rollup", lambda net, load: net.stored_route_stop_roll
 _stored("stored_hourly_by_type", lambda net, load: reports.departures_by_hour_of_mode(net, BUS))
 
 
+@_query("stored_twice")
+def stored_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores the trips of even number, then all of them, in one table; the rows that a
+    reader who came between the two still has, and those of a reader after both."""
+    root = work_path(spark, "twice")
+    trips = staging.trips(samples.raw_feed(spark, sf_dir)["trips"])
+    tables.save(trips.where("cast(trip_id as bigint) % 2 = 0"), root, "stg_trips")
+    between = Snapshot(spark, root)
+    tables.save(trips, root, "stg_trips")
+    seen = {"between": between.load("stg_trips"), "after": tables.load(spark, root, "stg_trips")}
+    rows = [df.select(F.lit(reader).alias("reader"), "*") for reader, df in seen.items()]
+    return rows[0].unionAll(rows[1])
+
+
+# A feed with malformed rows: what is kept, what is rejected, and the counts.
+
+
+def _rejecting(name: str, *members: str):
+    def register(result: Callable[[Snapshot], DataFrame]) -> Callable[[Snapshot], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            root = work_path(spark, name)
+            raw = samples.spoiled_feed(spark, sf_dir)
+            used = {m: df for m, df in raw.items() if not members or m in members}
+            build.build_staging(spark, used, root, reject=True)
+            return result(Snapshot(spark, root))
+
+        QUERIES[name] = run
+        return result
+
+    return register
+
+
+@_rejecting("reject_counts")
+def reject_counts(stored: Snapshot) -> DataFrame:
+    return stored.load(rejects.COUNTS)
+
+
+@_rejecting("rejected_stop_times", "stop_times")
+def rejected_stop_times(stored: Snapshot) -> DataFrame:
+    bad = stored.load("rejected_stop_times")
+    return bad.select(
+        F.array_join("problems", " ").alias("problems"),
+        *[F.get_json_object("raw_row", f"$.{c}").alias(c) for c in ("trip_id", "stop_id", "stop_sequence")],
+        F.get_json_object("raw_row", "$.departure_time").alias("departure_time"),
+    )
+
+
+_rejecting("kept_routes", "routes")(lambda stored: stored.load("stg_routes"))
+_rejecting("kept_calendar", "calendar")(lambda stored: stored.load("stg_calendar"))
+_rejecting("kept_peak_hours", "stop_times")(
+    lambda stored: marts.peak_hour_analysis(marts.Network(stop_times=stored.load("stg_stop_times")))
+)
+
+
 @_query("stored_event_days")
 def stored_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores the rail events by day, twice as a rerun would, then reads one

@@ -1,67 +1,85 @@
 """Raw text tables -> typed staging tables.
 
 Casts are strict by default: malformed input fails the query. With
-``strict=False`` it becomes NULL.
+``strict=False`` it becomes NULL. ``operators.rejects`` sets such rows apart instead.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add, and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headway.schemas import DAYS, STAGING
 
 
-def _typed(table: str, strict: bool, **sources: str) -> list[Column]:
-    """The table's columns cast to their types; ``sources`` maps a column to
-    the raw column it is read from, if the names differ."""
-    columns = []
-    for field in STAGING[table].fields:
-        raw = F.col(sources.get(field.name, field.name))
-        cast = raw.cast(field.dataType) if strict else raw.try_cast(field.dataType)
-        columns.append(cast.alias(field.name))
-    return columns
+# Rows without these have no place in the table.
+KEYS = {
+    "stg_routes": ("route_id",),
+    "stg_stops": ("stop_id",),
+    "stg_trips": ("trip_id",),
+    "stg_stop_times": ("trip_id", "stop_id"),
+    "stg_calendar": ("service_id",),
+}
+# Columns that are read from a raw column of another name.
+SOURCES = {"stg_stops": {"latitude": "stop_lat", "longitude": "stop_lon"}}
+TOTALS = {"weekday_count": DAYS[:5], "weekend_count": DAYS[5:]}
+
+
+def cast_columns(table: str) -> dict[str, tuple[str, T.DataType]]:
+    """Column -> the raw column and the type it is cast to."""
+    sources = SOURCES.get(table, {})
+    return {
+        field.name: (sources.get(field.name, field.name), field.dataType)
+        for field in STAGING[table].fields
+        if field.name not in TOTALS
+    }
+
+
+def columns(table: str, strict: bool = True) -> list[Column]:
+    """The table's columns over its raw columns. Calendars also have the number of
+    service days from Monday to Friday and at weekends, NULL if a flag is NULL."""
+
+    def typed(name: str) -> Column:
+        raw, kind = casts[name]
+        return F.col(raw).cast(kind) if strict else F.col(raw).try_cast(kind)
+
+    casts = cast_columns(table)
+    found = [typed(name).alias(name) for name in casts]
+    if table == "stg_calendar":
+        found += [reduce(add, map(typed, days)).alias(name) for name, days in TOTALS.items()]
+    return found
+
+
+def keyed(table: str) -> Column:
+    return reduce(and_, [F.col(key).isNotNull() for key in KEYS[table]])
+
+
+def _stage(table: str, raw: DataFrame, strict: bool) -> DataFrame:
+    return raw.where(keyed(table)).select(*columns(table, strict))
 
 
 def routes(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.where("route_id is not null").select(*_typed("stg_routes", strict))
+    return _stage("stg_routes", raw, strict)
 
 
 def stops(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.where("stop_id is not null").select(
-        *_typed("stg_stops", strict, latitude="stop_lat", longitude="stop_lon")
-    )
+    return _stage("stg_stops", raw, strict)
 
 
 def trips(raw: DataFrame, strict: bool = True) -> DataFrame:
-    return raw.where("trip_id is not null").select(*_typed("stg_trips", strict))
+    return _stage("stg_trips", raw, strict)
 
 
 def stop_times(raw: DataFrame, strict: bool = True) -> DataFrame:
-    keyed = raw.where("trip_id is not null and stop_id is not null")
-    return keyed.select(*_typed("stg_stop_times", strict))
-
-
-def _total(days: tuple[str, ...]) -> Column:
-    """Sum of day flags; NULL if any is NULL."""
-    total = F.col(days[0])
-    for day in days[1:]:
-        total = total + F.col(day)
-    return total
+    return _stage("stg_stop_times", raw, strict)
 
 
 def calendar(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Adds the number of service days from Monday to Friday and at weekends.
-    The flags are text, so they are cast before they are added."""
-    flags = {
-        day: F.col(day).cast("bigint") if strict else F.col(day).try_cast("bigint")
-        for day in DAYS
-    }
-    typed = raw.where("service_id is not null").withColumns(flags)
-    counted = typed.withColumns(
-        {"weekday_count": _total(DAYS[:5]), "weekend_count": _total(DAYS[5:])}
-    )
-    return counted.select(*_typed("stg_calendar", strict))
+    return _stage("stg_calendar", raw, strict)
 
 
 BUILDERS = {

@@ -498,6 +498,44 @@ SELECTS: dict[str, str] = {
   count(distinct station) stations_tracked,
   count(*) filter (where is_delayed) delayed_events, max("timestamp") last_updated
   from rail_events""",
+    "stored_twice": """select 'between' reader, * from stg_trips where cast(trip_id as bigint) % 2 = 0
+  union all select 'after', * from stg_trips""",
+    "reject_counts": """
+  select table_name, unnest(map_entries(counts)).key problem, unnest(map_entries(counts)).value row_count
+  from (
+    select 'stg_routes' table_name, map {'(read)': count(*),
+      '(rejected)': count(*) filter (where id % 37 = 0 or id % 101 = 0),
+      'route_id': count(*) filter (where id % 101 = 0), 'route_short_name': 0, 'route_long_name': 0,
+      'route_type': count(*) filter (where id % 37 = 0)} counts
+    from (select cast(route_id as bigint) id from stg_routes)
+    union all select 'stg_stops', map {'(read)': count(*), '(rejected)': count(*) filter (where id % 23 = 0),
+      'stop_id': count(*) filter (where id % 23 = 0), 'stop_name': 0, 'stop_lat': 0, 'stop_lon': 0}
+    from (select cast(stop_id as bigint) id from stg_stops)
+    union all select 'stg_trips', map {'(read)': count(*), '(rejected)': count(*) filter (where id % 61 = 0),
+      'trip_id': count(*) filter (where id % 61 = 0), 'route_id': 0, 'service_id': 0}
+    from (select cast(trip_id as bigint) id from stg_trips)
+    union all select 'stg_stop_times', map {'(read)': count(*),
+      '(rejected)': count(*) filter (where id % 43 = 0 or stop % 29 = 0), 'trip_id': 0, 'stop_id': 0,
+      'stop_sequence': count(*) filter (where id % 43 = 0), 'arrival_time': 0,
+      'departure_time': count(*) filter (where stop % 29 = 0)}
+    from (select cast(trip_id as bigint) id, cast(stop_id as bigint) stop from stg_stop_times)
+    union all select 'stg_calendar', map {'(read)': count(*),
+      '(rejected)': count(*) filter (where service_id = '2-HIGH'), 'service_id': 0,
+      'monday': count(*) filter (where service_id = '2-HIGH'), 'tuesday': 0, 'wednesday': 0, 'thursday': 0,
+      'friday': 0, 'saturday': 0, 'sunday': 0, 'start_date': 0, 'end_date': 0}
+    from stg_calendar)""",
+    "rejected_stop_times": """select concat_ws(' ', case when id % 43 = 0 then 'stop_sequence' end,
+    case when stop % 29 = 0 then 'departure_time' end) problems, trip_id, stop_id,
+    case when id % 43 = 0 then '1st' else cast(stop_sequence as varchar) end stop_sequence,
+    case when stop % 29 = 0 then 'noon' else departure_time end departure_time
+  from (select *, cast(trip_id as bigint) id, cast(stop_id as bigint) stop from stg_stop_times)
+  where id % 43 = 0 or stop % 29 = 0""",
+    "kept_routes": """select * from stg_routes where cast(route_id as bigint) % 37 <> 0
+  and cast(route_id as bigint) % 101 <> 0""",
+    "kept_calendar": "select * from stg_calendar where service_id <> '2-HIGH'",
+    "kept_peak_hours": """select cast(split_part(departure_time, ':', 1) as bigint) hour_of_day,
+  count(trip_id) total_trips from stg_stop_times where departure_time is not null
+  and cast(trip_id as bigint) % 43 <> 0 and cast(stop_id as bigint) % 29 <> 0 group by 1""",
     "feed_files": " union all ".join(
         f"select '{table}' table_name, concat_ws('|', "
         + ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in schema.names)
@@ -524,6 +562,10 @@ SELECTS |= {
     if mart.startswith("mart_")
 }
 SELECTS["stored_hourly_by_type"] = SELECTS["hourly_by_type"]
+SELECTS |= {
+    f"state_{name}": SELECTS[f"live_{name}"]
+    for name in ("per_minute", "per_line", "directions", "top_destinations", "kpis")
+}
 SELECTS |= {
     f"loaded_{report.removeprefix('rail_')}": SELECTS[report]
     for report in (

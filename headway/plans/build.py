@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators import marts, rollups, staging
+from headway.operators import marts, rejects, rollups, staging
 from headway.operators.marts import Network
 from headway.sources import feed, tables
 from headway.sources.snapshots import Snapshot
@@ -39,7 +39,11 @@ BUILD_LOG = "build_log"
 BUILD_LOG_SCHEMA = "table_name string, run string, row_count bigint"
 
 
-def _staging(tables_at: Snapshot, raw: dict[str, DataFrame], strict: bool) -> dict[str, int]:
+def _staging(
+    tables_at: Snapshot, raw: dict[str, DataFrame], strict: bool, reject: bool
+) -> dict[str, int]:
+    if reject:
+        return rejects.stage(tables_at, raw, STAGING_CLUSTERS)
     rows = {}
     for name, df in staging.stage(raw, strict).items():
         keys = STAGING_CLUSTERS.get(name)
@@ -48,11 +52,16 @@ def _staging(tables_at: Snapshot, raw: dict[str, DataFrame], strict: bool) -> di
 
 
 def build_staging(
-    spark: SparkSession, raw: dict[str, DataFrame], root: str, strict: bool = True
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    root: str,
+    strict: bool = True,
+    reject: bool = False,
 ) -> dict[str, int]:
-    """Replaces the staging tables; returns row counts."""
+    """Replaces the staging tables; returns row counts. With ``reject``, malformed
+    rows go to tables of their own and are counted (``operators.rejects``)."""
     tables_at = Snapshot(spark, root)
-    rows = _staging(tables_at, raw, strict)
+    rows = _staging(tables_at, raw, strict, reject)
     tables_at.commit()
     return rows
 
@@ -145,12 +154,16 @@ def _log_run(tables_at: Snapshot, rows: dict[str, int]) -> None:
 
 
 def build_all(
-    spark: SparkSession, raw: dict[str, DataFrame], root: str, strict: bool = True
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    root: str,
+    strict: bool = True,
+    reject: bool = False,
 ) -> dict[str, int]:
     """All tables of a feed under ``root``, as far as its members allow, shown
     at once when the last is written; returns row counts per table written."""
     tables_at = Snapshot(spark, root)
-    rows = _staging(tables_at, raw, strict)
+    rows = _staging(tables_at, raw, strict, reject)
     staged = tuple(rows)
     if set(ROLLUP_NEEDS) <= set(staged):
         rows |= _rollups(tables_at)

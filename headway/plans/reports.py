@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import grid, labels, times
 from headway.operators import marts as m
+from headway.operators import medians
 
 # The modes a reader can filter by.
 MODE_FILTERS = {"All": None, "Bus": 3, "Tram": 0, "Ferry": 4, "Peak Tram": 7}
@@ -240,13 +241,8 @@ def night_owls(early_night_routes: DataFrame, route_type: int | None = None) ->
 
 
 def _median_departures(points: DataFrame) -> Column:
-    """Exact median as a scalar subquery.
-
-    Spark merges (value, frequency) maps for it. The values are positive
-    counts that add up to the number of stop visits N, so there are at most
-    sqrt(2 N) different ones, however many stops there are.
-    """
-    return points.agg(F.median("total_departures")).scalar()
+    """Exact median as a scalar subquery."""
+    return medians.median(points, "total_departures").scalar()
 
 
 def underserved_stops(stops_ranked: DataFrame, route_type: int | None = None) -> DataFrame:

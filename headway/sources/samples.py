@@ -115,6 +115,27 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def spoiled_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The feed with some malformed values and missing keys in each member but
+    the stops, which lack a key only."""
+
+    def spoil(member: str, column: str, condition: str, text: str | None) -> None:
+        bad = F.lit(text).cast("string")
+        feed[member] = feed[member].withColumn(
+            column, F.when(F.expr(condition), bad).otherwise(F.col(column))
+        )
+
+    feed = raw_feed(spark, sf_dir)
+    spoil("routes", "route_type", "cast(route_id as bigint) % 37 = 0", "bus?")
+    spoil("routes", "route_id", "cast(route_id as bigint) % 101 = 0", None)
+    spoil("stops", "stop_id", "cast(stop_id as bigint) % 23 = 0", None)
+    spoil("trips", "trip_id", "cast(trip_id as bigint) % 61 = 0", None)
+    spoil("stop_times", "stop_sequence", "cast(trip_id as bigint) % 43 = 0", "1st")
+    spoil("stop_times", "departure_time", "cast(stop_id as bigint) % 29 = 0", "noon")
+    spoil("calendar", "monday", "service_id = '2-HIGH'", "yes")
+    return feed
+
+
 def network(spark: SparkSession, sf_dir: str) -> Network:
     """Staging tables of the derived feed."""
     calendar = _calendar_flags(spark, sf_dir)

@@ -94,12 +94,15 @@ class Snapshot:
         entries = [self._entry(part) for part in self.parts(name)]
         if not entries:
             raise ValueError(f"no table {name} under {self.root}")
-        keys = [p.partition("=")[0] for p in entries[0]["name"].removeprefix(f"{name}/").split("/")]
-        rows = self._read(
-            entries[0], *[f"{self.root}/{e['folder']}" for e in entries], basePath=f"{self.root}/{name}"
-        )
-        own = T.StructType.fromJson(json.loads(entries[0]["columns"])).names
-        return rows.select(*own, *keys)
+        first, base = entries[0], f"{self.root}/{name}"
+        folders = sorted({f"{self.root}/{e['folder']}" for e in entries})
+        rows, own = self._read(first, *folders, basePath=base), T.StructType.fromJson(json.loads(first["columns"])).names
+        if first["part"] is None:  # folders of their own, whose names are the keys
+            keys = [p.partition("=")[0] for p in first["name"].removeprefix(f"{name}/").split("/")]
+            return rows.select(*own, *keys)
+        # Parts of writes that held several; the others in them have been replaced.
+        of = [f"{e['folder'].rpartition('version=')[2]}/{e['part']}" for e in entries]
+        return rows.where(F.concat_ws("/", "version", PART).isin(of)).select(*own).drop(PART)
 
     def _write(self, df: DataFrame, name: str, by: tuple[str, ...], **counts: Column) -> tuple[str, Row]:
         folder = f"{name}/version={uuid.uuid4().hex}"
@@ -118,15 +121,21 @@ class Snapshot:
         self._put(name, folder, counts["rows"], df.schema)
         return counts["rows"]
 
-    def save_split(self, df: DataFrame, names: dict[str, str], **counts: Column) -> dict[str, int]:
-        """Writes the rows of several tables in one pass: ``names`` maps values of
-        the column ``table_part`` to tables. Returns the rows of each table, and any
-        other ``counts`` asked for."""
+    def save_split(
+        self, df: DataFrame, folder: str, names: dict[str, str],
+        only: dict[str, list[str]] | None = None, **counts: Column,
+    ) -> dict[str, int]:
+        """Writes the rows of several tables in one pass, under ``folder``: ``names``
+        maps values of the column ``table_part`` to tables, ``only`` names the columns of
+        tables that don't have all. Returns the rows of each table, and any other ``counts``
+        asked for. Tables ``folder/key=value`` are parts of one table ``folder``."""
         of_part = {f"part_{n}": F.count_if(F.col(PART) == value) for n, value in enumerate(names)}
-        folder, found = self._write(df, next(iter(names.values())), (PART,), **of_part, **counts)
+        where, found = self._write(df, folder, (PART,), **of_part, **counts)
         rows = {name: found[f"part_{n}"] for n, name in enumerate(names.values())}
         for value, name in names.items():
-            self._put(name, folder, rows[name], df.schema, value)
+            columns = (only or {}).get(name, df.columns)
+            schema = T.StructType([f for f in df.schema.fields if f.name in columns or f.name == PART])
+            self._put(name, where, rows[name], schema, value)
         return rows | {n: found[n] for n in counts}
 
     def mark(self, name: str, value: int) -> None:

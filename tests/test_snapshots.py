@@ -133,10 +133,10 @@ def test_split_tables_share_a_write(spark, tmp_path):
     )
     writer = Snapshot(spark, root)
     names = {"low": "small", "high": "large", "none": "empty"}
-    assert writer.save_split(rows, names, even=F.count_if(F.col("id") % 2 == 0)) == {
+    assert writer.save_split(rows, "small", names, even=F.count_if(F.col("id") % 2 == 0)) == {
         "small": 3, "large": 7, "empty": 0, "even": 5
     }
-    writer.save_split(rows.limit(0), {"a": "nothing"})
+    writer.save_split(rows.limit(0), "nothing", {"a": "nothing"})
     writer.commit()
     state = Snapshot(spark, root)
     assert numbers(state.load("small")) == [0, 1, 2]
@@ -144,3 +144,24 @@ def test_split_tables_share_a_write(spark, tmp_path):
     assert numbers(state.load("empty")) == numbers(state.load("nothing")) == []
     plan = state.load("small")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(table_part" in plan
+
+
+def test_parts_are_replaced_one_by_one(spark, tmp_path):
+    root = str(tmp_path)
+
+    def put(days, extra):
+        rows = spark.createDataFrame([(d, d + extra) for d in days], f"{snapshots.PART} string, value string")
+        writer = Snapshot(spark, root)
+        writer.save_split(rows, "t", {d: f"t/day={d}" for d in days})
+        writer.commit()
+
+    put(["a", "b", "c"], "1")
+    put(["b"], "2")
+    put(["d", "c"], "3")
+    rows = Snapshot(spark, root).load("t")
+    assert rows.columns == ["value"] and numbers(rows) == ["a1", "b2", "c3", "d3"]
+    assert snapshots.expire(spark, root, keep_seconds=-1) == 0  # each folder still has a part in use
+    assert numbers(Snapshot(spark, root).load("t")) == ["a1", "b2", "c3", "d3"]
+    put(["a"], "4")
+    assert snapshots.expire(spark, root, keep_seconds=-1) == 1
+    assert numbers(Snapshot(spark, root).load("t")) == ["a4", "b2", "c3", "d3"]
