@@ -14,6 +14,7 @@ for byte-level vocabularies. Null and empty texts have no ids.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 from array import array
@@ -39,8 +40,9 @@ WORDS = (
 )
 PRINTABLE = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
 
-#: Words of a cache generation (a Python worker keeps two).
-CACHE_WORDS = 60_000
+#: Words of a cache generation (a Python worker keeps two): of ids beside other
+#: work, and of digests, which have a worker to themselves.
+CACHE_WORDS, SPELLING_WORDS = 60_000, 300_000
 #: Bytes of text whose words are looked up together.
 PART_BYTES = 1 << 20
 #: Longest word, in bytes, that is merged by scanning.
@@ -59,7 +61,8 @@ def byte_characters() -> dict[str, int]:
 class Vocabulary:
     """A byte-level BPE vocabulary file and the tables its encoder needs."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int | None = None):
+        self.cache_words = cache_words or CACHE_WORDS
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model, byte_of = spec["model"], byte_characters()
@@ -236,17 +239,21 @@ class Vocabulary:
             yield self.added[mark.group()]
             at = mark.end()
 
+    def entry(self, ids: list[int]):
+        """What the cache keeps of a word."""
+        return array("i", ids).tobytes()
+
     def _learn(self, new: set[str]) -> None:
         """Puts the ids of words that aren't in the cache into it. A full cache
         becomes the older generation, from which words in use come back."""
-        if len(self.cache) + len(new) > CACHE_WORDS:
+        if len(self.cache) + len(new) > self.cache_words:
             self.older, self.cache = self.cache, {}
         known = new.intersection(self.older)
         self.cache.update(zip(known, map(self.older.__getitem__, known)))
         fresh = list(new.difference(known))
-        self.cache.update(zip(fresh, (array("i", i).tobytes() for i in self.encode_words(fresh)), strict=True))
+        self.cache.update(zip(fresh, map(self.entry, self.encode_words(fresh)), strict=True))
 
-    def _looked_up(self, words: list[str]) -> list[bytes]:
+    def _looked_up(self, words: list[str]) -> list:
         pieces = list(map(self.cache.get, words))
         new = [i for i, piece in enumerate(pieces) if piece is None]
         if new:
@@ -255,10 +262,10 @@ class Vocabulary:
                 pieces[i] = self.cache[words[i]]
         return pieces
 
-    def encode(self, texts: list[str | None]) -> Iterator[array]:
-        """The ids of each text, in order. The words of all short texts are
-        looked up together, which keeps the numpy steps for new words long; a
-        long text goes block by block."""
+    def entries(self, texts: list[str | None]) -> Iterator[list]:
+        """The cache entries of each text's words, in order. The words of all
+        short texts are looked up together, which keeps the numpy steps for new
+        words long; a long text goes block by block."""
         most = 8 * BLOCK_WORDS
         words: list[str] = []
         parts: list[list[tuple[int, int] | int]] = []
@@ -270,14 +277,25 @@ class Vocabulary:
                     words += block
                 else:
                     parts[-1].append(block)
-        pieces = self._looked_up(words)
+        found = self._looked_up(words)
         for text, own in zip(texts, parts, strict=True):
-            ids = array("i")
             if text and len(text) > most:
+                pieces = []
                 for block in self._word_blocks(text):
-                    ids.frombytes(b"".join(self._looked_up(block)) if isinstance(block, list) else array("i", [block]).tobytes())
-            for part in own:
-                ids.frombytes(b"".join(pieces[slice(*part)]) if isinstance(part, tuple) else array("i", [part]).tobytes())
+                    pieces += self._looked_up(block) if isinstance(block, list) else [self.entry([block])]
+            elif len(own) == 1 and isinstance(own[0], tuple):
+                pieces = found[slice(*own[0])]
+            else:
+                pieces = []
+                for part in own:
+                    pieces += found[slice(*part)] if isinstance(part, tuple) else [self.entry([part])]
+            yield pieces
+
+    def encode(self, texts: list[str | None]) -> Iterator[array]:
+        """The ids of each text, in order."""
+        for pieces in self.entries(texts):
+            ids = array("i")
+            ids.frombytes(b"".join(pieces))
             yield ids
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -285,6 +303,30 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+class Spelling(Vocabulary):
+    """Keeps, of each word, its ids as decimals and the bytes they decode to."""
+
+    def entry(self, ids: list[int]) -> tuple[bytes, bytes]:
+        return b",".join(map(self.digits.__getitem__, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def digests(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
+        """Number of ids, digests of the ids and of what they decode to, of each text."""
+        for pieces in self.entries(texts):
+            ids = b",".join([ids for ids, _ in pieces])
+            decoded = b"".join([own for _, own in pieces]).decode("utf-8", "replace").encode()
+            yield (
+                ids.count(b",") + 1 if ids else 0,
+                hashlib.sha256(ids).hexdigest(),
+                hashlib.sha256(decoded).hexdigest(),
+            )
+
+
+@lru_cache(maxsize=4)
+def spelling(path: str) -> Spelling:
+    """Loaded once per Python worker."""
+    return Spelling(path, SPELLING_WORDS)
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """Loaded once per Python worker."""
@@ -326,20 +368,14 @@ def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
     """Per row: number of ids, SHA-256 of the ids as decimals joined by commas,
     and SHA-256 of the text decoded from these ids. One row out for each row
     in, repeated and null ids included."""
-    import hashlib
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(path)
-        digits = vocab.digits
+        vocab = spelling(path)
         for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            for ids in encoded(path, batch.column(1)):
-                counts.append(len(ids))
-                joined = b",".join(map(digits.__getitem__, ids))
-                of_ids.append(hashlib.sha256(joined).hexdigest())
-                of_text.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())
+            found = [d for part in batch_parts(batch.column(1), PART_BYTES) for d in vocab.digests(part.to_pylist())]
+            counts, of_ids, of_text = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()),
+                 pa.array(of_text, pa.string())],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
