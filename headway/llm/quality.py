@@ -177,24 +177,39 @@ def buckets_gain(share: np.ndarray) -> np.ndarray:
 
 
 def counted(samples: DataFrame, bits: int) -> DataFrame:
-    """(label, buckets, counts) of labelled texts; as long as there are buckets
-    at most."""
+    """(place, label, buckets, counts) of labelled texts (place, label, text); as long
+    as there are buckets at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, numbers = [], []
             for i in range(len(batch)):
                 total = np.zeros(4 << bits, dtype=np.int64)
-                for data, _, cuts in stretches(batch.column(1).slice(i, 1)):
+                for data, _, cuts in stretches(batch.column(2).slice(i, 1)):
                     total += np.bincount(features(data, cuts, bits)[0], minlength=len(total))
                 ids.append(np.flatnonzero(total).astype(np.int32))
                 numbers.append(total[ids[-1]].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(numbers, pa.list_(pa.int32()))],
-                names=["label", "buckets", "counts"],
+                [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array(numbers, pa.list_(pa.int32()))],
+                names=["place", "label", "buckets", "counts"],
             )
 
-    return samples.mapInArrow(count, "label int, buckets array<int>, counts array<int>")
+    return samples.mapInArrow(count, "place bigint, label int, buckets array<int>, counts array<int>")
+
+
+def in_order(found: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """The rows of ``counted`` by place, as views of the columns, which aren't copied."""
+    rows = []
+    for batch in found.to_batches():
+        places, labels = (batch.column(n).to_pylist() for n in (0, 1))
+        ids, numbers = (batch.column(n).flatten().to_numpy() for n in (2, 3))
+        ends = [np.cumsum([0, *(len(x) for x in batch.column(n))]) for n in (2, 3)]
+        for i, (place, label) in enumerate(zip(places, labels)):
+            rows.append((
+                place, label, ids[ends[0][i] : ends[0][i + 1]], numbers[ends[1][i] : ends[1][i + 1]],
+            ))
+    return [row[1:] for row in sorted(rows, key=lambda r: r[0])]
 
 
 def held_out(id_column: str) -> Column:
@@ -220,16 +235,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), lab
     samples = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(
         F.min("label").alias("label"), F.min("text").alias("text")
     )
-    found = counted(samples.select("label", "text"), settings.bits).toArrow()
-    triples = sorted(
-        ((label, ids, numbers) for label, ids, numbers in zip(
-            found.column(0).to_pylist(),
-            (np.array(x.as_py(), np.int64) for x in found.column(1)),
-            (np.array(x.as_py(), np.float64) for x in found.column(2)),
-        )),
-        key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()),
-    )
-    return train(triples, settings)
+    # The order of training: the same every run, however rows arrive.
+    place = F.xxhash64("id").alias("place")
+    return train(in_order(counted(samples.select(place, "label", "text"), settings.bits).toArrow()), settings)
 
 
 def score(text: Column, model: Model) -> Column:
