@@ -15,7 +15,7 @@ from headway.session import work_path
 from headway.sources import feed, payloads, samples, tables
 from headway.sources.topics import RAIL_TOPIC, read_message_files
 from headway.sources.snapshots import Snapshot
-from headway.streaming import codec, ingest, live, state
+from headway.streaming import codec, compact, ingest, live, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,6 +258,28 @@ def stream_ingest_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.events_table(spark, root, ingest.BUS_TABLE)
 
 
+@_query("compacted_events")
+def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores the messages in several batches, with a compaction after half of them
+    and one after all, then adds a last batch; all rail events there are."""
+    root = work_path(spark, "compact")
+    messages = samples.messages(spark, sf_dir).withColumn(
+        "share", F.pmod(F.xxhash64("key", "value"), F.lit(4))
+    )
+    for share in range(4):
+        messages.where(F.col("share") == share).drop("share").coalesce(1).write.mode("append").parquet(
+            f"{root}/messages"
+        )
+        compact.drain(
+            lambda topic: read_message_files(spark, f"{root}/messages").where(F.col("topic") == topic),
+            f"{root}/tables",
+        )
+        if share in (1, 2):
+            for table in ingest.TABLES:
+                compact.compact(spark, f"{root}/tables", table)
+    return compact.events_table(spark, f"{root}/tables", ingest.RAIL_TABLE)
+
+
 def _live(name: str, result: Callable[[DataFrame], DataFrame]) -> None:
     """A report over a table that a stream has filled."""
 

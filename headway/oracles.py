@@ -485,6 +485,7 @@ SELECTS: dict[str, str] = {
     from rail_events""",
     "stream_ingest_rail": f"select {_EVENT_COLUMNS} from rail_events",
     "stream_ingest_bus": "select * from bus_events",
+    "compacted_events": f"select {_EVENT_COLUMNS} from rail_events",
     "live_per_minute": """select date_trunc('minute', "timestamp") as minute, count(*) events
   from rail_events group by 1""",
     "live_per_line": f"""select line, count(*) events,

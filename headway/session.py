@@ -37,20 +37,25 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
     return spark
 
 
+# The folder of each local application that names none.
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder of its
-    own; on a cluster a machine-local folder would be lost with its machine.
+    Only a session on one machine (``local``, ``local[...]``) gets, without the
+    setting, a temporary folder of its own; on a cluster a machine-local folder
+    would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if not named:
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="headway-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if context.applicationId not in _own_dirs:
+            _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="headway-")
+        named = _own_dirs[context.applicationId]
     return named.rstrip("/")
 
 

@@ -61,20 +61,25 @@ class Snapshot:
         self.spark, self.root = spark, root.rstrip("/")
         entries = _entries(spark, self.root)
         # A row for each table.
-        self.entries: dict[str, Row] = (
-            {} if entries is None else {r["name"]: r for r in _newest(entries).collect()}
-        )
+        newest = [] if entries is None else _newest(entries).collect()
+        self.entries: dict[str, Row] = {r["name"]: r for r in newest}
         self.pending: dict[str, Row] = {}
 
     def _entry(self, name: str) -> Row | None:
-        return self.pending.get(name) or self.entries.get(name)
+        entry = self.pending.get(name) or self.entries.get(name)
+        return None if entry is None or entry["folder"] is None else entry
 
     def exists(self, name: str) -> bool:
         return self._entry(name) is not None or bool(self.parts(name))
 
+    def rows(self, name: str) -> int:
+        """The number of rows, as counted when they were written."""
+        return self._entry(name)["row_count"]
+
     def parts(self, name: str) -> list[str]:
         """The tables ``name/key=value`` that make up a table."""
-        return sorted(n for n in {*self.entries, *self.pending} if n.startswith(f"{name}/"))
+        names = {*self.entries, *self.pending}
+        return sorted(n for n in names if n.startswith(f"{name}/") and self._entry(n))
 
     def load(self, name: str) -> DataFrame:
         """A table; one made up of parts has their keys as columns."""
@@ -111,7 +116,7 @@ class Snapshot:
         counted.write.partitionBy(*by).parquet(f"{self.root}/{folder}")
         return folder, Row(**seen.get)
 
-    def _put(self, name: str, folder: str, rows: int, columns: T.StructType, part: str | None = None) -> None:
+    def _put(self, name: str, folder: str | None, rows: int, columns: T.StructType, part: str | None = None) -> None:
         self.pending[name] = Row(*FIELDS)(0, name, folder, part, rows, columns.json(), None)
 
     def save(self, df: DataFrame, name: str, by: tuple[str, ...] = ()) -> int:
@@ -138,6 +143,11 @@ class Snapshot:
             self._put(name, where, rows[name], schema, value)
         return rows | {n: found[n] for n in counts}
 
+    def drop(self, name: str) -> None:
+        """The table is there no more from the commit on."""
+        if self._entry(name) is not None:
+            self._put(name, None, 0, T.StructType())
+
     def mark(self, name: str, value: int) -> None:
         self._put(MARK + name, "", value, T.StructType())
 
@@ -184,20 +194,21 @@ def expire(spark: SparkSession, root: str, keep_seconds: float = 86_400) -> int:
     # The driver looks at folders, not rows: a few for each table and day.
     limit = time.time() - keep_seconds
     entries = spark.read.schema(ENTRY).json([str(p) for p in before if p.getName().startswith("part-")])
-    found = sorted(entries.distinct().collect(), key=lambda r: (r["number"], r["folder"]))
+    found = sorted(entries.distinct().collect(), key=lambda r: (r["number"], r["folder"] or ""))
     kept: dict[str, Row] = {}
     latest: dict[str, Row] = {}
     for entry in found:
         if (last := latest.get(entry["name"])) and entry["committed"].timestamp() >= limit:
             kept[f"{last['name']} {last['number']} {last['folder']}"] = last  # replaced lately
         latest[entry["name"]] = entry
-    kept |= latest
+    in_use = {entry["name"] for entry in kept.values()}
+    kept |= {name: e for name, e in latest.items() if e["folder"] is not None or name in in_use}
     spark.createDataFrame(list(kept.values()), ENTRY).coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
     for old in before:
         files.delete(old, False)
     used = {entry["folder"] for entry in kept.values()}
     gone = 0
-    for table in {entry["folder"].rpartition("/")[0] for entry in found} - {""}:
+    for table in {entry["folder"].rpartition("/")[0] for entry in found if entry["folder"]} - {""}:
         for status in files.listStatus(path(f"{root}/{table}")):
             name = status.getPath().getName()
             if not name.startswith("version=") or f"{table}/{name}" in used:

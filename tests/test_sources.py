@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import logging
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,7 +14,7 @@ from headway import schemas
 from headway.operators import staging
 from headway.plans import build, rail_reports
 from headway.sources import feed, tables, topics
-from headway.session import work_path
+from headway.session import shared_dir, work_path
 
 
 def write(path, text, encoding="utf-8"):
@@ -199,11 +203,63 @@ def test_broker_options():
     assert options["kafka.sasl.jaas.config"].endswith('username="me" password="a\\"b";')
 
 
-def test_work_paths_follow_the_session_setting(spark):
-    assert spark.conf.get("spark.checkpoint.dir", None) or work_path(spark, "x")
-    folder = spark.conf.get("spark.checkpoint.dir")
-    a, b = work_path(spark, "x"), work_path(spark, "x")
-    assert a != b and a.startswith(folder) and b.startswith(folder)
+class Session:
+    """A session with a master and, or not, a shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = self.conf = self
+        self.master, self.folder, self.applicationId = master, folder, f"{master}-{folder}"
+
+    def get(self, name, default):
+        return self.folder or default
+
+
+def test_work_paths_follow_the_session_setting():
+    cluster = Session("spark://host:7077", "hdfs://store/shared/")
+    a, b = work_path(cluster, "x"), work_path(cluster, "x")
+    assert a != b and a.startswith("hdfs://store/shared/headway/x-")
+    for master in ("local", "local[4]"):
+        alone = Session(master)
+        assert shared_dir(alone) == shared_dir(alone)
+        assert work_path(alone, "x").startswith(shared_dir(alone))
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(Session(master))
+
+
+def test_a_session_without_the_setting_can_store(tmp_path):
+    """In a process of its own, as the setting can't be taken back."""
+    code = (
+        "from headway.session import local_session, work_path\n"
+        "spark = local_session(1, '1g', **{'spark.checkpoint.dir': ''})\n"
+        "path = work_path(spark, 'x')\n"
+        "spark.range(3).write.parquet(path)\n"
+        "print(spark.read.parquet(path).count())\n"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root, "TMPDIR": str(tmp_path)},
+        capture_output=True, text=True, timeout=300,
+    )
+    assert done.stdout.strip() == "3", done.stderr[-2000:]
+
+
+def test_the_entry_works_without_the_training_data_part(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    (tmp_path / "headway").mkdir()
+    for path in root.glob("headway/*"):
+        if path.name != "llm":
+            (tmp_path / "headway" / path.name).symlink_to(path)
+    (tmp_path / "__spark_entry__.py").symlink_to(root / "__spark_entry__.py")
+    code = (
+        "import __spark_entry__ as e; q = e.queries()\n"
+        "assert set(q) == set(e.oracle_sql()) and len(q) > 100 and 'pipeline' not in q; print('fine')"
+    )
+    done = subprocess.run(
+        [sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+        env=os.environ | {"PYTHONPATH": str(tmp_path)},
+    )
+    assert done.stdout.strip() == "fine", done.stderr[-2000:]
 
 
 def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
