@@ -235,20 +235,33 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
     runs listed in the column ``todo``, cut out of the packed texts."""
     kind = rows.schema["id"].dataType.simpleString()
 
+    def cut(batch: pa.RecordBatch, strings: list[bytes]) -> pa.RecordBatch:
+        todo = batch.column(3)
+        flat = todo.flatten()
+        of_row = pa.array(np.repeat(np.arange(len(batch)), np.diff(np.asarray(todo.offsets))))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(of_row), batch.column(1).take(of_row), flat.field(0),
+             flat.field(2), flat.field(3), flat.field(4), pa.array(strings, pa.binary())],
+            names=["id", "text_hash", "first", "anchor", "known", "company", "string"],
+        )
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Strings overlap, so a batch may hold more bytes of them than of
+        texts; they go out in parts of some megabytes."""
         for batch in batches:
             texts, todo = batch.column(2), batch.column(3)
             strings: list[bytes] = []
+            begin = total = 0
             for i in range(len(batch)):
                 own, data = todo[i].values, unpacked(texts[i]).tobytes()
-                strings += [data[a : b + length] for a, b in zip(own.field(0).to_pylist(), own.field(1).to_pylist())]
-            flat = todo.flatten()
-            of_row = pa.array(np.repeat(np.arange(len(batch)), np.diff(np.asarray(todo.offsets))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(of_row), batch.column(1).take(of_row), flat.field(0),
-                 flat.field(2), flat.field(3), flat.field(4), pa.array(strings, pa.binary())],
-                names=["id", "text_hash", "first", "anchor", "known", "company", "string"],
-            )
+                fresh = [data[a : b + length] for a, b in zip(own.field(0).to_pylist(), own.field(1).to_pylist())]
+                strings += fresh
+                total += sum(map(len, fresh))
+                if total > 16 * STEP:
+                    yield cut(batch.slice(begin, i + 1 - begin), strings)
+                    begin, total, strings = i + 1, 0, []
+            if begin < len(batch):
+                yield cut(batch.slice(begin), strings)
 
     return rows.select("id", "text_hash", "packed", "todo").mapInArrow(
         find, f"id {kind}, text_hash bigint, first bigint, anchor bigint, known boolean, company bigint, string binary"
