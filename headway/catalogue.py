@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway import schemas
-from headway.operators import marts, rejects, rollups, staging
+from headway.functions import times
+from headway.operators import marts, rejects, rollups, sketches, staging
 from headway.plans import build, event_reports, rail_reports, reports
 from headway.session import work_path
 from headway.sources import feed, payloads, samples, tables
@@ -185,6 +187,24 @@ _over(
     .agg(F.count(F.lit(1)).alias("answers")),
 )
 
+
+
+def _stamped(name: str, source: Callable[[SparkSession, str], DataFrame],
+             flatten: Callable[[DataFrame], DataFrame]) -> None:
+    """Events that the job's own clock stamps; whether the stamp lies within the run."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        started = F.lit(dt.datetime.now(dt.timezone.utc))
+        events = flatten(source(spark, sf_dir).drop("observed_at"))
+        own = F.col("timestamp").between(started, F.current_timestamp())
+        return events.withColumn("stamped_in_run", own).drop("timestamp")
+
+    QUERIES[name] = run
+
+
+_stamped("stamped_schedule", samples.schedule_answers, payloads.flatten_schedule)
+_stamped("stamped_eta", samples.eta_answers, payloads.flatten_eta)
+
 # Event reports, batch.
 _over("stream_kpis", samples.rail_events, event_reports.stream_kpis)
 _over("events_per_line", samples.rail_events, event_reports.events_per_line)
@@ -276,7 +296,7 @@ def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         if share in (1, 2):
             for table in ingest.TABLES:
-                compact.compact(spark, f"{root}/tables", table)
+                compact.compact(spark, f"{root}/tables", table, period="yyyy-MM")
     return compact.events_table(spark, f"{root}/tables", ingest.RAIL_TABLE)
 
 
@@ -450,6 +470,82 @@ def stored_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month.groupBy("event_date", "line").agg(F.count(F.lit(1)).alias("events"))
 
 
+def _sketched(name: str, result: Callable[[DataFrame, marts.Network], DataFrame]) -> None:
+    """An estimate from stored sketches next to the exact value, and whether it is
+    within the stated error."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_path(spark, name)
+        raw = samples.raw_feed(spark, sf_dir)
+        build.build_staging(spark, {m: raw[m] for m in ("trips", "stop_times")}, root)
+        build.build_sketches(spark, root)
+        net = build.stored_network(spark, root, with_rollups=False, staged=build.ROLLUP_NEEDS)
+        return result(tables.load(spark, root, build.SKETCHES), net)
+
+    QUERIES[name] = run
+
+
+def _sketched_trips(*group: str) -> Callable[[DataFrame, marts.Network], DataFrame]:
+    def result(stored: DataFrame, net: marts.Network) -> DataFrame:
+        timed = net.stop_times.where(times.is_service_time(F.col("departure_time"))).select(
+            "trip_id", "stop_id", times.valid_hour(F.col("departure_time")).alias("hour_of_day")
+        )
+        exact = timed.join(net.runs, "trip_id").select(*group, "trip_id").distinct().groupBy(*group).agg(
+            F.count("trip_id").alias("trips")
+        )
+        off = F.abs(F.col("approx_trips") - F.col("trips"))
+        return sketches.approx_trips(stored, *group).join(exact, list(group)).select(
+            *group, "trips", (off <= F.greatest(F.col("trips") * sketches.DISTINCT_ERROR, F.lit(1.0))).alias("close")
+        )
+
+    return result
+
+
+_sketched("sketched_trips_per_route", _sketched_trips("route_id"))
+_sketched("sketched_trips_per_hour", _sketched_trips("hour_of_day"))
+_sketched("sketched_trips_per_stop", _sketched_trips("stop_id"))
+
+
+def _sketched_medians(stored: DataFrame, net: marts.Network) -> DataFrame:
+    """Shares of visits before and up to the estimate must enclose a half, but for the error."""
+    seconds = net.stop_times.join(net.runs.select("trip_id"), "trip_id").select(
+        times.seconds_of(F.col("departure_time")).alias("second"),
+        times.valid_hour(F.col("departure_time")).alias("hour_of_day"),
+    ).where("second is not null")
+    found = seconds.join(sketches.approx_departure(stored, "hour_of_day"), "hour_of_day")
+    shares = found.groupBy("hour_of_day").agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.avg((F.col("second") < F.col("departure_second")).cast("double")).alias("before"),
+        F.avg((F.col("second") <= F.col("departure_second")).cast("double")).alias("upto"),
+    )
+    error = sketches.RANK_ERROR
+    return shares.select(
+        "hour_of_day", "visits", ((F.col("before") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).alias("close")
+    )
+
+
+_sketched("sketched_median_departures", _sketched_medians)
+
+
+@_query("exported_stops")
+def exported_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report exported as one CSV file, replaced by a second export, read back as text."""
+    path = f"{work_path(spark, 'export')}/busiest"
+    report = reports.busiest_stops(marts.stops_ranked(samples.network(spark, sf_dir)))
+    for rows in (report.limit(3), report):
+        tables.save_csv(rows, path, single_file=True)
+    return feed.read_csv_text(spark, path)
+
+
+@_query("loaded_preview")
+def loaded_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 30 rows, in file order, of a file that lacks the columns of stops."""
+    path = f"{work_path(spark, 'preview')}/routes"
+    routes = samples.raw_feed(spark, sf_dir)["routes"]
+    tables.save_csv(routes.orderBy(F.col("route_id").cast("bigint").desc()), path)
+    return rail_reports.light_rail_routes(feed.read_csv_text(spark, path, file_order=True))
+
+
 # Rail files: CSV with byte-order mark, blanks around headers and an unnamed
 # column -> landed CSV -> raw table -> report.
 

@@ -438,6 +438,24 @@ SELECTS: dict[str, str] = {
   from bus_events""",
     "broken_answers": """select "timestamp" observed_at, arrival_time curr_time,
   concat(line, '-', station) line_station from answers where broken""",
+    "stamped_schedule": """select event_type, line, station, direction, destination, platform,
+  arrival_time, minutes_away, is_delayed, true stamped_in_run from trains""",
+    "stamped_eta": """select event_type, stop_id, route, direction, service_type, destination_en,
+  destination_tc, cast(1 as bigint) eta_seq, eta, true stamped_in_run from bus_events""",
+    "exported_stops": f"""select cast(rank as varchar) rank, stop_name,
+  cast(total_departures as varchar) total_departures, transport_type from ({_busiest()})""",
+    "loaded_preview": """select route_id, route_short_name, route_long_name,
+  cast(route_type as varchar) route_type from stg_routes
+  order by cast(route_id as bigint) desc limit 30""",
+    **{
+        f"sketched_trips_per_{name}": f"""select {column}, count(distinct trip_id) trips, true "close" from (
+  select trip_id, stop_id, r.route_id, cast(split_part(departure_time, ':', 1) as bigint) hour_of_day
+  from stg_stop_times st join stg_trips r using (trip_id) where departure_time is not null) group by 1"""
+        for name, column in (("route", "route_id"), ("hour", "hour_of_day"), ("stop", "stop_id"))
+    },
+    "sketched_median_departures": """select cast(split_part(departure_time, ':', 1) as bigint) hour_of_day,
+  count(*) visits, true "close" from stg_stop_times join stg_trips using (trip_id)
+  where departure_time is not null group by 1""",
     "next_trains": """select direction, cast(n as varchar) seq, destination, platform,
   arrival_time, minutes_away from trains where line = 'KTL' and station = 'S2'
   and "timestamp" = (select max("timestamp") from answers

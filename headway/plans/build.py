@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators import marts, rejects, rollups, staging
+from headway.operators import marts, rejects, rollups, sketches, staging
 from headway.operators.marts import Network
 from headway.sources import feed, tables
 from headway.sources.snapshots import Snapshot
@@ -35,6 +35,7 @@ TRIP_ORDER = ("trip_id", "stop_sequence", "departure_time")
 STAGING_CLUSTERS = {"stg_trips": ("route_id", "trip_id"), "stg_stop_times": TRIP_ORDER}
 ROLLUP_NEEDS = ("stg_stop_times", "stg_trips")
 ROLLUPS = ("route_trips", "visit_rollup", "route_stop_rollup", "route_hours")
+SKETCHES = "visit_sketches"
 BUILD_LOG = "build_log"
 BUILD_LOG_SCHEMA = "table_name string, run string, row_count bigint"
 
@@ -117,6 +118,16 @@ def build_rollups(spark: SparkSession, root: str) -> dict[str, int]:
     return rows
 
 
+def build_sketches(spark: SparkSession, root: str) -> int:
+    """Stores the sketches of all visits, for approximate reports (``operators.sketches``);
+    no build does so unasked."""
+    tables_at = Snapshot(spark, root)
+    net = _network(tables_at, with_rollups=False, staged=ROLLUP_NEEDS)
+    rows = tables_at.save(sketches.visit_sketches(net.stop_times, net.trips), SKETCHES)
+    tables_at.commit()
+    return rows
+
+
 def _marts(tables_at: Snapshot, staged: tuple[str, ...]) -> dict[str, int]:
     net = _network(tables_at, staged=staged)
     rows = {}

@@ -21,7 +21,6 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,12 +38,10 @@ MARK = "mark:"
 
 
 def _entries(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(ENTRY).json(f"{root}/{MANIFEST}")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFEST}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(ENTRY).json(f"{root}/{MANIFEST}")
 
 
 def _newest(entries: DataFrame) -> DataFrame:
@@ -96,18 +93,30 @@ class Snapshot:
         return self.spark.read.schema(schema).options(**options).parquet(*folders)
 
     def _load_parts(self, name: str) -> DataFrame:
-        entries = [self._entry(part) for part in self.parts(name)]
-        if not entries:
+        parts = self.parts(name)
+        if not parts:
             raise ValueError(f"no table {name} under {self.root}")
-        first, base = entries[0], f"{self.root}/{name}"
-        folders = sorted({f"{self.root}/{e['folder']}" for e in entries})
-        rows, own = self._read(first, *folders, basePath=base), T.StructType.fromJson(json.loads(first["columns"])).names
-        if first["part"] is None:  # folders of their own, whose names are the keys
-            keys = [p.partition("=")[0] for p in first["name"].removeprefix(f"{name}/").split("/")]
-            return rows.select(*own, *keys)
-        # Parts of writes that held several; the others in them have been replaced.
+        if self._entry(parts[0])["part"] is not None:
+            return self.load_split(name, parts).drop(PART)
+        # Folders of their own, whose names are the keys.
+        entries = [self._entry(part) for part in parts]
+        rows, own = self._scan(name, entries)
+        keys = [p.partition("=")[0] for p in parts[0].removeprefix(f"{name}/").split("/")]
+        return rows.select(*own, *keys)
+
+    def load_split(self, name: str, parts: list[str]) -> DataFrame:
+        """Some of the parts that ``save_split`` wrote under ``name``, in one scan, with
+        the column ``table_part``."""
+        entries = [self._entry(part) for part in parts]
+        rows, own = self._scan(name, entries)
+        # The folder of a write may also hold parts that have been replaced.
         of = [f"{e['folder'].rpartition('version=')[2]}/{e['part']}" for e in entries]
-        return rows.where(F.concat_ws("/", "version", PART).isin(of)).select(*own).drop(PART)
+        return rows.where(F.concat_ws("/", "version", PART).isin(of)).select(*own)
+
+    def _scan(self, name: str, entries: list[Row]) -> tuple[DataFrame, list[str]]:
+        folders = sorted({f"{self.root}/{e['folder']}" for e in entries})
+        own = T.StructType.fromJson(json.loads(entries[0]["columns"])).names
+        return self._read(entries[0], *folders, basePath=f"{self.root}/{name}"), own
 
     def _write(self, df: DataFrame, name: str, by: tuple[str, ...], **counts: Column) -> tuple[str, Row]:
         folder = f"{name}/version={uuid.uuid4().hex}"
@@ -128,19 +137,24 @@ class Snapshot:
 
     def save_split(
         self, df: DataFrame, folder: str, names: dict[str, str],
-        only: dict[str, list[str]] | None = None, **counts: Column,
+        only: dict[str, list[str]] | None = None, rows: dict[str, int] | None = None,
+        **counts: Column,
     ) -> dict[str, int]:
         """Writes the rows of several tables in one pass, under ``folder``: ``names``
         maps values of the column ``table_part`` to tables, ``only`` names the columns of
         tables that don't have all. Returns the rows of each table, and any other ``counts``
-        asked for. Tables ``folder/key=value`` are parts of one table ``folder``."""
-        of_part = {f"part_{n}": F.count_if(F.col(PART) == value) for n, value in enumerate(names)}
+        asked for. Rows of tables are counted during the write, which is for a few
+        tables; give ``rows`` (0 for unknown) where there are many. Tables
+        ``folder/key=value`` are parts of one table ``folder``."""
+        few = {} if rows is not None else {f"part_{n}": value for n, value in enumerate(names)}
+        of_part = {n: F.count_if(F.col(PART) == value) for n, value in few.items()}
         where, found = self._write(df, folder, (PART,), **of_part, **counts)
-        rows = {name: found[f"part_{n}"] for n, name in enumerate(names.values())}
+        if rows is None:
+            rows = {names[value]: found[n] for n, value in few.items()}
         for value, name in names.items():
             columns = (only or {}).get(name, df.columns)
             schema = T.StructType([f for f in df.schema.fields if f.name in columns or f.name == PART])
-            self._put(name, where, rows[name], schema, value)
+            self._put(name, where, rows.get(name, 0), schema, value)
         return rows | {n: found[n] for n in counts}
 
     def drop(self, name: str) -> None:

@@ -26,6 +26,8 @@ from headway.streaming.ingest import TABLES, Source
 #: Parts by batch, and by status and day.
 BATCHES, DAYS = "batches", "days"
 ROWS_PER_FILE = 1_000_000
+#: Tasks of one compaction at most; a task may write several parts.
+MOST_TASKS = 10_000
 
 
 def _names(table: str) -> tuple[str, str]:
@@ -74,36 +76,38 @@ def drain(source: Source, root: str) -> None:
             query.stop()
 
 
-def _part(rows: DataFrame) -> DataFrame:
-    day = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("none"))
-    return rows.withColumn(PART, F.concat_ws("_", "status", day))
-
-
 def compact(
     spark: SparkSession, root: str, table: str, rows_per_file: int = ROWS_PER_FILE,
-    keep_seconds: float = 86_400,
+    period: str = "yyyy-MM-dd", keep_seconds: float = 86_400,
 ) -> int:
-    """Rewrites the stored batches into days; returns how many batches there were. Only
+    """Rewrites the stored batches into parts by status and day, or another ``period`` (a
+    date pattern; always the same for a table). Returns how many batches there were. Only
     one compaction of a table may run at a time; batches may be added meanwhile."""
     of = f"{root.rstrip('/')}/{table}"
     stored = Snapshot(spark, of)
     batches, days = _names(table)
     found = stored.parts(batches)
     if found:
-        fresh = _part(stored.load(batches).drop("batch"))
+        day = F.coalesce(F.date_format("timestamp", period), F.lit("none"))
+        fresh = stored.load(batches).drop("batch").withColumn(PART, F.concat_ws("_", "status", day))
         # As many as there are days with new events.
         sizes = {r[PART]: r["n"] for r in fresh.groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()}
         names = {part: f"{days}/part={part}" for part in sorted(sizes)}
-        known = {part: name for part, name in names.items() if stored.exists(name)}
-        for part, name in known.items():
-            older = stored.load(name)
-            sizes[part] += stored.rows(name)
-            fresh = fresh.unionByName(older.withColumn(PART, F.lit(part)))
+        known = [name for name in names.values() if stored.exists(name)]
+        if known:
+            fresh = fresh.unionByName(stored.load_split(days, known))
+        for name in known:
+            sizes[name.rpartition("=")[2]] += stored.rows(name)
         if names:
             parts = {p: -(-n // rows_per_file) for p, n in sizes.items()}
-            files = F.create_map(*[F.lit(x) for item in parts.items() for x in item])
-            salt = F.pmod(F.xxhash64(*fresh.columns), F.element_at(files, F.col(PART)))
-            stored.save_split(fresh.repartition(sum(parts.values()), PART, salt), days, names)
+            # Only parts of several files need a salt.
+            several = [F.lit(x) for p, n in parts.items() if n > 1 for x in (p, n)]
+            files = F.coalesce(F.element_at(F.create_map(*several), F.col(PART)), F.lit(1)) if several else F.lit(1)
+            salt = F.pmod(F.xxhash64(*fresh.columns), files)
+            stored.save_split(
+                fresh.repartition(min(sum(parts.values()), MOST_TASKS), PART, salt), days, names,
+                rows={names[p]: n for p, n in sizes.items()},
+            )
         for name in found:
             stored.drop(name)
         stored.commit()

@@ -16,12 +16,16 @@ from pyspark.sql.streaming import StreamingQuery
 from headway.functions import labels
 
 
-def store(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Appends a stream of events to the Parquet table at ``path``, each once.
+def store(
+    events: DataFrame, path: str, checkpoint: str, every: str | None = None, files: int = 4
+) -> StreamingQuery:
+    """Appends a stream of events to the Parquet table at ``path``, each once, in
+    at most ``files`` files a batch; options of the source bound what a batch reads.
     Without ``every`` it stores what is there and stops."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        events.writeStream.outputMode("append")
+        events.repartition(files, F.xxhash64(*events.columns))
+        .writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

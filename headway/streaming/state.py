@@ -60,11 +60,10 @@ def _add_minutes(counts: Snapshot, fresh: DataFrame) -> None:
         return
     names = {day: f"{MINUTES}/day={day}" for day in days}
     known = [name for name in names.values() if counts.exists(name)]
-    for name in known:
-        stored = counts.load(name)
-        fresh = fresh.unionByName(stored.withColumn(PART, F.lit(name.rpartition("=")[2])))
+    if known:
+        fresh = fresh.unionByName(counts.load_split(MINUTES, known))
     merged = fresh.groupBy("minute", PART).agg(F.sum("events").alias("events"))
-    counts.save_split(merged.repartition(PART), MINUTES, names)
+    counts.save_split(merged.repartition(PART), MINUTES, names, rows={})
 
 
 def add(events: DataFrame, batch: int, root: str) -> None:
