@@ -33,15 +33,22 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from headway.llm.frames import batch_parts, written
 
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+#: What opens hidden text, and what closes each kind of it.
+OPENS = re.compile(r"<(script|style)\b|<!--", re.I)
+CLOSES = {
+    "script": re.compile(r"</script\s*>", re.I), "style": re.compile(r"</style\s*>", re.I), None: re.compile("-->"),
+}
 TAG = re.compile(r"<[^>]*>")
 GRAM_MULTIPLIER = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Bytes of one numpy step.
 STEP = 1 << 18
+#: Different languages of the texts at most.
+LANGUAGES = 1_000
 
 
 @dataclass(frozen=True)
@@ -55,9 +62,29 @@ class Settings:
     value_strength: float = 20.0  # pages of no evidence added to declarations and suffixes
 
 
+def shown(html: str) -> Iterator[str]:
+    """What lies outside scripts, styles and comments. What is never closed hides
+    nothing; that there is no close is found out once for each kind, so broken
+    pages take no longer than others."""
+    at, open_for_ever = 0, set()
+    for start in OPENS.finditer(html):
+        kind = start.group(1) and start.group(1).lower()
+        if start.start() < at or kind in open_for_ever:
+            continue
+        end = CLOSES[kind].search(html, start.end())
+        if end is None:
+            open_for_ever.add(kind)
+            continue
+        yield html[at : start.start()]
+        at = end.end()
+    yield html[at:]
+
+
 def visible(html: str | None) -> str:
     """The text of a page."""
-    return unescape(TAG.sub(" ", HIDDEN.sub(" ", html or "")))
+    text = " ".join(shown(html or ""))
+    last = text.rfind(">") + 1  # no tag ends behind it
+    return unescape(TAG.sub(" ", text[:last]) + text[last:])
 
 
 def grams(text: str, bits: int) -> np.ndarray:
@@ -81,14 +108,16 @@ def fit(texts: DataFrame, settings: Settings, lang_column: str = "lang", text_co
     ``texts_per_language`` texts of each language, by a hash of their ids."""
     own = texts.select(F.col(lang_column).alias("lang"), F.xxhash64(id_column).alias("hash"),
                        F.col(text_column).alias("text")).where("lang is not null and text is not null")
-    languages = sorted(r["lang"] for r in own.select("lang").distinct().collect())
+    languages = sorted(r["lang"] for r in own.select("lang").distinct().limit(LANGUAGES + 1).collect())
     if not languages:
         return [], np.zeros((0, 1 << settings.bits), np.float32)
-    # The bound of each language's sample, so that no group is ranked.
-    chosen = None
-    for lang in languages:
-        some = own.where(F.col("lang") == lang).select("lang", "hash").orderBy("hash").limit(settings.texts_per_language)
-        chosen = some if chosen is None else chosen.unionAll(some)
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"texts of more than {LANGUAGES} languages")
+    # Each task keeps the first of each language before they are dealt by language.
+    by_hash = W.partitionBy("lang").orderBy("hash")
+    chosen = own.select("lang", "hash").withColumn("place", F.row_number().over(by_hash)).where(
+        F.col("place") <= settings.texts_per_language
+    ).drop("place")
     sample = own.join(F.broadcast(chosen.distinct()), ["lang", "hash"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,15 +170,16 @@ def host(url: Column) -> Column:
 
 
 def declared(html: Column) -> Column:
-    """The language, without region, that the html element declares."""
-    found = F.regexp_extract(F.lower(html), r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", 1)
+    """The language, without region, that the html element declares. No attribute
+    holds an angle bracket, so broken tags are not searched again and again."""
+    found = F.regexp_extract(F.lower(html), r"<html\b[^<>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", 1)
     return F.when(found != "", found)
 
 
 def _softmax(logs: Column) -> Column:
     most = F.array_max(logs)
     powers = F.transform(logs, lambda x: F.exp(x - most))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
+    total = _total(powers)
     return F.transform(powers, lambda x: x / total)
 
 
@@ -160,10 +190,22 @@ def _sums(rows: DataFrame, key: str, size: int, name: str) -> DataFrame:
     )
 
 
-def _mixed(own: Column, base: Column, strength: float, size: int) -> Column:
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _mixed(own: Column, base: Column, strength: float) -> Column:
     """(own + strength * base) / total: the smoothed distribution."""
-    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x) + strength
-    return F.array(*[(F.greatest(own[i], F.lit(0.0)) + strength * base[i]) / total for i in range(size)])
+    total = _total(own) + strength
+    return F.zip_with(own, base, lambda x, y: (F.greatest(x, F.lit(0.0)) + strength * y) / total)
+
+
+def _less(all_of: Column, some: Column) -> Column:
+    return F.zip_with(all_of, some, lambda x, y: x - y)
+
+
+def _plus(first: Column, second: Column) -> Column:
+    return F.zip_with(first, second, lambda x, y: x + y)
 
 
 def identify(pages: DataFrame, texts: DataFrame, settings: Settings = Settings(), id_column: str = "page_id",
@@ -197,12 +239,11 @@ def identify(pages: DataFrame, texts: DataFrame, settings: Settings = Settings()
     def likelihood(key: str) -> DataFrame:
         """(key, weight): for each value the ratio of its share among a language's
         pages to its share among all, smoothed towards 1."""
-        sums = _sums(evidence, key, size, "sums")
-        total = F.aggregate("sums", F.lit(0.0), lambda a, x: a + x)
-        ratio = F.array(*[
-            F.log((F.col("sums")[i] + settings.value_strength * overall[i])
-                  / ((total + settings.value_strength) * overall[i])) for i in range(size)
-        ])
+        sums = _sums(evidence, key, size, "sums").withColumn("total", _total(F.col("sums")))
+        strength = settings.value_strength
+        ratio = F.zip_with(
+            "sums", overall, lambda x, y: F.log((x + strength * y) / ((F.col("total") + strength) * y))
+        )
         return written(sums.select(key, ratio.alias(f"by_{key}")), "language-values")
 
     domains = _sums(evidence, "domain", size, "domain_sums")
@@ -218,21 +259,18 @@ def identify(pages: DataFrame, texts: DataFrame, settings: Settings = Settings()
         .join(likelihood("suffix"), "suffix", "left")
     )
     # The page itself, and its host in the domain's prior, don't count.
-    own = F.array(*[F.col("host_sums")[i] - F.col("by_text")[i] for i in range(size)])
-    domain = F.array(*[F.col("domain_sums")[i] - F.col("host_sums")[i] for i in range(size)])
-    prior = _mixed(own, _mixed(domain, overall, settings.domain_strength, size), settings.host_strength, size)
-    prior = F.coalesce(prior, overall)
-    nothing = F.array(*[F.lit(0.0)] * size)
-    logs = F.array(*[
-        F.col("evidence")[i] + F.log(prior[i]) + F.coalesce("by_declared", nothing)[i] + F.coalesce("by_suffix", nothing)[i]
-        for i in range(size)
-    ])
+    own = _less(F.col("host_sums"), F.col("by_text"))
+    domain = _mixed(_less(F.col("domain_sums"), F.col("host_sums")), overall, settings.domain_strength)
+    prior = F.coalesce(_mixed(own, domain, settings.host_strength), overall)
+    nothing = F.array_repeat(F.lit(0.0), size)
+    values = _plus(F.coalesce("by_declared", nothing), F.coalesce("by_suffix", nothing))
+    logs = _plus(F.zip_with("evidence", prior, lambda e, p: e + F.log(p)), values)
     names = F.array(*[F.lit(x) for x in languages])
 
     def top(column: str) -> Column:
         return F.element_at(names, F.array_position(column, F.array_max(column)).cast("int"))
 
-    fused = joined.withColumn("fused", _softmax(logs))
+    fused = joined.withColumn("logs", logs).withColumn("fused", _softmax(F.col("logs")))
     return fused.select(
         F.col("id").alias(id_column), "host", "declared", "suffix", top("by_text").alias("text_lang"),
         top("fused").alias("lang"), F.array_max("fused").alias("probability"),
