@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from headway import schemas
 from headway.functions import times
 from headway.operators import marts, rejects, rollups, sketches, staging
-from headway.plans import build, event_reports, rail_reports, reports
+from headway.plans import build, colocated, event_reports, rail_reports, reports
 from headway.session import work_path
 from headway.sources import feed, payloads, samples, tables
 from headway.sources.topics import RAIL_TOPIC, read_message_files
@@ -470,6 +470,25 @@ def stored_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month.groupBy("event_date", "line").agg(F.count(F.lit(1)).alias("events"))
 
 
+def _colocated(name: str, rollup: Callable[[SparkSession, colocated.Layout], DataFrame]) -> None:
+    """A rollup over buckets by trip; trips with six stop times or more count as hot."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_path(spark, name)
+        raw = samples.raw_feed(spark, sf_dir)
+        layout = colocated.save(
+            staging.stop_times(raw["stop_times"]), staging.trips(raw["trips"]), root,
+            f"{name}_{root[-32:]}", buckets=8, hot_rows=6,
+        )
+        return rollup(spark, layout)
+
+    QUERIES[name] = run
+
+
+_colocated("colocated_trip_rollup", colocated.trip_rollup)
+_colocated("colocated_visit_rollup", colocated.visit_rollup)
+
+
 def _sketched(name: str, result: Callable[[DataFrame, marts.Network], DataFrame]) -> None:
     """An estimate from stored sketches next to the exact value, and whether it is
     within the stated error."""

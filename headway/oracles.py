@@ -573,6 +573,7 @@ SELECTS: dict[str, str] = {
   stop_sequence as "STOP_SEQUENCE", station_id, station_name_en as "STATION_NAMEE",
   cast(lat as varchar) latitude, cast(lon as varchar) longitude from light_rail""",
     "stored_route_stop_rollup": "select * from route_stop_rollup",
+    "colocated_visit_rollup": "select * from visit_rollup",
 }
 # Stored tables and loaded files give what the plain queries give.
 SELECTS |= {
@@ -581,6 +582,7 @@ SELECTS |= {
     if mart.startswith("mart_")
 }
 SELECTS["stored_hourly_by_type"] = SELECTS["hourly_by_type"]
+SELECTS["colocated_trip_rollup"] = SELECTS["trip_rollup"]
 SELECTS |= {
     f"state_{name}": SELECTS[f"live_{name}"]
     for name in ("per_minute", "per_line", "directions", "top_destinations", "kpis")

@@ -51,12 +51,16 @@ def clustered(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def save_bucketed(df: DataFrame, table: str, buckets: int, *keys: str) -> None:
+def save_bucketed(
+    df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None
+) -> None:
     """A catalog table bucketed by the keys: joins and aggregations on them
     need no shuffle. Choose ``buckets`` for about 200 MB each."""
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
         .format("parquet")
+        .options(**({} if path is None else {"path": path}))
         .bucketBy(buckets, *keys)
         .sortBy(*keys)
         .saveAsTable(table)
