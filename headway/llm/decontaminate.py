@@ -46,7 +46,7 @@ def tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     )
     return written(
         found.select("row", "id", "text_hash", F.size("words").cast("bigint").alias("n_words"), "words"),
-        "tokens",
+        "tokens", "zstd",
     )
 
 
