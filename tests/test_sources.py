@@ -228,17 +228,18 @@ def test_work_paths_follow_the_session_setting():
 
 
 def test_a_session_without_the_setting_can_store(tmp_path):
-    """In a process of its own, as the setting can't be taken back."""
+    """In a process of its own, without the machine's defaults."""
     code = (
         "from headway.session import local_session, work_path\n"
-        "spark = local_session(1, '1g', **{'spark.checkpoint.dir': ''})\n"
+        "spark = local_session(1, '1g')\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
         "path = work_path(spark, 'x')\n"
         "spark.range(3).write.parquet(path)\n"
         "print(spark.read.parquet(path).count())\n"
     )
     root = str(Path(__file__).resolve().parents[1])
     done = subprocess.run(
-        [sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root, "TMPDIR": str(tmp_path)},
+        [sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root, "TMPDIR": str(tmp_path), "SPARK_CONF_DIR": str(tmp_path)},
         capture_output=True, text=True, timeout=300,
     )
     assert done.stdout.strip() == "3", done.stderr[-2000:]
