@@ -107,9 +107,7 @@ _over_network(
 )
 _over_network(
     "frequency_heatmap",
-    lambda n: reports.frequency_heatmap(
-        reports.hourly_frequency(marts.service_frequency(n), marts.route_service_hours(n))
-    ),
+    lambda n: reports.frequency_heatmap(reports.hourly_frequency_of(n)),
 )
 _over_network("hubs_top", lambda n: reports.top_hubs(marts.transfer_hubs(n)))
 _over_network("longest_top", lambda n: reports.longest(marts.longest_routes(n)))
@@ -375,20 +373,23 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(rows.items()), "table_name string, row_count bigint")
 
 
-def _stored(name: str, result: Callable[[marts.Network, Callable[[str], DataFrame]], DataFrame]):
-    """A table or report of a whole build, read from where it was stored."""
+def _stored(
+    name: str,
+    result: Callable[[marts.Network, Callable[[str], DataFrame]], DataFrame],
+    *needed: str,
+):
+    """A table or report of a whole build, with the marts needed, read from where it was stored."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_path(spark, name)
         raw = samples.raw_feed(spark, sf_dir)
         build.build_staging(spark, raw, root)
         build.build_rollups(spark, root)
-        if name in STORED_MARTS:
-            mart = f"mart_{STORED_MARTS[name]}"
+        for mart in needed:
+            tables_at = Snapshot(spark, root)
             df = marts.MARTS[mart](build.stored_network(spark, root))
-            if mart == "mart_trip_trajectories":
-                df = tables.clustered(df, *build.TRIP_ORDER)
-            tables.save(df, root, mart)
+            build.save_mart(tables_at, df, mart)
+            tables_at.commit()
         return result(build.stored_network(spark, root), lambda t: tables.load(spark, root, t))
 
     QUERIES[name] = run
@@ -399,9 +400,16 @@ STORED_MARTS = {
     "stored_" + mart.removeprefix("mart_"): mart.removeprefix("mart_") for mart in marts.MARTS
 }
 for _name, _mart in STORED_MARTS.items():
-    _stored(_name, lambda net, load, m=_mart: load(f"mart_{m}"))
+    _stored(_name, lambda net, load, m=_mart: load(f"mart_{m}").drop(tables.PART_OF), f"mart_{_mart}")
 _stored("stored_route_stop_rollup", lambda net, load: net.stored_route_stop_rollup)
 _stored("stored_hourly_by_type", lambda net, load: reports.departures_by_hour_of_mode(net, BUS))
+_stored(
+    "stored_frequency_heatmap",
+    lambda net, load: reports.frequency_heatmap(
+        reports.hourly_frequency(load("mart_service_frequency"), load("mart_route_service_hours"))
+    ),
+    "mart_service_frequency", "mart_route_service_hours",
+)
 
 
 @_query("stored_twice")
@@ -470,8 +478,10 @@ def stored_event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month.groupBy("event_date", "line").agg(F.count(F.lit(1)).alias("events"))
 
 
-def _colocated(name: str, rollup: Callable[[SparkSession, colocated.Layout], DataFrame]) -> None:
-    """A rollup over buckets by trip; trips with six stop times or more count as hot."""
+def _colocated(
+    name: str, rollup: Callable[[SparkSession, colocated.Layout, dict[str, DataFrame]], DataFrame]
+) -> None:
+    """A rollup or mart over buckets by trip; trips with six stop times or more count as hot."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_path(spark, name)
@@ -480,13 +490,25 @@ def _colocated(name: str, rollup: Callable[[SparkSession, colocated.Layout], Dat
             staging.stop_times(raw["stop_times"]), staging.trips(raw["trips"]), root,
             f"{name}_{root[-32:]}", buckets=8, hot_rows=6,
         )
-        return rollup(spark, layout)
+        return rollup(spark, layout, raw)
 
     QUERIES[name] = run
 
 
-_colocated("colocated_trip_rollup", colocated.trip_rollup)
-_colocated("colocated_visit_rollup", colocated.visit_rollup)
+_colocated("colocated_trip_rollup", lambda s, layout, raw: colocated.trip_rollup(s, layout))
+_colocated("colocated_visit_rollup", lambda s, layout, raw: colocated.visit_rollup(s, layout))
+
+
+def _trajectories(
+    spark: SparkSession, layout: colocated.Layout, raw: dict[str, DataFrame]
+) -> DataFrame:
+    colocated.save_trajectories(
+        spark, layout, staging.routes(raw["routes"]), staging.stops(raw["stops"])
+    )
+    return colocated.trajectories(spark, layout)
+
+
+_colocated("colocated_trajectories", _trajectories)
 
 
 def _sketched(name: str, result: Callable[[DataFrame, marts.Network], DataFrame]) -> None:

@@ -187,11 +187,13 @@ def route_service_hours(net: Network) -> DataFrame:
     )
 
 
-def service_frequency(net: Network) -> DataFrame:
-    """(route short name, mode, hour 0-23) -> trips that depart in that hour."""
-    group = ("route_short_name", "route_type")
-    served = net.trips_in_groups(group, "hours").where("hours is not null")
-    counts = served.groupBy(*group).agg(
+FREQUENCY_GROUP = ("route_short_name", "route_type")
+
+
+def trips_per_hour(trips: DataFrame, *group: str) -> DataFrame:
+    """(group columns, hour 0-23) -> rows of ``trips`` that depart in that hour, by the
+    bits of their ``hours``."""
+    counts = trips.where("hours is not null").groupBy(*group).agg(
         *[F.sum(F.expr(f"bit_get(hours, {h})").cast("bigint")).alias(f"h{h}") for h in range(24)]
     )
     per_hour = F.array(*[
@@ -201,6 +203,11 @@ def service_frequency(net: Network) -> DataFrame:
     return counts.select(*group, F.inline(per_hour)).where("trips_per_hour > 0")
 
 
+def service_frequency(net: Network) -> DataFrame:
+    """(route short name, mode, hour 0-23) -> trips that depart in that hour."""
+    return trips_per_hour(net.trips_in_groups(FREQUENCY_GROUP, "hours"), *FREQUENCY_GROUP)
+
+
 def transfer_hubs(
     net: Network, min_routes: int = HUB_MIN_ROUTES, names: int = HUB_NAMES_SHOWN
 ) -> DataFrame:
@@ -326,7 +333,8 @@ def early_night_routes(net: Network) -> DataFrame:
 
 def trip_trajectories(net: Network) -> DataFrame:
     """One row per stop visit with place and time. ``build`` stores it sorted
-    by trip and sequence."""
+    by trip and sequence. Trips are joined first, so that stop times that lie
+    next to their trips (``plans.colocated``) need not move for it."""
     visits = net.stop_times.where(times.is_service_time(F.col("departure_time"))).select(
         "trip_id", "stop_id", "stop_sequence", "departure_time"
     )
@@ -335,8 +343,8 @@ def trip_trajectories(net: Network) -> DataFrame:
         net.routes.select("route_id", "route_short_name", "route_long_name"), "route_id"
     )
     return (
-        visits.join(places, "stop_id")
-        .join(named, "trip_id")
+        visits.join(named, "trip_id")
+        .join(places, "stop_id")
         .select(
             "trip_id",
             "route_short_name",

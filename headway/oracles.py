@@ -582,7 +582,9 @@ SELECTS |= {
     if mart.startswith("mart_")
 }
 SELECTS["stored_hourly_by_type"] = SELECTS["hourly_by_type"]
+SELECTS["stored_frequency_heatmap"] = SELECTS["frequency_heatmap"]
 SELECTS["colocated_trip_rollup"] = SELECTS["trip_rollup"]
+SELECTS["colocated_trajectories"] = SELECTS["trip_trajectories"]
 SELECTS |= {
     f"state_{name}": SELECTS[f"live_{name}"]
     for name in ("per_minute", "per_line", "directions", "top_destinations", "kpis")

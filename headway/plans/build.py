@@ -33,6 +33,8 @@ log = logging.getLogger(__name__)
 # ranges.
 TRIP_ORDER = ("trip_id", "stop_sequence", "departure_time")
 STAGING_CLUSTERS = {"stg_trips": ("route_id", "trip_id"), "stg_stop_times": TRIP_ORDER}
+# Marts read by a few keys at a time -> the key.
+MARTS_BY_PART = {"mart_service_frequency": "route_short_name"}
 ROLLUP_NEEDS = ("stg_stop_times", "stg_trips")
 ROLLUPS = ("route_trips", "visit_rollup", "route_stop_rollup", "route_hours")
 SKETCHES = "visit_sketches"
@@ -136,12 +138,19 @@ def _marts(tables_at: Snapshot, staged: tuple[str, ...]) -> dict[str, int]:
             log.warning("%s is not built, %s missing", name, ", ".join(sorted(missing)))
             continue
         df = mart(net)
-        if name == "mart_trip_trajectories":
-            df = tables.clustered(df, *TRIP_ORDER)
-        rows[name] = tables_at.save(df, name)
+        rows[name] = save_mart(tables_at, df, name)
     return rows
 
 
+def save_mart(tables_at: Snapshot, df: DataFrame, name: str) -> int:
+    """Writes a mart in its layout; returns its rows."""
+    if name == "mart_trip_trajectories":
+        df = tables.clustered(df, *TRIP_ORDER)
+    if name in MARTS_BY_PART:
+        return tables_at.save(tables.by_part(df, MARTS_BY_PART[name]), name, (tables.PART_OF,))
+    return tables_at.save(df, name)
+
+
 def build_marts(
     spark: SparkSession, root: str, staged: tuple[str, ...] = tuple(staging.BUILDERS)
 ) -> dict[str, int]:

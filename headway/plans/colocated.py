@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.operators import rollups
+from headway.operators import marts, rollups
+from headway.plans import build
 from headway.sources import tables
 from headway.sources.snapshots import Snapshot
 
@@ -30,10 +31,13 @@ class Layout:
 
     stop_times: str
     trips: str
+    trajectories: str
     root: str
+    buckets: int
 
     HOT_STOP_TIMES = "hot_stop_times"
     HOT_TRIPS = "hot_trips"
+    HOT_TRAJECTORIES = "hot_trajectories"
 
 
 def save(
@@ -44,7 +48,8 @@ def save(
 
     There are at most as many hot trips as stop times divided by ``hot_rows``.
     """
-    layout = Layout(f"{prefix}_stop_times", f"{prefix}_trips", root)
+    names = [f"{prefix}_{table}" for table in ("stop_times", "trips", "trajectories")]
+    layout = Layout(*names, root, buckets)
     others = Snapshot(stop_times.sparkSession, root)
     counts = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
     others.save(counts.where(F.col("n") >= hot_rows).select("trip_id"), "hot")
@@ -81,3 +86,35 @@ def visit_rollup(spark: SparkSession, layout: Layout) -> DataFrame:
     cold, hot = (rollups.visit_rollup(*each) for each in _each(spark, layout))
     keys = ("route_id", "stop_id", "hour_of_day", "timed")
     return cold.unionAll(hot).groupBy(*keys).agg(F.sum("visits").alias("visits"))
+
+
+def trip_trajectories(
+    spark: SparkSession, layout: Layout, routes: DataFrame, stops: DataFrame
+) -> list[DataFrame]:
+    """``marts.trip_trajectories`` of trips in buckets, and of hot trips. Bucketed stop times
+    meet their trips in place; only stops too many to broadcast make them move."""
+    return [
+        marts.trip_trajectories(marts.Network(times, trips, routes, stops))
+        for times, trips in _each(spark, layout)
+    ]
+
+
+def save_trajectories(
+    spark: SparkSession, layout: Layout, routes: DataFrame, stops: DataFrame
+) -> None:
+    """Stores the trajectories in the buckets of their trips, each bucket in trip order, and
+    those of hot trips by ranges of the same order."""
+    cold, hot = trip_trajectories(spark, layout, routes, stops)
+    name = layout.trajectories
+    tables.save_bucketed(
+        cold, name, layout.buckets, "trip_id", path=f"{layout.root}/{name}", order=build.TRIP_ORDER
+    )
+    others = Snapshot(spark, layout.root)
+    others.save(tables.clustered(hot, *build.TRIP_ORDER), Layout.HOT_TRAJECTORIES)
+    others.commit()
+
+
+def trajectories(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The stored trajectories; a filter on trips reads their buckets only."""
+    hot = Snapshot(spark, layout.root).load(Layout.HOT_TRAJECTORIES)
+    return spark.table(layout.trajectories).unionAll(hot)

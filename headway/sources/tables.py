@@ -51,18 +51,41 @@ def clustered(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+# A table in folders by the hash of a key: a filter or a join on both reads only some.
+PART_OF = "key_part"
+PARTS = 256
+
+
+def part_of(key: str) -> Column:
+    """The part of a key; NULL and empty keys have one, too."""
+    return F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+
+
+def by_part(df: DataFrame, key: str) -> DataFrame:
+    """Adds the part of a key, by which the table is to be saved, one file a part. For tables
+    that are small next to ``PARTS`` files: all rows of a key are one task."""
+    parted = df.withColumn(PART_OF, part_of(key))
+    return parted.repartition(PART_OF).sortWithinPartitions(PART_OF, key)
+
+
 def save_bucketed(
-    df: DataFrame, table: str, buckets: int, *keys: str, path: str | None = None
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    *keys: str,
+    path: str | None = None,
+    order: tuple[str, ...] = (),
 ) -> None:
     """A catalog table bucketed by the keys: joins and aggregations on them
-    need no shuffle. Choose ``buckets`` for about 200 MB each."""
+    need no shuffle. Choose ``buckets`` for about 200 MB each. Rows that lie in such
+    buckets already are not moved. ``order`` sorts them, else the keys do."""
     (
         df.repartition(buckets, *keys)
         .write.mode("overwrite")
         .format("parquet")
         .options(**({} if path is None else {"path": path}))
         .bucketBy(buckets, *keys)
-        .sortBy(*keys)
+        .sortBy(*(order or keys))
         .saveAsTable(table)
     )
 

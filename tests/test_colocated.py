@@ -4,7 +4,9 @@ import re
 
 import pytest
 
-from headway.operators import rollups
+from plan_rows import rows_read
+
+from headway.operators import marts, rollups
 from headway.plans import colocated
 from headway.sources.snapshots import Snapshot
 
@@ -62,3 +64,51 @@ def test_a_hot_trip_is_kept_out_and_split(spark, layout):
     stored = hot.load(made.HOT_STOP_TIMES)
     assert stored.count() == 2000 and len(stored.inputFiles()) > 1
     assert spark.table(made.stop_times).where("trip_id = 'hot'").isEmpty()
+
+
+PLACES = "stop_id string, stop_name string, latitude double, longitude double"
+NAMES = "route_id string, route_short_name string, route_long_name string, route_type bigint"
+
+
+@pytest.fixture()
+def places(spark):
+    """Routes and stops; a stop without place, one twice, one route twice."""
+    stops = [(f"s{i}", f"Stop {i}", None if i == 5 else 22.0 + i, 114.0) for i in [*range(30), 3]]
+    routes = [(f"r{i}", f"{i}", f"Route {i}", 3) for i in [*range(8), 2]]
+    return spark.createDataFrame(routes, NAMES), spark.createDataFrame(stops, PLACES)
+
+
+def test_trajectories_equal_those_of_any_layout(spark, layout, places):
+    stop_times, trips, made = layout
+    routes, stops = places
+    try:
+        colocated.save_trajectories(spark, made, routes, stops)
+        stored = colocated.trajectories(spark, made)
+        same(stored, marts.trip_trajectories(marts.Network(stop_times, trips, routes, stops)))
+        assert spark.table(made.trajectories).where("trip_id = 'hot'").isEmpty()
+        one = spark.table(made.trajectories).where("trip_id = 't4'")
+        assert not one.isEmpty()
+        # One bucket of four.
+        assert rows_read(one, "trip_id") < spark.table(made.trajectories).count() / 2
+    finally:
+        spark.sql(f"drop table if exists {made.trajectories}")
+
+
+def test_only_large_stops_move_the_stop_times(spark, layout, places):
+    _, _, made = layout
+    cold, _ = colocated.trip_trajectories(spark, made, *places)
+    small = cold.repartition(made.buckets, "trip_id")
+    small.collect()
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    # Trips and routes may move; the branch of the stop times holds no exchange.
+    stop_times = [p for p in plan.split("Exchange") if "departure_time" in p.splitlines()[0]]
+    assert "BroadcastHashJoin" in plan and stop_times == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cold, _ = colocated.trip_trajectories(spark, made, *places)
+        plan = cold._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # With all sides large: trips by route and by trip, routes, the stop times by stop, and stops.
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(keys) == ["route_id", "route_id", "stop_id", "stop_id", "trip_id"]

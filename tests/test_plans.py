@@ -7,11 +7,13 @@ import re
 import pytest
 
 from headway import catalogue
+from plan_rows import rows_read
 from pyspark.sql import functions as F
 
 from headway.operators import marts, rollups
 from headway.plans import build, event_reports, reports
 from headway.sources import samples, tables
+from headway.sources.snapshots import Snapshot
 
 SMALL_SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -137,3 +139,49 @@ def test_stored_marts_do_not_read_trips_or_stop_times(spark, sf_dir, tmp_path):
     for df in results:
         text = optimized(df) + "".join(df.inputFiles())
         assert "stg_stop_times" not in text and "stg_trips" not in text
+
+
+def scans(plan: str, column: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*{column}", plan))
+
+
+def test_the_heatmap_makes_the_trip_rollup_once(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    build.build_staging(spark, samples.raw_feed(spark, sf_dir), root)
+    net = build.stored_network(spark, root, with_rollups=False)
+    plan = executed(reports.frequency_heatmap(reports.hourly_frequency_of(net)))
+    plan = plan.partition("== Initial Plan ==")[0]
+    assert scans(plan, "departure_time") == 1
+    assert "ReusedExchange" in plan
+    by_marts = reports.hourly_frequency(marts.service_frequency(net), marts.route_service_hours(net))
+    assert sorted(by_marts.collect()) == sorted(reports.hourly_frequency_of(net).collect())
+
+
+def test_the_stored_heatmap_reads_ten_routes(spark, tmp_path):
+    """Rows that the scan of the frequencies returns, of 300 routes with 24 hours."""
+    hours = spark.range(24).selectExpr("id hour_of_day")
+    routes = spark.range(300).selectExpr(
+        "if(id = 0, '', concat('R', id)) route_short_name", "'x' route_long_name", "3L route_type",
+        "id + 1 total_trips", "'05:00:00' first_departure", "'06:00:00' last_departure", "1L total_stops",
+    )
+    frequency = routes.crossJoin(hours).selectExpr(
+        "route_short_name", "route_type", "hour_of_day", "total_trips trips_per_hour"
+    )
+    root = str(tmp_path)
+    tables_at = Snapshot(spark, root)
+    assert build.save_mart(tables_at, frequency, "mart_service_frequency") == 7200
+    build.save_mart(tables_at, routes, "mart_route_service_hours")
+    tables_at.commit()
+    stored = tables.load(spark, root, "mart_service_frequency")
+    assert sorted(stored.drop(tables.PART_OF).select(*frequency.columns).collect()) == sorted(frequency.collect())
+    found = reports.hourly_frequency(stored, tables.load(spark, root, "mart_route_service_hours"))
+    assert "dynamicpruning" in executed(found)
+    assert sorted(found.collect()) == sorted(
+        reports.hourly_frequency(frequency, routes).collect()
+    )
+    top_parts = {
+        r[0] for r in routes.orderBy("total_trips", ascending=False).limit(10)
+        .select(tables.part_of("route_short_name")).collect()
+    }
+    wanted = routes.where(tables.part_of("route_short_name").isin(top_parts)).count() * 24
+    assert rows_read(found, "key_part") == wanted < 7200 / 10
