@@ -1,12 +1,15 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 DataFrame functions only. Training texts become token arrays, stored once. Of
-every window of a test item the two rarest terms are looked up, by their
+every different window of the test items the two rarest terms are looked up, by their
 frequency over all training texts. The index keeps the postings (term,
-document, position) of these terms. A posting list moved by the term's offset in the
-item gives the places where the item could lie along the document
-(*alignments*); an alignment is a candidate if both lists of a window have it.
-Only candidates are compared word by word, and windows that match exactly count.
+document, position) of these terms. The list of the rarest term, moved by the distance
+of the two in the window, is intersected with the other's list; where they meet
+the window is a candidate. Only candidates are compared word by word, and
+windows that match exactly count.
+
+Windows are looked up, not items, so an item that says the same over and over costs one
+window, and a document is split once however many candidates it has.
 
 A proximity match lets the two lists differ by up to ``slop`` positions and
 then asks that every word of the window occurs around that place.
@@ -50,49 +53,46 @@ def tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     )
 
 
-def _joined_words(stored: DataFrame) -> DataFrame:
-    """(row, joined): words as one text, which is less to shuffle than an array."""
-    return stored.select("row", F.concat_ws(" ", "words").alias("joined"))
-
-
 def items(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(entry, item_id, words) of test items that have words; an entry is a text
-    of an item."""
+    """(item_id, words) of test items that have words."""
     found = benchmark.select(
         F.col(item_column).cast("string").alias("item_id"), words(F.col(text_column)).alias("words")
     )
-    return written(
-        found.where("size(words) > 0 and item_id is not null").distinct()
-        .select(F.monotonically_increasing_id().alias("entry"), "item_id", "words"),
-        "items",
+    return written(found.where("size(words) > 0 and item_id is not null").distinct(), "items")
+
+
+def windows(entries: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The different windows of all items, (window, words), and which items have
+    them, (window, item_id)."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (size - 1), F.lit(1)))
+    cut = F.transform(starts, lambda at: F.slice("words", at, size))
+    named = written(entries.select("item_id", F.explode(cut).alias("words")).distinct(), "item-windows")
+    each = written(
+        named.select("words").distinct().select(F.monotonically_increasing_id().alias("window"), "words"), "windows"
     )
+    return each, written(named.join(each, "words").select("window", "item_id"), "window-items")
 
 
-def probes(stored: DataFrame, entries: DataFrame, size: int) -> DataFrame:
-    """(entry, start, length, rarest, other): for every window the offsets in
-    its item of its two rarest words (equal ones in a window of one word).
+def probes(stored: DataFrame, each: DataFrame) -> DataFrame:
+    """(window, length, offset, rarest, other, gap): for every window whose words all
+    occur somewhere its rarest word and where it stands, the second rarest and how far behind the
+    rarest it stands (the same word and 0 in a window of one word).
 
     Frequencies count all occurrences in all training texts.
     """
-    terms = entries.select(F.explode("words").alias("term")).distinct()
+    at = each.select("window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
     counts = (
-        stored.select(F.explode("words").alias("term")).join(terms, "term")
+        stored.select(F.explode("words").alias("term")).join(at.select("term").distinct(), "term")
         .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     )
-    at = entries.select("entry", F.size("words").alias("total"), F.posexplode("words").alias("offset", "term"))
-    rated = at.join(counts, "term", "left").select(
-        "entry", "total", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset").alias("rated"), "offset"
+    picked = at.join(counts, "term", "left").groupBy("window", "length").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))), 1, 2)
+        .alias("rare")
     )
-    # Windows that hold this word start up to size - 1 words before it.
-    last = F.greatest(F.col("total") - size, F.lit(0))
-    starts = F.sequence(F.greatest(F.col("offset") - (size - 1), F.lit(0)), F.least(F.col("offset"), last))
-    inside = rated.select("entry", "total", "rated", F.explode(starts).alias("start"))
-    picked = inside.groupBy("entry", "start", F.least("total", F.lit(size)).alias("length")).agg(
-        F.slice(F.array_sort(F.collect_list("rated")), 1, 2).alias("rare")
-    )
-    return picked.select(
-        "entry", "start", "length", F.col("rare")[0]["offset"].alias("rarest"),
-        F.element_at("rare", -1)["offset"].alias("other"),
+    first, second = F.col("rare")[0], F.element_at("rare", -1)
+    return picked.where(first["n"] > 0).select(
+        "window", "length", first["offset"].alias("offset"), first["term"].alias("rarest"),
+        second["term"].alias("other"), (second["offset"] - first["offset"]).alias("gap"),
     )
 
 
@@ -103,63 +103,59 @@ def postings(stored: DataFrame, terms: DataFrame) -> DataFrame:
     )
 
 
-def _looked_up(entries: DataFrame, windows: DataFrame) -> DataFrame:
-    """(entry, offset, term) of the words that any window looks up."""
-    offsets = windows.select("entry", F.explode(F.array("rarest", "other")).alias("offset")).distinct()
-    every = entries.select("entry", F.posexplode("words").alias("offset", "term"))
-    return every.join(offsets, ["entry", "offset"]).select("entry", "offset", "term")
-
-
-def alignments(stored: DataFrame, entries: DataFrame, windows: DataFrame) -> DataFrame:
-    """(row, entry, shift, offsets): postings moved by their offset. ``shift`` is
-    where the first word of the item would stand; ``offsets`` the looked-up words
-    that stand in their place, as many as the item has at most."""
-    asked = _looked_up(entries, windows)
-    lists = postings(stored, asked.select("term").distinct())
-    return (
-        lists.join(asked, "term")
-        .select("row", "entry", (F.col("position") - F.col("offset")).alias("shift"), "offset")
-        .groupBy("row", "entry", "shift")
-        .agg(F.collect_set("offset").alias("offsets"))
+def candidates(stored: DataFrame, looked_up: DataFrame, slop: int = 0) -> DataFrame:
+    """(row, window, length, begin): where the lists of a window's two rarest words
+    meet, up to ``slop`` positions out of place; ``begin`` by the rarest word.
+
+    Windows with the same two words at the same distance share one
+    intersection, so neighbouring windows of an item and repeated ones cost one.
+    """
+    pairs = looked_up.select("rarest", "other", "gap").distinct()
+    terms = pairs.select(F.explode(F.array("rarest", "other")).alias("term")).distinct()
+    lists = written(postings(stored, terms), "postings", "zstd")
+    ahead = lists.withColumnRenamed("term", "rarest").join(pairs, "rarest").select(
+        "row", "position", "rarest", "other", "gap",
+        F.explode(F.sequence(F.col("position") + F.col("gap") - slop, F.col("position") + F.col("gap") + slop))
+        .alias("there"),
+    )
+    behind = lists.select("row", F.col("position").alias("there"), F.col("term").alias("other"))
+    met = ahead.join(behind, ["row", "there", "other"], "left_semi").select("row", "position", "rarest", "other", "gap")
+    return (met.distinct() if slop else met).join(looked_up, ["rarest", "other", "gap"]).select(
+        "row", "window", "length", (F.col("position") - F.col("offset")).alias("begin")
     )
 
 
-def _pairs(windows: DataFrame) -> DataFrame:
-    """(entry, windows): all windows of an entry with their two offsets."""
-    return windows.groupBy("entry").agg(
-        F.collect_list(F.struct("start", "length", "rarest", "other")).alias("windows")
-    )
+def _beside(stored: DataFrame, places: DataFrame, slop: int = 0) -> DataFrame:
+    """(row, window, begin, there): the places with the words of the text from
+    ``slop`` before to ``slop`` behind the window. A text is split once for all
+    places in it."""
+    asked = places.groupBy("row").agg(F.collect_list(F.struct("window", "length", "begin")).alias("places"))
+    # Words as one text are less to shuffle than an array; within an array, they are split once.
+    split = F.array(F.split("joined", " "))
+
+    def cut(text: Column) -> Column:
+        return F.transform("places", lambda p: F.struct(
+            p["window"].alias("window"), p["begin"].alias("begin"),
+            F.slice(text, F.greatest(p["begin"] - slop, F.lit(0)) + 1, p["length"] + 2 * slop).alias("there"),
+        ))
+
+    return stored.select("row", F.concat_ws(" ", "words").alias("joined")).join(asked, "row").select(
+        "row", F.explode(F.transform(split, cut)[0]).alias("at")
+    ).select("row", "at.*")
+
+
+def _occurrences(stored: DataFrame, each: DataFrame) -> DataFrame:
+    """(row, window, position, length): exact occurrences, each once."""
+    looked_up = written(probes(stored, each), "probes")
+    found = _beside(stored, candidates(stored, looked_up).where("begin >= 0"))
+    same = found.withColumnRenamed("there", "words").join(each, ["window", "words"])
+    return same.select("row", "window", F.col("begin").alias("position"), F.size("words").alias("length"))
 
 
 def phrase_matches(stored: DataFrame, entries: DataFrame, size: int = 10) -> DataFrame:
     """(row, item_id, position, length): exact occurrences of item windows."""
-    windows = written(probes(stored, entries, size), "probes")
-    held = alignments(stored, entries, windows).join(_pairs(windows), "entry").select(
-        "row", "entry", "shift",
-        F.filter("windows", lambda w: F.array_contains("offsets", w["rarest"])
-                 & F.array_contains("offsets", w["other"])).alias("windows"),
-    )
-    candidates = held.where("size(windows) > 0").select(
-        "row", "entry", "shift", F.transform("windows", lambda w: F.struct(w["start"], w["length"])).alias("windows")
-    )
-    # The stretch of the document that the item would cover; a window that
-    # would begin before the document can't match.
-    near = _joined_words(stored).join(candidates, "row").select(
-        "row", "entry", "shift", "windows",
-        F.slice(F.split("joined", " "), F.greatest(F.col("shift"), F.lit(0)) + 1,
-                F.array_max(F.transform("windows", lambda w: w["start"] + w["length"]))
-                + F.least(F.col("shift"), F.lit(0))).alias("there"),
-    )
-    skipped = F.greatest(-F.col("shift"), F.lit(0))
-    item = entries.select("entry", "item_id", F.col("words").alias("item"))
-    same = near.join(item, "entry").select(
-        "row", "item_id", "shift",
-        F.explode(F.filter("windows", lambda w: (w["start"] >= skipped) & (
-            F.slice("there", w["start"] - skipped + 1, w["length"]) == F.slice("item", w["start"] + 1, w["length"])
-        ))).alias("w"),
-    )
-    return same.select("row", "item_id", (F.col("shift") + F.col("w.start")).alias("position"),
-                       F.col("w.length").alias("length")).distinct()
+    each, held = windows(entries, size)
+    return _occurrences(stored, each).join(held, "window").select("row", "item_id", "position", "length").distinct()
 
 
 def proximity_matches(stored: DataFrame, entries: DataFrame, size: int = 10, slop: int = 3) -> DataFrame:
@@ -167,23 +163,12 @@ def proximity_matches(stored: DataFrame, entries: DataFrame, size: int = 10, slo
     up to ``slop`` positions out of place against each other and all of whose
     words occur within ``slop`` positions around; ``position`` is where the window
     would begin by its rarest word."""
-    windows = written(probes(stored, entries, size), "probes")
-    held = alignments(stored, entries, windows).join(_pairs(windows), "entry")
-    seen = held.select("row", "entry", "shift", "offsets", F.explode("windows").alias("w"))
-    first = seen.where("array_contains(offsets, w.rarest)").select("row", "entry", "w", "shift")
-    second = seen.where("array_contains(offsets, w.other)").select(
-        "row", "entry", "w", F.explode(F.sequence(F.col("shift") - slop, F.col("shift") + slop)).alias("shift")
-    ).distinct()
-    both = first.join(second, ["row", "entry", "w", "shift"])
-    item = entries.select("entry", "item_id", F.col("words").alias("item"))
-    begin = F.col("shift") + F.col("w.start")
-    around = F.slice(F.split("joined", " "), F.greatest(begin - slop, F.lit(0)) + 1, F.col("w.length") + 2 * slop)
-    found = _joined_words(stored).join(both, "row").select(
-        "row", "entry", begin.alias("position"), "w", around.alias("there")
-    )
-    wanted = F.slice("item", F.col("w.start") + 1, F.col("w.length"))
-    return found.join(item, "entry").where(F.size(F.array_except(wanted, "there")) == 0).select(
-        "row", "item_id", "position", F.col("w.length").alias("length")
+    each, held = windows(entries, size)
+    looked_up = written(probes(stored, each), "probes")
+    near = _beside(stored, candidates(stored, looked_up, slop), slop)
+    found = near.join(each, "window").where(F.size(F.array_except("words", "there")) == 0)
+    return found.join(held, "window").select(
+        "row", "item_id", F.col("begin").alias("position"), F.size("words").alias("length")
     ).distinct()
 
 
@@ -200,13 +185,15 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, add)["n"]
 
 
-def _per_row(matches: DataFrame) -> DataFrame:
+def _per_row(matches: DataFrame, held: DataFrame) -> DataFrame:
     """(row, n_hit, item_ids). A document's spans are fewer than its words."""
     spans = matches.groupBy("row", "position").agg(F.max("length").alias("length"))
     hits = spans.groupBy("row").agg(
         _covered(F.array_sort(F.collect_list(F.struct("position", "length")))).alias("n_hit")
     )
-    named = matches.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    named = matches.select("row", "window").distinct().join(held, "window").groupBy("row").agg(
+        F.array_sort(F.collect_set("item_id")).alias("item_ids")
+    )
     return hits.join(named, "row")
 
 
@@ -216,7 +203,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_colu
     """Per row of ``docs``: id, n_words, n_hit (words under any exact window),
     n_items, item_ids (sorted), items_sha256 and contaminated."""
     stored = tokens(docs, id_column, text_column)
-    found = _per_row(phrase_matches(stored, items(benchmark, item_column, item_text_column), size))
+    each, held = windows(items(benchmark, item_column, item_text_column), size)
+    # Read twice below: for the words hit and for the items.
+    found = _per_row(written(_occurrences(stored, each), "occurrences"), held)
     rows = stored.select("row", "id", "n_words").join(found, "row", "left")
     named = F.coalesce("item_ids", F.array().cast("array<string>"))
     return rows.select(
@@ -233,7 +222,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, id_colu
     """The rows of ``docs`` without any exact window of a test item, all columns
     as they were."""
     stored = tokens(docs, id_column, text_column)
-    hit = phrase_matches(stored, items(benchmark, item_column, item_text_column), size)
+    hit = _occurrences(stored, windows(items(benchmark, item_column, item_text_column), size)[0])
     own, key = free_name(docs, "bad_id"), free_name(docs, "bad_text")
     bad = stored.join(hit.select("row").distinct(), "row", "left_semi").select(
         F.col("id").alias(own), F.col("text_hash").alias(key)

@@ -265,6 +265,20 @@ def test_contamination_equals_brute_force(spark, docs, empty):
     assert none.where("contaminated").count() == 0 and none.count() == len(TEXTS)
 
 
+def test_one_word_over_and_over(spark):
+    """Documents and items of very many equal words, and a very long item."""
+    long = [f"w{i}" for i in range(20000)]
+    frame = spark.createDataFrame(
+        [(1, "the " * 64000), (2, "the the"), (3, " ".join(long[5000:5300]) + " the end"), (4, "the " * 9 + "end")],
+        "doc_id int, text string",
+    )
+    items = spark.createDataFrame(
+        [("a", "the the the"), ("b", "The " * 20000), ("c", " ".join(long)), ("d", "the")], "item_id string, text string"
+    )
+    got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontaminate.contamination(frame, items).collect()}
+    assert got == {1: (64000, ["a", "b", "d"]), 2: (2, ["d"]), 3: (301, ["c", "d"]), 4: (9, ["a", "d"])}
+
+
 def test_proximity_finds_moved_words(spark):
     words = [f"w{i}" for i in range(12)]
     moved = words[:4] + ["extra"] + words[4:]
