@@ -81,9 +81,11 @@ def probes(stored: DataFrame, each: DataFrame) -> DataFrame:
     Frequencies count all occurrences in all training texts.
     """
     at = each.select("window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
+    terms = written(at.select("term").distinct(), "terms")
+    # Counted before the shuffle; Spark moves the semi-join below the count if the terms are few.
     counts = (
-        stored.select(F.explode("words").alias("term")).join(at.select("term").distinct(), "term")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        stored.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        .join(terms, "term", "left_semi")
     )
     picked = at.join(counts, "term", "left").groupBy("window", "length").agg(
         F.slice(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))), 1, 2)
