@@ -9,7 +9,9 @@ similarity of 0.8 the chance of colliding in none of 12 bands of 4 is
 Equal paragraphs (by words) are one node. Colliding ones are linked if the
 exact Jaccard similarity of their shingles is ``similarity`` or more, and
 connected components of links are classes. Of a class the first occurrence (by
-document id, then place) stays, the others are removals.
+document id, then place) stays, the others are removals. Lines of less than a
+whole shingle ("}", "of.") are classes if they are equal, but stay: alone they are no
+passage, and together with their neighbours they are found by windows.
 
 Not all pairs of a bucket are compared: each member is compared with the bucket's
 smallest, and what is then in one component needs no more. Only buckets that
@@ -126,61 +128,51 @@ def _content(words: list[bytes]) -> int:
     return xxhash.xxh3_64_intdigest(b" ".join(words))
 
 
-def occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, text_hash, place, paragraph): the paragraphs long enough; equal
-    words have equal numbers. ``docs`` has the columns id and text."""
+def occurrences(docs: DataFrame, min_words: int, size: int, bands: int, rows: int) -> DataFrame:
+    """(id, text_hash, place, paragraph, short, keys): the paragraphs long enough;
+    equal words have equal numbers. ``short`` are those of less than one whole
+    shingle. The others have their band keys in ``keys`` where they are first
+    met in a batch; elsewhere it is empty. ``docs`` has the columns id and text."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, place, content = [], [], []
-            for i, text in _texts(batch, 2):
-                for p, _, words in paragraph_words(text):
-                    if len(words) >= min_words:
-                        row.append(i)
-                        place.append(p)
-                        content.append(_content(words))
+        def ready(batch, found, signed, sets) -> pa.RecordBatch:
+            row, place, content, short = zip(*found)
             of_row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(of_row), batch.column(1).take(of_row), pa.array(place, pa.int32()),
-                 pa.array(np.array(content, dtype=np.uint64).view(np.int64))],
-                names=["id", "text_hash", "place", "paragraph"],
-            )
-
-    return docs.select("id", "text_hash", "text").mapInArrow(
-        find, f"id {kind}, text_hash bigint, place int, paragraph bigint"
-    )
-
-
-def signatures(docs: DataFrame, min_words: int, size: int, bands: int, rows: int) -> DataFrame:
-    """(paragraph, keys): band keys of the paragraphs long enough and of at least
-    one whole shingle, at least one row for each."""
-    least = max(min_words, size)
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def ready(held: dict[int, np.ndarray]) -> pa.RecordBatch:
-            keys = band_keys(minima(list(held.values()), bands * rows), bands)
+            lengths = np.zeros(len(found) + 1, dtype=np.int32)
+            lengths[np.array(signed, dtype=np.int64) + 1] = bands
+            keys = band_keys(minima(sets, bands * rows), bands).ravel() if sets else np.empty(0, dtype=np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.array(list(held), dtype=np.uint64).view(np.int64)),
-                 pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64()))],
-                names=["paragraph", "keys"],
+                [batch.column(0).take(of_row), batch.column(1).take(of_row), pa.array(place, pa.int32()),
+                 pa.array(np.array(content, dtype=np.uint64).view(np.int64)), pa.array(short, pa.bool_()),
+                 pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(keys))],
+                names=["id", "text_hash", "place", "paragraph", "short", "keys"],
             )
 
         for batch in batches:
-            held: dict[int, np.ndarray] = {}
-            total = 0
-            for _, text in _texts(batch, 0):
-                for _, _, words in paragraph_words(text):
-                    if len(words) >= least and (content := _content(words)) not in held:
-                        held[content] = shingles(words, size)
+            seen: set[int] = set()
+            found, signed, sets, total = [], [], [], 0
+            for i, text in _texts(batch, 2):
+                for p, _, words in paragraph_words(text):
+                    if len(words) < min_words:
+                        continue
+                    content, short = _content(words), len(words) < size
+                    total += 1
+                    if not short and content not in seen:
+                        seen.add(content)
+                        signed.append(len(found))
+                        sets.append(shingles(words, size))
                         total += len(words)
-                        if total > 1 << 18:
-                            yield ready(held)
-                            held, total = {}, 0
-            if held:
-                yield ready(held)
+                    found.append((i, p, content, short))
+                    if total > 1 << 18:
+                        yield ready(batch, found, signed, sets)
+                        found, signed, sets, total = [], [], [], 0
+            if found:
+                yield ready(batch, found, signed, sets)
 
-    return docs.select("text").mapInArrow(find, "paragraph bigint, keys array<bigint>")
+    return docs.select("id", "text_hash", "text").mapInArrow(
+        find, f"id {kind}, text_hash bigint, place int, paragraph bigint, short boolean, keys array<bigint>"
+    )
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, min_words: int, size: int) -> DataFrame:
@@ -264,16 +256,17 @@ def _across(residue: DataFrame, similarity: float) -> DataFrame:
     return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, found: DataFrame, min_words: int, size: int, similarity: float, bands: int,
-            rows: int) -> DataFrame:
-    """(paragraph, class) of the paragraphs linked to a different one."""
-    signed = signatures(docs, min_words, size, bands, rows).groupBy("paragraph").agg(F.first("keys").alias("keys"))
-    members = written(signed.select("paragraph", F.explode("keys").alias("key")), "paragraph-keys")
+def classes(docs: DataFrame, found: DataFrame, min_words: int, size: int, similarity: float) -> DataFrame:
+    """(paragraph, class) of the paragraphs linked to a different one; ``found``
+    are the occurrences."""
+    members = found.select("paragraph", F.explode("keys").alias("key"))
+    # A paragraph may be here once for each batch, so a bucket counts by what differs.
     buckets = written(
-        members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("paragraph").alias("least")).where("n > 1"),
+        members.groupBy("key").agg(F.min("paragraph").alias("least"), F.max("paragraph").alias("most"))
+        .where("least < most").select("key", "least"),
         "paragraph-buckets",
     )
-    together = written(members.join(buckets, "key"), "paragraph-collisions")
+    together = written(members.join(buckets, "key").distinct(), "paragraph-collisions")
     wanted = found.join(together.select("paragraph").distinct(), "paragraph").groupBy("paragraph").agg(
         F.min(F.struct("id", "text_hash")).alias("at")
     ).select("at.*", "paragraph")
@@ -290,11 +283,12 @@ def classes(docs: DataFrame, found: DataFrame, min_words: int, size: int, simila
     roots = written(components(stars, "paragraph-components"), "paragraph-roots")
 
     labelled = together.join(roots.withColumnRenamed("node", "paragraph"), "paragraph", "left").select(
-        "key", "n", "paragraph", F.coalesce("root", "paragraph").alias("root")
+        "key", "paragraph", F.coalesce("root", "paragraph").alias("root")
     )
-    several = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    # Of equal groups of paragraphs one bucket is enough.
-    residue = labelled.join(several.select("key"), "key").join(sets, "paragraph")
+    several = labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("low <> high")
+    residue = labelled.join(several.select("key", "n"), "key").join(sets, "paragraph")
     more = written(_across(residue, similarity), "paragraph-links")
     every = components(stars.unionAll(more), "paragraph-components")
     return every.select(F.col("node").alias("paragraph"), F.col("root").alias("class"))
@@ -303,12 +297,12 @@ def classes(docs: DataFrame, found: DataFrame, min_words: int, size: int, simila
 def repeated(docs: DataFrame, min_words: int = 20, size: int = 5, similarity: float = 0.8, bands: int = 12,
              rows: int = 4, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """The documents as (id, text_hash, text), and their paragraphs of classes
-    with more than one occurrence: (id, text_hash, place, class, stays)."""
+    with more than one occurrence: (id, text_hash, place, class, short, stays)."""
     own = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("text_hash"),
                       F.col(text_column).alias("text"))
-    found = written(occurrences(own, min_words), "paragraph-occurrences")
-    named = found.join(classes(own, found, min_words, size, similarity, bands, rows), "paragraph", "left").select(
-        "id", "text_hash", "place", F.coalesce("class", "paragraph").alias("class")
+    found = written(occurrences(own, min_words, size, bands, rows), "paragraph-occurrences")
+    named = found.join(classes(own, found, min_words, size, similarity), "paragraph", "left").select(
+        "id", "text_hash", "place", "short", F.coalesce("class", "paragraph").alias("class")
     )
     first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "place")
     heads = written(
@@ -316,7 +310,7 @@ def repeated(docs: DataFrame, min_words: int = 20, size: int = 5, similarity: fl
         "paragraph-heads",
     )
     return own, named.join(heads, "class").select(
-        "id", "text_hash", "place", "class", F.col("head").eqNullSafe(first).alias("stays")
+        "id", "text_hash", "place", "class", "short", (F.col("short") | F.col("head").eqNullSafe(first)).alias("stays")
     )
 
 
@@ -363,13 +357,16 @@ def passages(own: DataFrame, marked: DataFrame) -> DataFrame:
     gone = marked.where("not stays").groupBy("id", "text_hash").agg(F.collect_set("place").alias("removed"))
     rows = _with_row(own, gone, ["removed"]).select("id", "text_hash", "text", "removed")
     found = written(rows.mapInArrow(find, f"id {kind}, text_hash bigint, at int, passage bigint"), "paragraph-windows")
-    several = found.groupBy("passage").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("passage")
+    # Both grouped sides are written, so that the joins can split a hot window.
+    several = written(
+        found.groupBy("passage").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("passage"), "paragraph-several"
+    )
     again = written(found.join(several, "passage"), "paragraph-repeats")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash", "at")
     # Rows equal in id and text are one occurrence.
-    heads = again.groupBy("passage").agg(F.min(first).alias("head"), F.max(first).alias("last")).where(
+    heads = written(again.groupBy("passage").agg(F.min(first).alias("head"), F.max(first).alias("last")).where(
         ~F.col("head").eqNullSafe(F.col("last"))
-    )
+    ), "paragraph-windows-first")
     same = F.col("head.id").eqNullSafe(F.col("id")) & (F.col("head.text_hash") == F.col("text_hash"))
     return written(again.join(heads, "passage").select(
         "id", "text_hash", "at", "passage", (same & (F.col("at") - F.col("head.at") < PASSAGE_WORDS)).alias("stays")
@@ -385,7 +382,7 @@ def _with_row(own: DataFrame, asked: DataFrame, names: list[str]) -> DataFrame:
 def _marks(marked: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, text_hash, marks, spans): of lines and of windows, a row for each text
     that has some."""
-    mark, span = F.struct("place", "class", "stays"), F.struct("at", "passage", "stays")
+    mark, span = F.struct("place", "class", "short", "stays"), F.struct("at", "passage", "stays")
     both = marked.select("id", "text_hash", mark.alias("mark")).unionByName(
         spans.select("id", "text_hash", span.alias("span")), allowMissingColumns=True
     )
@@ -435,15 +432,17 @@ def kept_text(text: Column, places: Column, starts: Column) -> Column:
 
 def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """Per row: id, n_paragraphs (lines), n_repeated (those of a class with more
-    than one occurrence), n_removed, classes (ascending, of lines and of windows),
-    removed (places), kept_sha256 of the text without the removed lines and the
+    than one occurrence), n_removed, classes (ascending, of lines of a whole shingle or
+    more and of windows), short_classes (of shorter lines), removed (places), kept_sha256 of the text without the removed lines and the
     words cut, n_passages (windows of a class in the lines that stay) and n_cut
     (words cut out of these)."""
     own, marked = repeated(docs, id_column=id_column, text_column=text_column, **settings)
     marked = written(marked, "paragraph-marks")
     rows = _with_row(own, _marks(marked, passages(own, marked)), ["marks", "spans"])
     places, starts = _gone("marks", "place"), _gone("spans", "at")
-    found = F.concat(F.transform("marks", lambda m: m["class"]), F.transform("spans", lambda m: m["passage"]))
+    lines = F.transform(F.filter("marks", lambda m: ~m["short"]), lambda m: m["class"])
+    found = F.concat(lines, F.transform("spans", lambda m: m["passage"]))
+    brief = F.transform(F.filter("marks", lambda m: m["short"]), lambda m: m["class"])
     covered = F.flatten(F.transform(starts, lambda at: F.sequence(at, at + PASSAGE_WORDS - 1)))
 
     @F.arrow_udf("string")
@@ -458,6 +457,7 @@ def report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         F.coalesce(F.size("marks"), F.lit(0)).cast("bigint").alias("n_repeated"),
         F.size(places).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<bigint>")).alias("classes"),
+        F.coalesce(F.array_sort(F.array_distinct(brief)), F.array().cast("array<bigint>")).alias("short_classes"),
         places.alias("removed"), digest("text", places, starts).alias("kept_sha256"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_passages"),
         F.size(F.array_distinct(covered)).cast("bigint").alias("n_cut"),

@@ -561,7 +561,14 @@ def test_short_paragraphs_are_compared(spark, tmp_path):
     texts += [(20, " ".join(near)), (21, " ".join([*near, "more"])), (22, "first\n" + passage), (23, passage + "\nlast")]
     got = paragraph_query(spark, tmp_path, texts)
     # The licence, "of." and the runs of one word, whose shingles are all the same.
-    assert [(got[i]["n_repeated"], got[i]["n_removed"]) for i in range(9)] == [(3, 3 * (i > 0)) for i in range(9)]
+    # "of." is less than a shingle: a class, but it stays.
+    assert [(got[i]["n_repeated"], got[i]["n_removed"]) for i in range(9)] == [(3, 2 * (i > 0)) for i in range(9)]
+    assert all(len(got[i]["classes"]) == 2 and len(got[i]["short_classes"]) == 1 for i in range(9))
+    rest = [(i, f"first{i}\n\tof\n}}\n\n") for i in range(3)]
+    (tmp_path / "rest").mkdir()
+    left = paragraph_query(spark, tmp_path / "rest", rest)
+    assert [left[i]["kept_sha256"] for i, _ in rest] == [hashlib.sha256(t.encode()).hexdigest() for _, t in rest]
+    assert [(left[i]["classes"], len(left[i]["short_classes"])) for i, _ in rest] == [([], 2)] * 3
     assert [got[i]["n_removed"] for i in (20, 21, 22, 23)] == [0, 1, 0, 10]
     assert got[23]["removed"] == list(range(10))
 
