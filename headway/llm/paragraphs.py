@@ -267,7 +267,8 @@ def classes(docs: DataFrame, found: DataFrame, min_words: int, size: int, simila
         "paragraph-buckets",
     )
     together = written(members.join(buckets, "key").distinct(), "paragraph-collisions")
-    wanted = found.join(together.select("paragraph").distinct(), "paragraph").groupBy("paragraph").agg(
+    # Of equal paragraphs, only those with keys: one for each batch.
+    wanted = found.where("size(keys) > 0").join(together.select("paragraph").distinct(), "paragraph").groupBy("paragraph").agg(
         F.min(F.struct("id", "text_hash")).alias("at")
     ).select("at.*", "paragraph")
     sets = written(shingle_sets(docs, wanted, min_words, size), "paragraph-shingles")
