@@ -40,6 +40,8 @@ ROLLUPS = ("route_trips", "visit_rollup", "route_stop_rollup", "route_hours")
 SKETCHES = "visit_sketches"
 BUILD_LOG = "build_log"
 BUILD_LOG_SCHEMA = "table_name string, run string, row_count bigint"
+# A landed file is one split, so it must stay small however large its source is.
+LANDED_ROWS = 200_000
 
 
 def _staging(
@@ -205,12 +207,13 @@ def load_rail(
 
     Raw tables keep each row's place in the source file, which reports need to
     find first rows. A landed part file is read as one split, as a quoted line
-    break must not end a row.
+    break must not end a row; it holds ``LANDED_ROWS`` rows at most.
     """
     rows = {}
     for name, path in files.items():
         landed = f"{root.rstrip('/')}/landed/{name}"
-        tables.save_csv(feed.read_rail(spark, path, name, multiline, file_order), landed)
+        source = feed.read_rail(spark, path, name, multiline, file_order)
+        tables.save_csv(source, landed, rows_per_file=LANDED_ROWS)
         rows[name] = tables.save(feed.read_csv_text(spark, landed, multiline=True), root, name)
     return rows
 

@@ -90,9 +90,12 @@ def save_bucketed(
     )
 
 
-def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def save_csv(
+    df: DataFrame, path: str, single_file: bool = False, rows_per_file: int = 0
+) -> None:
     """CSV with a header; the old files stay until the new ones are complete.
-    ``single_file`` is for bounded (top-k) results only."""
+    ``single_file`` is for bounded (top-k) results only; ``rows_per_file`` (0: no bound)
+    is for files that are read as one split each."""
     out = df.coalesce(1) if single_file else df
     folder, _, name = path.rstrip("/").rpartition("/")
     fresh = f"{folder}/_new-{name}-{uuid.uuid4().hex}"
@@ -101,6 +104,7 @@ def save_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", rows_per_file)
         .csv(fresh)
     )
     _replace(df.sparkSession, fresh, path)

@@ -127,6 +127,18 @@ def test_rail_load_lands_csv_and_counts_rows(spark, tmp_path):
     }
 
 
+def test_a_landed_file_is_small_however_large_its_source(spark, tmp_path, monkeypatch):
+    rows = "".join(f'ISL,{i:03d},"a\nb"\n' for i in range(95))
+    write(tmp_path / "in.csv", "LINE,SRC_STATION_ID,note\n" + rows)
+    monkeypatch.setattr(build, "LANDED_ROWS", 10)
+    root = str(tmp_path / "raw")
+    build.load_rail(spark, {"mtr_fares": str(tmp_path / "in.csv")}, root, multiline=True)
+    landed = tmp_path / "raw" / "landed" / "mtr_fares"
+    assert len(list(landed.glob("part-*.csv"))) == 10
+    stored = tables.load(spark, root, "mtr_fares").orderBy(feed.FILE_ORDER).drop(feed.FILE_ORDER)
+    assert [tuple(r) for r in stored.collect()] == [("ISL", f"{i:03d}", "a\nb") for i in range(95)]
+
+
 def test_file_order(spark, tmp_path):
     names = [f"row{i:05d}" for i in range(3000, 0, -1)]
     write(tmp_path / "f.csv", "name\n" + "\n".join(names) + "\n")
