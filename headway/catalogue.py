@@ -25,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 BUS, FERRY, TRAM = 3, 4, 0
 HUB_ROUTES_HIGH = 500
 STATE_BATCHES = 3
+REPLAY_ROWS = 1_000_000
 
 
 def _query(name: str) -> Callable[[Query], Query]:
@@ -238,10 +239,15 @@ def message_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams. Each run gets new folders under the shared folder.
 
 
+def _replay_files(messages: DataFrame, path: str) -> None:
+    """Adds messages to a folder as files of which a batch takes several."""
+    messages.write.option("maxRecordsPerFile", REPLAY_ROWS).mode("append").parquet(path)
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Writes the messages as replay files and drains them into tables."""
     root = work_path(spark, "ingest")
-    samples.messages(spark, sf_dir).write.parquet(f"{root}/messages")
+    _replay_files(samples.messages(spark, sf_dir), f"{root}/messages")
     ingest.drain(
         lambda topic: read_message_files(spark, f"{root}/messages").where(F.col("topic") == topic),
         f"{root}/tables",
@@ -281,13 +287,13 @@ def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stores the messages in several batches, with a compaction after half of them
     and one after all, then adds a last batch; all rail events there are."""
     root = work_path(spark, "compact")
-    messages = samples.messages(spark, sf_dir).withColumn(
-        "share", F.pmod(F.xxhash64("key", "value"), F.lit(4))
-    )
+    # Encoded once for all shares.
+    encoded = samples.messages(spark, sf_dir)
+    _replay_files(encoded, f"{root}/encoded")
+    messages = spark.read.schema(encoded.schema).parquet(f"{root}/encoded")
+    share_of = F.pmod(F.xxhash64("key", "value"), F.lit(4))
     for share in range(4):
-        messages.where(F.col("share") == share).drop("share").coalesce(1).write.mode("append").parquet(
-            f"{root}/messages"
-        )
+        _replay_files(messages.where(share_of == share), f"{root}/messages")
         compact.drain(
             lambda topic: read_message_files(spark, f"{root}/messages").where(F.col("topic") == topic),
             f"{root}/tables",

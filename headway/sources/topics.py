@@ -48,11 +48,12 @@ def read_topics(
     )
 
 
-def read_message_files(spark: SparkSession, path: str, batch_files: int = 1000) -> DataFrame:
+def read_message_files(spark: SparkSession, path: str, batch_bytes: int = 256 << 20) -> DataFrame:
     """The same stream from Parquet files of (topic, key, value), for replays
-    and tests; ``batch_files`` bounds the files of a batch."""
+    and tests. ``batch_bytes`` bounds the files of a batch, by size and not by
+    number, as files may be of any size; a larger file is a batch of its own."""
     return (
         spark.readStream.schema("topic string, key binary, value binary")
-        .option("maxFilesPerTrigger", batch_files)
+        .option("maxBytesPerTrigger", batch_bytes)
         .parquet(path)
     )

@@ -32,11 +32,12 @@ Source = Callable[[str], DataFrame]
 
 def _rows(source: Source, table: str, files: int) -> DataFrame:
     """Decoded messages, shuffled so that a batch writes at most ``files``
-    files into each partition of the table, however many tasks read it."""
+    files into each partition of the table, however many tasks read it. Good
+    rows have no key and value left, so all columns deal them out."""
     decoded = codec.decode(source(TABLES[table]), TABLES[table])
     if "event_date" in PARTITIONS[table]:
         decoded = decoded.withColumn("event_date", F.to_date("timestamp"))
-    part = F.pmod(F.xxhash64("key", "value"), F.lit(files))
+    part = F.pmod(F.xxhash64(*decoded.columns), F.lit(files))
     return decoded.repartition(*PARTITIONS[table], part)
 
 

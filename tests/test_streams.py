@@ -141,3 +141,28 @@ def test_a_batch_writes_few_files(spark, tmp_path):
     ingest.drain(source(spark, inbox), root)
     assert ingest.events_table(spark, root, ingest.RAIL_TABLE).count() == 1000
     assert len(list((tmp_path / "tables" / ingest.RAIL_TABLE).rglob("part-*.parquet"))) <= 4
+
+
+def test_good_rows_are_dealt_to_all_files_of_a_batch(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
+    events = spark.range(1000).selectExpr("'bus_eta' event_type", "cast(id as string) stop_id")
+    codec.encode(events, BUS_TOPIC).write.parquet(inbox)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ingest.drain(source(spark, inbox), root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [str(p) for p in (tmp_path / "tables" / ingest.BUS_TABLE).rglob("part-*.parquet")]
+    rows = [spark.read.parquet(p).count() for p in files]
+    # Two of the four parts may meet in a task, but never all of them.
+    assert sum(rows) == 1000 and len(rows) > 1 and max(rows) < 900
+
+
+def test_a_large_backlog_takes_several_batches(spark, tmp_path):
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
+    codec.encode(spark.createDataFrame([EVENT] * 8, RAIL_EVENT), RAIL_TOPIC).repartition(4).write.parquet(inbox)
+    size = max(p.stat().st_size for p in (tmp_path / "inbox").glob("part-*.parquet"))
+    stream = lambda topic: read_message_files(spark, inbox, size).where(F.col("topic") == topic)
+    ingest.drain(stream, root)
+    assert ingest.events_table(spark, root, ingest.RAIL_TABLE).count() == 8
+    assert len(list((tmp_path / "tables" / ingest.RAIL_TABLE / "_spark_metadata").glob("[0-9]*"))) == 4
