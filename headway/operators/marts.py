@@ -170,19 +170,24 @@ def route_service_hours(net: Network) -> DataFrame:
     trips = (
         net.trips_in_groups(ROUTE_GROUP, "first_departure", "last_departure")
         .where("first_departure is not null")
-        .select(*ROUTE_GROUP, "first_departure", "last_departure", F.lit(1).alias("trips"))
     )
-    stops = net.stops_in_groups(ROUTE_GROUP, timed=True).select(
-        *ROUTE_GROUP, F.lit(1).alias("stops")
+    # Text needs a sort to be aggregated, so the many stops are counted apart first.
+    spans = trips.groupBy(*ROUTE_GROUP).agg(
+        F.min("first_departure").alias("first_departure"),
+        F.max("last_departure").alias("last_departure"),
+        F.count(F.lit(1)).alias("trips"),
+    )
+    stops = net.stops_in_groups(ROUTE_GROUP, timed=True).groupBy(*ROUTE_GROUP).agg(
+        F.count(F.lit(1)).alias("stops")
     )
     return (
-        trips.unionByName(stops, allowMissingColumns=True)
+        spans.unionByName(stops, allowMissingColumns=True)
         .groupBy(*ROUTE_GROUP)
         .agg(
             F.min("first_departure").alias("first_departure"),
             F.max("last_departure").alias("last_departure"),
-            F.count("trips").alias("total_trips"),
-            F.count("stops").alias("total_stops"),
+            F.coalesce(F.sum("trips"), F.lit(0)).alias("total_trips"),
+            F.coalesce(F.sum("stops"), F.lit(0)).alias("total_stops"),
         )
     )
 
@@ -274,32 +279,20 @@ def weekday_vs_weekend(net: Network) -> DataFrame:
 
 def route_lengths(net: Network) -> DataFrame:
     """Route -> distinct stops, distinct trips, highest stop sequence."""
-    if net.stored_route_trips is None or net.stored_route_stop_rollup is None:
-        # No strings are aggregated here, so Spark's own plan for several
-        # distinct counts stays with hash aggregation; measured, one pass over
-        # the stop times then beats one per rollup.
-        return (
-            net.stop_times.select("trip_id", "stop_id", "stop_sequence")
-            .join(net.trip_groups(*ROUTE_GROUP), "trip_id")
-            .groupBy(*ROUTE_GROUP)
-            .agg(
-                F.countDistinct("stop_id").alias("unique_stops"),
-                F.countDistinct("trip_id").alias("total_trips"),
-                F.max("stop_sequence").alias("max_stop_sequence"),
-            )
-        )
-    trips = net.trips_in_groups(ROUTE_GROUP, "max_stop_sequence").select(
-        *ROUTE_GROUP, "max_stop_sequence", F.lit(1).alias("trips")
+    # Trips and stops are counted apart: Spark's plan for several distinct counts
+    # would hold each stop time once for each count in the memory of its tasks.
+    trips = net.trips_in_groups(ROUTE_GROUP, "max_stop_sequence").groupBy(*ROUTE_GROUP).agg(
+        F.count(F.lit(1)).alias("trips"), F.max("max_stop_sequence").alias("max_stop_sequence")
     )
-    stops = net.stops_in_groups(ROUTE_GROUP, timed=False).select(
-        *ROUTE_GROUP, F.lit(1).alias("stops")
+    stops = net.stops_in_groups(ROUTE_GROUP, timed=False).groupBy(*ROUTE_GROUP).agg(
+        F.count("stop_id").alias("stops")
     )
     return (
         trips.unionByName(stops, allowMissingColumns=True)
         .groupBy(*ROUTE_GROUP)
         .agg(
-            F.count("stops").alias("unique_stops"),
-            F.count("trips").alias("total_trips"),
+            F.coalesce(F.sum("stops"), F.lit(0)).alias("unique_stops"),
+            F.coalesce(F.sum("trips"), F.lit(0)).alias("total_trips"),
             F.max("max_stop_sequence").alias("max_stop_sequence"),
         )
     )
