@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators import marts, rollups
@@ -23,6 +23,8 @@ from headway.sources.snapshots import Snapshot
 
 #: Stop times of a trip from which on it is kept out of the buckets.
 HOT_ROWS = 1_000_000
+#: Stop times of a bucket, about; more of them make more buckets.
+BUCKET_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -46,13 +48,18 @@ def save(
 ) -> Layout:
     """Stores both tables below ``root``; the bucketed ones are named ``prefix_...``.
 
-    There are at most as many hot trips as stop times divided by ``hot_rows``.
+    There are at most as many hot trips as stop times divided by ``hot_rows``. A bucket is
+    a task, so there are more than ``buckets`` of them if these would hold more than
+    ``BUCKET_ROWS`` stop times each.
     """
     names = [f"{prefix}_{table}" for table in ("stop_times", "trips", "trajectories")]
-    layout = Layout(*names, root, buckets)
     others = Snapshot(stop_times.sparkSession, root)
     counts = stop_times.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n"))
-    others.save(counts.where(F.col("n") >= hot_rows).select("trip_id"), "hot")
+    seen = Observation(f"{prefix} stop times")
+    counted = counts.observe(seen, F.sum("n").alias("rows"))
+    others.save(counted.where(F.col("n") >= hot_rows).select("trip_id"), "hot")
+    buckets = max(buckets, -(-(seen.get["rows"] or 0) // BUCKET_ROWS))
+    layout = Layout(*names, root, buckets)
     hot = others.load("hot")
     # In the order of all columns, so that one trip is many files.
     hot_times = stop_times.join(hot, "trip_id", "left_semi")

@@ -66,6 +66,24 @@ def test_a_hot_trip_is_kept_out_and_split(spark, layout):
     assert spark.table(made.stop_times).where("trip_id = 'hot'").isEmpty()
 
 
+def test_more_rows_make_more_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(colocated, "BUCKET_ROWS", 100)
+    stop_times = spark.range(1150).selectExpr(
+        "concat('t', id % 300) trip_id", "concat('s', id % 37) stop_id", "id stop_sequence",
+        "'x' arrival_time", "format_string('%02d:00:00', id % 26) departure_time",
+    )
+    trips = spark.range(300).selectExpr("concat('t', id) trip_id", "concat('r', id % 9) route_id", "'a' service_id")
+    made = colocated.save(stop_times, trips, str(tmp_path), f"more_{tmp_path.name}".lower(), 4)
+    try:
+        assert made.buckets == 12
+        # Some buckets of so few trips may be empty.
+        assert 6 < len(spark.table(made.stop_times).inputFiles()) <= 12
+        same(colocated.visit_rollup(spark, made), rollups.visit_rollup(stop_times, trips))
+    finally:
+        for name in (made.stop_times, made.trips):
+            spark.sql(f"drop table {name}")
+
+
 PLACES = "stop_id string, stop_name string, latitude double, longitude double"
 NAMES = "route_id string, route_short_name string, route_long_name string, route_type bigint"
 
