@@ -26,6 +26,8 @@ BUS, FERRY, TRAM = 3, 4, 0
 HUB_ROUTES_HIGH = 500
 STATE_BATCHES = 3
 REPLAY_ROWS = 1_000_000
+# Rows of a task that removes repeated ones, about.
+DISTINCT_ROWS = 500_000
 
 
 def _query(name: str) -> Callable[[Query], Query]:
@@ -517,29 +519,30 @@ def _trajectories(
 _colocated("colocated_trajectories", _trajectories)
 
 
-def _sketched(name: str, result: Callable[[DataFrame, marts.Network], DataFrame]) -> None:
+def _sketched(name: str, result: Callable[[DataFrame, marts.Network, int], DataFrame]) -> None:
     """An estimate from stored sketches next to the exact value, and whether it is
-    within the stated error."""
+    within the stated error. The result also gets the number of stop times."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_path(spark, name)
         raw = samples.raw_feed(spark, sf_dir)
-        build.build_staging(spark, {m: raw[m] for m in ("trips", "stop_times")}, root)
+        rows = build.build_staging(spark, {m: raw[m] for m in ("trips", "stop_times")}, root)
         build.build_sketches(spark, root)
         net = build.stored_network(spark, root, with_rollups=False, staged=build.ROLLUP_NEEDS)
-        return result(tables.load(spark, root, build.SKETCHES), net)
+        return result(tables.load(spark, root, build.SKETCHES), net, rows["stg_stop_times"])
 
     QUERIES[name] = run
 
 
-def _sketched_trips(*group: str) -> Callable[[DataFrame, marts.Network], DataFrame]:
-    def result(stored: DataFrame, net: marts.Network) -> DataFrame:
+def _sketched_trips(*group: str) -> Callable[[DataFrame, marts.Network, int], DataFrame]:
+    def result(stored: DataFrame, net: marts.Network, rows: int) -> DataFrame:
         timed = net.stop_times.where(times.is_service_time(F.col("departure_time"))).select(
             "trip_id", "stop_id", times.valid_hour(F.col("departure_time")).alias("hour_of_day")
         )
-        exact = timed.join(net.runs, "trip_id").select(*group, "trip_id").distinct().groupBy(*group).agg(
-            F.count("trip_id").alias("trips")
-        )
+        # Hardly any row repeats another, so a task holds about as many as it gets.
+        pairs = timed.join(net.runs, "trip_id").select(*group, "trip_id")
+        pairs = pairs.repartition(rows // DISTINCT_ROWS + 1, *group, "trip_id").distinct()
+        exact = pairs.groupBy(*group).agg(F.count("trip_id").alias("trips"))
         off = F.abs(F.col("approx_trips") - F.col("trips"))
         return sketches.approx_trips(stored, *group).join(exact, list(group)).select(
             *group, "trips", (off <= F.greatest(F.col("trips") * sketches.DISTINCT_ERROR, F.lit(1.0))).alias("close")
@@ -553,7 +556,7 @@ _sketched("sketched_trips_per_hour", _sketched_trips("hour_of_day"))
 _sketched("sketched_trips_per_stop", _sketched_trips("stop_id"))
 
 
-def _sketched_medians(stored: DataFrame, net: marts.Network) -> DataFrame:
+def _sketched_medians(stored: DataFrame, net: marts.Network, _rows: int) -> DataFrame:
     """Shares of visits before and up to the estimate must enclose a half, but for the error."""
     seconds = net.stop_times.join(net.runs.select("trip_id"), "trip_id").select(
         times.seconds_of(F.col("departure_time")).alias("second"),
