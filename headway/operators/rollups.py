@@ -54,13 +54,9 @@ def with_routes(trip_rows: DataFrame, trips: DataFrame) -> DataFrame:
     return trip_rows.join(runs(trips), "trip_id")
 
 
-def visit_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
-    """(route_id, stop_id, hour 0-23 or NULL, timed) -> stop visits. ``timed``
-    tells whether the departure is a valid time; its hour may be above 23.
-
-    The join is the only one on the big table; AQE splits a hot trip's
-    partition. The sums combine before the shuffle by the keys.
-    """
+def visits(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """Stop times with the routes of their trips, as ``visit_totals`` adds them up. The
+    join is the only one on the big table; AQE splits a hot trip's partition."""
     departure = F.col("departure_time")
     timed = F.coalesce(times.is_service_time(departure), F.lit(False))
     hour = times.valid_hour(departure)
@@ -72,11 +68,23 @@ def visit_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
             timed.alias("timed"),
         )
         .join(runs(trips), "trip_id")
-        .groupBy("route_id", "stop_id", "hour_of_day", "timed")
-        .agg(F.sum("trip_copies").alias("visits"))
+        .select("route_id", "stop_id", "hour_of_day", "timed", "trip_copies")
+    )
+
+
+def visit_totals(rows: DataFrame) -> DataFrame:
+    """The sums of ``visits``, which combine before the shuffle by the keys."""
+    return rows.groupBy("route_id", "stop_id", "hour_of_day", "timed").agg(
+        F.sum("trip_copies").alias("visits")
     )
 
 
+def visit_rollup(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
+    """(route_id, stop_id, hour 0-23 or NULL, timed) -> stop visits. ``timed``
+    tells whether the departure is a valid time; its hour may be above 23."""
+    return visit_totals(visits(stop_times, trips))
+
+
 def route_stops_of(visits: DataFrame) -> DataFrame:
     """``route_stop_rollup`` from a stored ``visit_rollup``."""
     return visits.groupBy("route_id", "stop_id").agg(

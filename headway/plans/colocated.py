@@ -89,10 +89,10 @@ def trip_rollup(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def visit_rollup(spark: SparkSession, layout: Layout) -> DataFrame:
     """``rollups.visit_rollup``: bucketed stop times meet their trips in place, and only
-    their partial sums are shuffled."""
-    cold, hot = (rollups.visit_rollup(*each) for each in _each(spark, layout))
-    keys = ("route_id", "stop_id", "hour_of_day", "timed")
-    return cold.unionAll(hot).groupBy(*keys).agg(F.sum("visits").alias("visits"))
+    their partial sums are shuffled. Both layouts are added up at once, as a task would
+    hold its keys again for each sum of sums."""
+    cold, hot = (rollups.visits(*each) for each in _each(spark, layout))
+    return rollups.visit_totals(cold.unionAll(hot))
 
 
 def trip_trajectories(

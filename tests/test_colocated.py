@@ -57,6 +57,16 @@ def test_bucketed_rows_are_not_shuffled(spark, layout):
     assert "SortMergeJoin" in visit_plan.split("Exchange")[1]
 
 
+def test_visits_of_both_layouts_are_added_up_once(spark, layout):
+    """A task holds its keys in one partial and one final sum, not in sums of sums."""
+    _, _, made = layout
+    plan = colocated.visit_rollup(spark, made)._jdf.queryExecution().executedPlan().toString()
+    sums = re.findall(r"HashAggregate\(keys=\[route_id#\w+, stop_id#[^\n]*", plan)
+    assert len(sums) == 2 and len(re.findall(r"Exchange hashpartitioning\(route_id", plan)) == 1
+    above, below = plan.split("Exchange hashpartitioning(route_id")
+    assert "Union" in below and "partial_sum" in below and "Union" not in above
+
+
 def test_a_hot_trip_is_kept_out_and_split(spark, layout):
     _, _, made = layout
     hot = Snapshot(spark, made.root)
