@@ -30,15 +30,23 @@ PARTITIONS = {RAIL_TABLE: ("status", "event_date"), BUS_TABLE: ("status",)}
 Source = Callable[[str], DataFrame]
 
 
+# The partitions of a table (days) are dealt to so many groups of tasks.
+TASK_GROUPS = 8
+
+
 def _rows(source: Source, table: str, files: int) -> DataFrame:
     """Decoded messages, shuffled so that a batch writes at most ``files``
     files into each partition of the table, however many tasks read it. Good
-    rows have no key and value left, so all columns deal them out."""
+    rows have no key and value left, so all columns deal them out.
+
+    The tasks are numbered rather than hashed: the writer sorts all rows of a task,
+    and parts of one partition that met in a task would be sorted together."""
     decoded = codec.decode(source(TABLES[table]), TABLES[table])
     if "event_date" in PARTITIONS[table]:
         decoded = decoded.withColumn("event_date", F.to_date("timestamp"))
     part = F.pmod(F.xxhash64(*decoded.columns), F.lit(files))
-    return decoded.repartition(*PARTITIONS[table], part)
+    group = F.pmod(F.xxhash64(*PARTITIONS[table]), F.lit(TASK_GROUPS))
+    return decoded.repartitionById(TASK_GROUPS * files, (group * files + part).cast("int"))
 
 
 def start(

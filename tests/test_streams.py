@@ -158,6 +158,22 @@ def test_good_rows_are_dealt_to_all_files_of_a_batch(spark, tmp_path):
     assert sum(rows) == 1000 and len(rows) > 1 and max(rows) < 900
 
 
+def test_parts_of_a_batch_never_meet_in_a_task(spark, tmp_path):
+    """However few partitions the session shuffles into, and with tasks put together."""
+    inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
+    events = spark.range(1000).selectExpr("'bus_eta' event_type", "cast(id as string) stop_id")
+    codec.encode(events, BUS_TOPIC).write.parquet(inbox)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        ingest.drain(source(spark, inbox), root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = (tmp_path / "tables" / ingest.BUS_TABLE).rglob("part-*.parquet")
+    rows = [spark.read.parquet(str(p)).count() for p in files]
+    assert sum(rows) == 1000 and len(rows) == 4 and max(rows) < 400
+
+
 def test_a_large_backlog_takes_several_batches(spark, tmp_path):
     inbox, root = str(tmp_path / "inbox"), str(tmp_path / "tables")
     codec.encode(spark.createDataFrame([EVENT] * 8, RAIL_EVENT), RAIL_TOPIC).repartition(4).write.parquet(inbox)
