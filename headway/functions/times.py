@@ -36,11 +36,10 @@ def valid_hour(text: Column) -> Column:
 
 
 def seconds_of(text: Column) -> Column:
-    """Seconds since the start of the service day; NULL if not valid."""
-    return F.when(
-        is_service_time(text),
-        hour_of(text) * 3600 + _part(text, 2, True) * 60 + _part(text, 3, True),
-    )
+    """Seconds since the start of the service day; NULL if not valid. Minutes and
+    seconds of a valid time stand at its end, which is quicker to take than to split."""
+    minutes, seconds = (F.substring(text, at, 2).cast("bigint") for at in (-5, -2))
+    return F.when(is_service_time(text), hour_of(text) * 3600 + minutes * 60 + seconds)
 
 
 def epoch_ms(text: Column) -> Column:

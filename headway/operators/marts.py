@@ -324,6 +324,11 @@ def early_night_routes(net: Network) -> DataFrame:
     ).where("is_early_bird or is_night_owl")
 
 
+def timestamped(visits: DataFrame) -> DataFrame:
+    """Adds the time of a visit on the animation's day, the last column of trajectories."""
+    return visits.withColumn("departure_timestamp_ms", times.epoch_ms(F.col("departure_time")))
+
+
 def trip_trajectories(net: Network) -> DataFrame:
     """One row per stop visit with place and time. ``build`` stores it sorted
     by trip and sequence. Trips are joined first, so that stop times that lie
@@ -347,8 +352,8 @@ def trip_trajectories(net: Network) -> DataFrame:
             "latitude",
             "longitude",
             "departure_time",
-            times.epoch_ms(F.col("departure_time")).alias("departure_timestamp_ms"),
         )
+        .transform(timestamped)
     )
 
 

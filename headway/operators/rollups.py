@@ -57,16 +57,15 @@ def with_routes(trip_rows: DataFrame, trips: DataFrame) -> DataFrame:
 def visits(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     """Stop times with the routes of their trips, as ``visit_totals`` adds them up. The
     join is the only one on the big table; AQE splits a hot trip's partition."""
-    departure = F.col("departure_time")
+    departure, hour = F.col("departure_time"), F.col("hour_of_day")
+    # One step each, so that a time is matched and its hour read once.
     timed = F.coalesce(times.is_service_time(departure), F.lit(False))
-    hour = times.valid_hour(departure)
+    checked = stop_times.select("trip_id", "stop_id", departure, timed.alias("timed"))
+    hours = checked.select(
+        "trip_id", "stop_id", "timed", F.when(F.col("timed"), times.hour_of(departure)).alias("hour_of_day")
+    )
     return (
-        stop_times.select(
-            "trip_id",
-            "stop_id",
-            F.when(hour.between(0, 23), hour).alias("hour_of_day"),
-            timed.alias("timed"),
-        )
+        hours.withColumn("hour_of_day", F.when(hour.between(0, 23), hour))
         .join(runs(trips), "trip_id")
         .select("route_id", "stop_id", "hour_of_day", "timed", "trip_copies")
     )

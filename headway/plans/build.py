@@ -147,7 +147,9 @@ def _marts(tables_at: Snapshot, staged: tuple[str, ...]) -> dict[str, int]:
 def save_mart(tables_at: Snapshot, df: DataFrame, name: str) -> int:
     """Writes a mart in its layout; returns its rows."""
     if name == "mart_trip_trajectories":
-        df = tables.clustered(df, *TRIP_ORDER)
+        # Ranges are sampled from all rows, so times are read after that, once a row.
+        ordered = tables.clustered(df.drop("departure_timestamp_ms"), *TRIP_ORDER)
+        df = marts.timestamped(ordered)
     if name in MARTS_BY_PART:
         return tables_at.save(tables.by_part(df, MARTS_BY_PART[name]), name, (tables.PART_OF,))
     return tables_at.save(df, name)

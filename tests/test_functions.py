@@ -34,6 +34,13 @@ def test_epoch_ms(spark):
     assert column(spark, values, "string", times.epoch_ms) == expected
 
 
+def test_seconds_are_taken_from_the_end_of_a_time(spark):
+    values = ["7:05:09", "123:45:56", "07:5:00", "07:05:00\n", "", None]
+    assert column(spark, values, "string", times.seconds_of) == [25509, 445556, None, None, None, None]
+    plan = spark.range(1).select(times.seconds_of(F.col("id").cast("string")))
+    assert "split" not in plan._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_display_time(spark):
     values = ["25:30:00", "07:05:00", "7:05:00", "49:00:00", "24:00", "", "noon", None]
     shown = ["01:30 (+1day)", "07:05", "07:05", "25:00 (+1day)", "00:00 (+1day)", "", "noon", None]

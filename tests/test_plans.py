@@ -145,6 +145,36 @@ def scans(plan: str, column: str) -> int:
     return len(re.findall(rf"FileScan parquet [^\n]*{column}", plan))
 
 
+def test_stored_trajectories_read_times_after_their_ranges_are_sampled(spark, sf_dir, tmp_path):
+    """The sample runs all that lies below the range exchange a second time."""
+    saved = {}
+
+    class Kept:
+        def save(self, df, name, by=()):
+            saved[name] = df
+            return 0
+
+    net = samples.network(spark, sf_dir)
+    build.save_mart(Kept(), marts.trip_trajectories(net), "mart_trip_trajectories")
+    stored = saved["mart_trip_trajectories"]
+    above, below = optimized(stored).split("RepartitionByExpression")
+    assert "departure_timestamp_ms" in above and "departure_timestamp_ms" not in below
+    assert stored.columns == marts.trip_trajectories(net).columns
+    assert stored.exceptAll(marts.trip_trajectories(net)).isEmpty()
+
+
+def test_visits_match_a_time_once(spark):
+    stop_times = spark.createDataFrame(
+        [("t", "s", t) for t in ("07:05:00", "24:00:00", "7:5", "x", None, "99999999999999:00:00")],
+        "trip_id string, stop_id string, departure_time string",
+    )
+    trips = spark.createDataFrame([("t", "r")], "trip_id string, route_id string")
+    rows = rollups.visits(stop_times, trips)
+    assert optimized(rows).count("RLIKE") == 1
+    found = sorted((r.hour_of_day if r.hour_of_day is not None else -1, r.timed) for r in rows.collect())
+    assert found == [(-1, False)] * 3 + [(-1, True)] * 2 + [(7, True)]
+
+
 def test_the_heatmap_makes_the_trip_rollup_once(spark, sf_dir, tmp_path):
     root = str(tmp_path)
     build.build_staging(spark, samples.raw_feed(spark, sf_dir), root)
