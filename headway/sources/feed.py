@@ -7,10 +7,11 @@ ids and turn service times into timestamps; staging casts instead.
 from __future__ import annotations
 
 import logging
+import os
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.schemas import FEED_COLUMNS, RAIL_RENAMES
@@ -42,17 +43,33 @@ def read_csv_text(
     return clean_headers(with_file_order(raw) if file_order else raw)
 
 
+def _telling_apart(paths: list[str]) -> tuple[int, int]:
+    """From and to which character paths must be read so that they differ, in the same order."""
+    ordered = sorted({f"{path}|" for path in paths})
+    shared = [len(os.path.commonprefix(pair)) for pair in zip(ordered, ordered[1:])]
+    return (min(shared), max(shared) + 1) if shared else (0, 0)
+
+
+def _ordered_text(number: Column) -> Column:
+    """Hex digits behind a letter for how many they are: text in the order of the numbers."""
+    digits = F.hex(number)
+    return F.concat(F.char(F.length(digits) + 64), digits)
+
+
 def with_file_order(scan: DataFrame) -> DataFrame:
     """Adds each row's place in its input: file, block, row, as text whose
     order is theirs, so that it survives a CSV file. Apply it to a file scan
-    directly."""
+    directly. As the text is stored with every row, it has no more of the
+    paths than tells the scanned files apart."""
+    start, end = _telling_apart(scan.inputFiles())
+    # A path has no bar of its own, so none is the beginning of another.
+    path = F.concat(F.input_file_name(), F.lit("|"))
     return scan.withColumn(
         FILE_ORDER,
-        F.format_string(
-            "%s|%020d|%020d",
-            F.col("_metadata.file_path"),
-            F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id(),
+        F.concat(
+            F.substring(path, start + 1, end - start),
+            _ordered_text(F.col("_metadata.file_block_start")),
+            _ordered_text(F.monotonically_increasing_id()),
         ),
     )
 

@@ -151,6 +151,35 @@ def test_file_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_file_order_of_many_files_is_short(spark, tmp_path):
+    """In the order of paths and rows, without the folder's name in each row."""
+    folder = tmp_path / ("long" * 30) / "read here"
+    files = ["p=1/a.csv", "p=1/a.csv.2", "p=1/ab.csv", 'p=1/a|b, "c".csv', "p=1/站.csv", "p=10/a.csv", "p=1 0/a.csv"]
+    for file in files:
+        write(folder / file, "number\n" + "".join(f"{i:05d}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = feed.read_csv_text(spark, str(folder), file_order=True)
+        assert df.rdd.getNumPartitions() > len(files)
+        rows = df.select("*", "_metadata.file_path").orderBy(feed.FILE_ORDER).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    places = [(f"{r.file_path}|", r.number) for r in rows]
+    assert len(set(places)) == len({r[feed.FILE_ORDER] for r in rows}) == 2000 * len(files)
+    assert places == sorted(places)
+    assert max(len(r[feed.FILE_ORDER]) for r in rows) < 40
+
+
+def test_a_landed_file_is_hardly_larger_than_its_source(spark, tmp_path):
+    rows = "".join(f"ISL,Station {i % 97},Station {i % 89},{i % 300 / 10}\n" for i in range(50_000))
+    source = tmp_path / ("long" * 30) / "in.csv"
+    write(source, "LINE,SRC_STATION_NAME,DEST_STATION_NAME,OCT_ADT_FARE\n" + rows)
+    root = tmp_path / "raw"
+    assert build.load_rail(spark, {"mtr_fares": str(source)}, str(root)) == {"mtr_fares": 50_000}
+    landed = sum(f.stat().st_size for f in (root / "landed" / "mtr_fares").glob("part-*"))
+    assert landed < 1.5 * source.stat().st_size
+
+
 def test_build_from_files(spark, feed_dir, tmp_path):
     root = str(tmp_path / "out")
     rows = build.build_from_files(spark, str(feed_dir), root)
