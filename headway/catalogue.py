@@ -597,7 +597,7 @@ def loaded_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Rail files: CSV with byte-order mark, blanks around headers and an unnamed
-# column -> landed CSV -> raw table -> report.
+# column -> landed CSV, compressed -> raw table -> report.
 
 
 def _rail_file(
@@ -613,7 +613,7 @@ def _rail_file(
         headers[0] = "\ufeff" + headers[0]
         tables.save_csv(rows.toDF(*headers).withColumn("_c99", F.lit(None).cast("string")),
                         f"{root}/in/{table}")
-        build.load_rail(spark, {table: f"{root}/in/{table}"}, f"{root}/raw")
+        build.load_rail(spark, {table: f"{root}/in/{table}"}, f"{root}/raw", codec="gzip")
         return report(tables.load(spark, f"{root}/raw", table))
 
     QUERIES[name] = run

@@ -203,19 +203,21 @@ def load_rail(
     root: str,
     multiline: bool = False,
     file_order: bool = True,
+    codec: str = "none",
 ) -> dict[str, int]:
     """Lands each rail file as normalised CSV and replaces its raw table from
     there; returns row counts. ``files`` maps raw table names to paths.
 
     Raw tables keep each row's place in the source file, which reports need to
     find first rows. A landed part file is read as one split, as a quoted line
-    break must not end a row; it holds ``LANDED_ROWS`` rows at most.
+    break must not end a row; it holds ``LANDED_ROWS`` rows at most, so a ``codec``
+    ("gzip") saves disk and costs no parallel reading.
     """
     rows = {}
     for name, path in files.items():
         landed = f"{root.rstrip('/')}/landed/{name}"
         source = feed.read_rail(spark, path, name, multiline, file_order)
-        tables.save_csv(source, landed, rows_per_file=LANDED_ROWS)
+        tables.save_csv(source, landed, rows_per_file=LANDED_ROWS, codec=codec)
         rows[name] = tables.save(feed.read_csv_text(spark, landed, multiline=True), root, name)
     return rows
 

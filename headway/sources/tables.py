@@ -91,11 +91,15 @@ def save_bucketed(
 
 
 def save_csv(
-    df: DataFrame, path: str, single_file: bool = False, rows_per_file: int = 0
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    rows_per_file: int = 0,
+    codec: str = "none",
 ) -> None:
     """CSV with a header; the old files stay until the new ones are complete.
     ``single_file`` is for bounded (top-k) results only; ``rows_per_file`` (0: no bound)
-    is for files that are read as one split each."""
+    is for files that are read as one split each, as those of most ``codec``s are."""
     out = df.coalesce(1) if single_file else df
     folder, _, name = path.rstrip("/").rpartition("/")
     fresh = f"{folder}/_new-{name}-{uuid.uuid4().hex}"
@@ -105,6 +109,7 @@ def save_csv(
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", codec)
         .csv(fresh)
     )
     _replace(df.sparkSession, fresh, path)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from headway import schemas
+from headway import catalogue, schemas
 from headway.operators import staging
 from headway.plans import build, rail_reports
 from headway.sources import feed, tables, topics
@@ -180,6 +180,34 @@ def test_a_landed_file_is_hardly_larger_than_its_source(spark, tmp_path):
     assert landed < 1.5 * source.stat().st_size
 
 
+def test_landed_files_may_be_compressed(spark, tmp_path, monkeypatch):
+    rows = "".join(f'ISL,{i:03d},"a\nb"\n' for i in range(95))
+    write(tmp_path / "in.csv", "LINE,SRC_STATION_ID,note\n" + rows)
+    monkeypatch.setattr(build, "LANDED_ROWS", 10)
+    root = str(tmp_path / "raw")
+    build.load_rail(spark, {"mtr_fares": str(tmp_path / "in.csv")}, root, multiline=True, codec="gzip")
+    landed = tmp_path / "raw" / "landed" / "mtr_fares"
+    assert len(list(landed.glob("part-*"))) == len(list(landed.glob("part-*.csv.gz"))) == 10
+    stored = tables.load(spark, root, "mtr_fares").orderBy(feed.FILE_ORDER).drop(feed.FILE_ORDER)
+    assert [tuple(r) for r in stored.collect()] == [("ISL", f"{i:03d}", "a\nb") for i in range(95)]
+
+
+@pytest.mark.parametrize("name", ["loaded_light_rail_points", "loaded_bus_stops", "loaded_fare_lookup", "loaded_mean_fares"])
+def test_queries_land_less_than_their_source(spark, tmp_path, name):
+    items = spark.range(60_000).selectExpr(
+        "id * 7 l_orderkey", "id * 13 % 20011 l_partkey", "id * 17 % 1009 l_suppkey", "cast(id % 7 as int) l_linenumber"
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    earlier = set(Path(shared_dir(spark)).glob(f"headway/{name}-*"))
+    catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    (root,) = set(Path(shared_dir(spark)).glob(f"headway/{name}-*")) - earlier
+
+    def size(folder):
+        return sum(f.stat().st_size for f in folder.rglob("part-*"))
+
+    assert size(root / "raw" / "landed") < 0.5 * size(root / "in")
+
+
 def test_build_from_files(spark, feed_dir, tmp_path):
     root = str(tmp_path / "out")
     rows = build.build_from_files(spark, str(feed_dir), root)
