@@ -203,7 +203,7 @@ def load_rail(
     root: str,
     multiline: bool = False,
     file_order: bool = True,
-    codec: str = "none",
+    codec: str | None = None,
 ) -> dict[str, int]:
     """Lands each rail file as normalised CSV and replaces its raw table from
     there; returns row counts. ``files`` maps raw table names to paths.

@@ -95,7 +95,7 @@ def save_csv(
     path: str,
     single_file: bool = False,
     rows_per_file: int = 0,
-    codec: str = "none",
+    codec: str | None = None,
 ) -> None:
     """CSV with a header; the old files stay until the new ones are complete.
     ``single_file`` is for bounded (top-k) results only; ``rows_per_file`` (0: no bound)
@@ -109,7 +109,7 @@ def save_csv(
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)
-        .option("compression", codec)
+        .options(**({} if codec is None else {"compression": codec}))
         .csv(fresh)
     )
     _replace(df.sparkSession, fresh, path)
